@@ -62,7 +62,7 @@ _BYTE = np.random.default_rng(20240611).integers(1, 1 << 63, 256, dtype=np.uint6
 _STEP = np.random.default_rng(733).integers(1, 1 << 63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-@lru_cache(maxsize=4)
+@lru_cache(maxsize=6)
 def _powers(n: int, inverse: bool) -> np.ndarray:
     out = np.full(n, _RADIX_INVERSE if inverse else _RADIX, np.uint64)
     out[0] = 1
@@ -71,7 +71,7 @@ def _powers(n: int, inverse: bool) -> np.ndarray:
 
 def powers(n: int, inverse: bool = False) -> np.ndarray:
     """Powers of the hash's radix modulo 2**64, for n rounded up so that few tables are kept."""
-    return _powers(1 << max(16, int(n).bit_length()), inverse)
+    return _powers(1 << max(16, int(n - 1).bit_length()), inverse)
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -84,7 +84,7 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h
 
 
-def slices(batch: pa.RecordBatch, column: str, max_bytes: int = 4 << 20) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+def slices(batch: pa.RecordBatch, column: str, max_bytes: int = (2 << 20) - 64) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     """Split a batch into runs of rows of about max_bytes of text at most (one row at least).
 
     Gives each run, its texts' UTF-8 bytes joined without separator, and the offsets of the texts in them.

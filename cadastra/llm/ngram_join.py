@@ -124,7 +124,7 @@ def _postings(text: str, steps, parts: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         step = steps.value
         for batch in batches:
-            for _, data, offs in slices(batch, text, 16 << 20):
+            for _, data, offs in slices(batch, text):
                 token, owner, size = [], [], []
                 for s in shingle_sets(data, offs):
                     n = len(s)
@@ -182,7 +182,7 @@ def _merge(pdf: pd.DataFrame) -> pd.DataFrame:
 def _decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Keep the pairs (a, b) whose texts link: probe the longer sorted set for the elements of the other."""
     for batch in batches:
-        for part, data, offs in slices(batch, "text_a", 2 << 20):
+        for part, data, offs in slices(batch, "text_a"):
             left = shingle_sets(data, offs)
             right = [s for _, d, o in slices(part.select(["text_b"]), "text_b") for s in shingle_sets(d, o)]
             ok = []

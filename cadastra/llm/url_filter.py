@@ -17,6 +17,7 @@ import string
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .bloom import MOST_BLOCKS, blocks_for, bloom, may_hold
 from .common import table
 
 RULES = [
@@ -36,26 +37,7 @@ def canonical(url: F.Column) -> tuple[F.Column, F.Column]:
     return host, F.regexp_extract(url, _ADDRESS, 2)
 
 
-def _block_and_mask(key: F.Column, blocks: int) -> tuple[F.Column, F.Column]:
-    h = F.xxhash64(key)
-    one = F.lit(1).cast("long")
-    mask = None
-    for k in range(4):
-        bit = F.call_function("shiftleft", one, F.shiftright(h, 6 * k).bitwiseAND(F.lit(63)).cast("int"))
-        mask = bit if mask is None else mask.bitwiseOR(bit)
-    return F.pmod(F.shiftright(h, 24), F.lit(blocks)).cast("int"), mask
-
-
-def bloom(rules: DataFrame, blocks: int) -> DataFrame:
-    """One row, one array of longs: the blocks of the filter over rules.key."""
-    block, mask = _block_and_mask(F.col("key"), blocks)
-    filled = rules.select(block.alias("block"), mask.alias("mask")).groupBy("block").agg(F.bit_or("mask").alias("mask"))
-    return filled.agg(F.map_from_entries(F.collect_list(F.struct("block", "mask"))).alias("m")).select(
-        F.transform(F.sequence(F.lit(0), F.lit(blocks - 1)), lambda i: F.coalesce(F.col("m")[i], F.lit(0).cast("long"))).alias("bloom")
-    )
-
-
-def url_filter(pages: DataFrame, rules: DataFrame, url: str = "url", max_blocks: int = 1 << 18) -> DataFrame:
+def url_filter(pages: DataFrame, rules: DataFrame, url: str = "url", max_blocks: int = MOST_BLOCKS) -> DataFrame:
     """Rows of pages with host, path, rule and verdict; other columns of those names are replaced.
 
     rules: host, path, action. Null or malformed URLs have empty host and path, no rule and verdict allow, as have all
@@ -65,9 +47,7 @@ def url_filter(pages: DataFrame, rules: DataFrame, url: str = "url", max_blocks:
         F.length("host").alias("n_host"), (F.size(F.split("host", r"\.")) * 100_000 + F.length("path")).alias("shape"), F.col("action"),
     )
     counted = rules.agg(F.count("*").alias("n"), F.sort_array(F.collect_set("shape")).alias("shapes")).first()
-    blocks = 1
-    while blocks < min(max_blocks, counted["n"] // 4 + 1):
-        blocks *= 2
+    blocks = blocks_for(counted["n"], max_blocks)
     host, path = canonical(F.col(url))
     judged = pages.drop("host", "path", "rule", "verdict").withColumns({"host": host, "path": path})
     addresses = judged.select("host", "path").where("host != ''").distinct()
@@ -81,10 +61,10 @@ def url_filter(pages: DataFrame, rules: DataFrame, url: str = "url", max_blocks:
     ]
     if not keys:
         return judged.withColumns({"rule": F.lit(None).cast("string"), "verdict": F.lit("allow")})
-    block, mask = _block_and_mask(F.col("key"), blocks)
+    known = bloom(rules.select(F.xxhash64("key").alias("h")), blocks).scalar()
     possible = (
         addresses.select("host", "path", F.explode(F.array_compact(F.array(*keys))).alias("key"))
-        .where(F.get(bloom(rules, blocks).scalar(), block).bitwiseAND(mask) == mask)
+        .where(may_hold(known, F.xxhash64("key"), blocks))
         .join(rules, "key")
         .groupBy("host", "path")
         .agg(F.max(F.struct("n", "n_host", "rule", "action")).alias("best"))
