@@ -87,7 +87,7 @@ def contaminated(docs: DataFrame, items: DataFrame, id_: str = "doc_id", text: s
     blocks = blocks_for(counted["n"])
     sizes = [*counted["short"], window]
     docs = docs.select(F.col(id_).alias("id"), spaced(F.col(text)).alias("text"))
-    hashed = docs.select("id", "text", hashes(F.split(template(F.col("text")), " ")).alias("h")).where(F.size("h") >= least)
+    hashed = docs.select("id", "text", hashes(F.split(template(F.col("text")), " ")).alias("h"))
     filter_ = as_literal(bloom(known.select(F.col("key").alias("h")), blocks))
     windows = F.concat(*(let(F.col("h"), lambda h, s=s: _windows_of(h, s, window)) for s in sizes))
     found = hashed.select("id", "text", F.explode(F.filter(windows, lambda x: may_hold(filter_, x["key"], blocks))).alias("x"))
