@@ -1 +1,6 @@
-"""Plans of the library."""
+"""Queries of the library."""
+
+from . import clusters, heights  # noqa: F401  (they register themselves)
+from .registry import ORACLE_SQL, QUERIES
+
+__all__ = ["ORACLE_SQL", "QUERIES"]
