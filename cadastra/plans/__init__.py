@@ -1,6 +1,6 @@
 """Queries of the library."""
 
-from . import clusters, heights, ledger_queries, relational, scalar_queries  # noqa: F401  (they register themselves)
+from . import clusters, evidence_queries, heights, ledger_queries, relational, scalar_queries  # noqa: F401  (they register themselves)
 from .registry import ORACLE_SQL, QUERIES
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
