@@ -8,10 +8,11 @@ lists are those of rare shingles and what many documents share is skipped; any f
 1. One scan: the set's size, signature (equal sets are one class from here on), a histogram of the set over hash bins,
    and the frequency sketch, whose size doesn't depend on the data.
 2. Second scan: postings of the short lists, merged by token in partitions. Lists with the same members are kept once.
-3. Every list links its members to two leaders (its least signature and its largest set); candidates are decided exactly by
-   probing the skipped long lists: binary search of one sorted set in the other. Components follow.
+3. Every list links its members to three leaders (its two sets of the most common shingles, which of near copies are the
+   least edited, and its rarest); candidates are decided exactly by probing the skipped long lists: binary search of one sorted set in the other. Components follow.
 4. Only lists that still hold several components are searched further: all pairs across components in blocks of bounded
-   size, thinned by the size bound and by the histograms' bound on the overlap (both exact), then decided as in 3.
+   size, each pair once, thinned by the position bound (what two sets can still share from their first common shingle on) and by
+   the histograms' bound on the overlap, both exact, then decided as in 3.
 
 A large group of near copies thus costs its size, not its square, and no link between different components is missed.
 """
@@ -35,7 +36,7 @@ SHINGLE = 5
 SKETCH_BITS = 20
 SKETCH_PARTS = 16
 POSTINGS_PER_PART = 1_000_000
-BLOCK = 256
+BLOCK = 1024
 
 
 def least_overlap(n):
@@ -69,12 +70,12 @@ def histogram(s: np.ndarray) -> np.ndarray:
     return np.minimum(np.bincount((s >> np.uint64(64 - bits) if bits else s * np.uint64(0)).astype(np.int64), minlength=1 << bits), 65535).astype(np.uint16)
 
 
-def overlap_bounds(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
-    """Upper bounds of the overlaps of all sets in a with all in b, from their histograms folded to the fewest bins."""
-    bins = min(len(x) for x in (*a, *b))
-    fold = lambda h: np.stack([x.astype(np.int32).reshape(bins, -1).sum(1) for x in h])
-    fa, fb = fold(a), fold(b)
-    return np.stack([np.minimum(x, fb).sum(1) for x in fa])
+def overlap_bound(a: np.ndarray, b: np.ndarray) -> int:
+    """An upper bound of the overlap of two sets, from their histograms folded to the fewer bins."""
+    if len(a) > len(b):
+        a, b = b, a
+    b = b.reshape(len(a), -1).sum(1)  # wider than 16 bits
+    return int(np.minimum(a, b).sum(dtype=np.int64))
 
 
 def _describe(id_: str, text: str):
@@ -125,58 +126,59 @@ def _postings(text: str, steps, parts: int):
         step = steps.value
         for batch in batches:
             for _, data, offs in slices(batch, text):
-                token, owner, size = [], [], []
+                token, owner, size, rest, common = [], [], [], [], []
                 for s in shingle_sets(data, offs):
                     n = len(s)
                     if not n:
                         continue
                     sum_ = mix(s * np.uint64(0x9E3779B97F4A7C15) + np.uint64(1)).sum(dtype=np.uint64)
                     keep = n - least_overlap(n) + 1
-                    ordered = (step[(s >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)].astype(np.uint64) << np.uint64(48)) | (s & np.uint64((1 << 48) - 1))
-                    token.append(np.partition(ordered, keep - 1)[:keep])
+                    steps_of = step[(s >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]
+                    ordered = (steps_of.astype(np.uint64) << np.uint64(48)) | (s & np.uint64((1 << 48) - 1))
+                    token.append(np.sort(np.partition(ordered, keep - 1)[:keep]))
+                    rest.append(np.arange(n, n - keep, -1, np.int32))
                     owner.append(np.full(keep, sum_ ^ np.uint64(n), np.uint64))
                     size.append(np.full(keep, n, np.int32))
+                    common.append(np.full(keep, int(16 * steps_of.mean()), np.uint16))
                 if not token:
                     continue
-                token, owner, size = np.concatenate(token), mix(np.concatenate(owner)), np.concatenate(size)
+                token, owner, size, rest, common = np.concatenate(token), mix(np.concatenate(owner)), np.concatenate(size), np.concatenate(rest), np.concatenate(common)
                 part = (mix(token.copy()) % np.uint64(parts)).astype(np.int64)
                 order = np.lexsort((owner, token, part))
-                token, owner, size, part = token[order], owner[order], size[order], part[order]
+                token, owner, size, rest, common, part = token[order], owner[order], size[order], rest[order], common[order], part[order]
                 new = np.ones(len(token), bool)  # copies within a run give one posting
                 new[1:] = (token[1:] != token[:-1]) | (owner[1:] != owner[:-1])
-                token, owner, size, part = token[new], owner[new], size[new], part[new]
+                token, owner, size, rest, common, part = token[new], owner[new], size[new], rest[new], common[new], part[new]
                 at = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
                 ends = np.append(at[1:], len(part))
                 pack = lambda x: pa.array([x[a:b].tobytes() for a, b in zip(at, ends, strict=True)], pa.binary())  # noqa: B023, E731
-                yield pa.RecordBatch.from_arrays([pa.array(part[at].astype(np.int32)), pack(token), pack(signed(owner)), pack(size)], names=["p", "token", "sig", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array(part[at].astype(np.int32)), pack(token), pack(signed(owner)), pack(size), pack(rest), pack(common)], names=["p", "token", "sig", "n", "rest", "common"])
 
     return run
 
 
 def _merge(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Merge the lists of one partition; give each different list of two or more members once."""
-    token = np.frombuffer(b"".join(pdf["token"]), np.uint64)
-    sig = np.frombuffer(b"".join(pdf["sig"]), np.int64)
-    size = np.frombuffer(b"".join(pdf["n"]), np.int32)
+    """Merge the lists of one partition; give each different list of two or more members once, by its first token, the most
+    common set last."""
+    column = lambda c, t: np.frombuffer(b"".join(pdf[c]), t)
+    token, sig, size, rest, common = column("token", np.uint64), column("sig", np.int64), column("n", np.int32), column("rest", np.int32), column("common", np.uint16)
     order = np.argsort(token, kind="stable")
-    token = token[order]
-    again = np.concatenate([token[1:] == token[:-1], [False]])
-    keep = order[again | np.concatenate([[False], again[:-1]])]  # only tokens that occur more than once
-    order = keep[np.lexsort((sig[keep], np.frombuffer(b"".join(pdf["token"]), np.uint64)[keep]))]
-    token, sig, size = np.frombuffer(b"".join(pdf["token"]), np.uint64)[order], sig[order], size[order]
-    if len(token):
-        new = np.ones(len(token), bool)
-        new[1:] = (token[1:] != token[:-1]) | (sig[1:] != sig[:-1])
-        token, sig, size = token[new], sig[new], size[new]
+    again = token[order][1:] == token[order][:-1]
+    order = order[np.concatenate([again, [False]]) | np.concatenate([[False], again])] if len(order) else order  # only tokens that occur more than once
+    order = order[np.lexsort((sig[order], common[order], token[order]))]
+    token, sig, size, rest = token[order], sig[order], size[order], rest[order]
+    new = np.ones(len(token), bool)
+    new[1:] = (token[1:] != token[:-1]) | (sig[1:] != sig[:-1])
+    token, sig, size, rest = token[new], sig[new], size[new], rest[new]
     at = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]])) if len(token) else np.zeros(0, np.int64)
     ends = np.append(at[1:], len(token)) if len(at) else at
-    seen, out = set(), []
     sums = np.add.reduceat(mix(sig.view(np.uint64).copy()), at) if len(at) else at
+    seen, out = set(), []
     for a, b, s in zip(at.tolist(), ends.tolist(), sums.tolist(), strict=True):
         if b - a > 1 and s not in seen:
             seen.add(s)
-            out.append((np.uint64(s).astype(np.int64), sig[a:b].tolist(), size[a:b].tolist()))
-    return pd.DataFrame(out, columns=["list", "sigs", "sizes"])
+            out.append((np.uint64(s).astype(np.int64), signed(token[a : a + 1])[0], sig[a:b].tolist(), size[a:b].tolist(), rest[a:b].tolist()))
+    return pd.DataFrame(out, columns=["list", "token", "sigs", "sizes", "rests"])
 
 
 def _decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -194,28 +196,29 @@ def _decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([part.column("a"), part.column("b")], names=["u", "v"]).filter(pa.array(ok, pa.bool_()))
 
 
-def _blocks(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Pairs across components of one pair of blocks that both exact bounds leave possible."""
-    i, j = pdf["i"].iloc[0], pdf["j"].iloc[0]
-    pdf = pdf.sort_values("sig")
-    left = pdf[pdf["own"] == i]
-    right = pdf[pdf["own"] == j]
-    bins_l, bins_r = ([np.frombuffer(x, np.uint16) for x in side["bins"]] for side in (left, right))
-    if not len(left) or not len(right):
-        return pd.DataFrame({"a": [], "b": []}, dtype="int64")
-    nl, nr = left["n"].to_numpy(), right["n"].to_numpy()
-    need = -(-75 * (nl[:, None] + nr[None, :]) // 175)
-    ok = (left["component"].to_numpy()[:, None] != right["component"].to_numpy()[None, :]) & (3 * np.maximum(nl[:, None], nr) <= 4 * np.minimum(nl[:, None], nr))
-    if i == j:
-        ok &= left["sig"].to_numpy()[:, None] < right["sig"].to_numpy()[None, :]
-    rows = np.flatnonzero(ok.any(1))
+def _pairs(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Pairs across components that the position bound leaves possible, of the block pairs dealt to one task; each once."""
     out = []
-    for r in rows:
-        c = np.flatnonzero(ok[r])
-        c = c[(overlap_bounds([bins_l[r]], [bins_r[k] for k in c])[0] >= need[r, c])]
-        a, b = np.full(len(c), left["sig"].iloc[r]), right["sig"].to_numpy()[c]
-        out.append(pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)}))
-    return pd.concat(out) if out else pd.DataFrame({"a": [], "b": []}, dtype="int64")
+    for (_, i, j), rows in pdf.groupby(["list", "i", "j"], sort=False):
+        left, right = rows[rows["own"] == i], rows[rows["own"] == j]
+        nl, nr = left["n"].to_numpy(), right["n"].to_numpy()
+        need = -(-75 * (nl[:, None] + nr) // 175)
+        ok = (left["component"].to_numpy()[:, None] != right["component"].to_numpy()) & (np.minimum(left["rest"].to_numpy()[:, None], right["rest"].to_numpy()) >= need)
+        x, y = np.nonzero(ok)
+        a, b = left["sig"].to_numpy()[x], right["sig"].to_numpy()[y]
+        both = np.stack([np.minimum(a, b), np.maximum(a, b)])
+        out.append(np.unique(both, axis=1))
+    both = np.unique(np.concatenate(out, 1), axis=1)
+    return pd.DataFrame({"a": both[0], "b": both[1]})
+
+
+def _possible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Keep the pairs whose histograms allow the overlap that a link needs."""
+    for batch in batches:
+        ok = []
+        for na, nb, x, y in zip(*(batch.column(c).to_pylist() for c in ("n_a", "n_b", "bins_a", "bins_b")), strict=True):
+            ok.append(overlap_bound(np.frombuffer(x, np.uint16), np.frombuffer(y, np.uint16)) * 175 >= 75 * (na + nb))
+        yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
 
 def ngram_components(docs: DataFrame, id_: str = "doc_id", text: str = "text") -> DataFrame:
@@ -230,27 +233,36 @@ def ngram_components(docs: DataFrame, id_: str = "doc_id", text: str = "text") -
     sets = described.where("part IS NULL")
     postings = sets.agg(F.sum(F.col("n") - F.ceil(F.col("n") * 0.75) + 1)).first()[0] or 0
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(postings // POSTINGS_PER_PART) + 1)
-    lists = docs.mapInArrow(_postings("text", steps, parts), "p int, token binary, sig binary, n binary")
-    lists = lists.groupBy("p").applyInPandas(_merge, "list long, sigs array<long>, sizes array<int>")
-    lists = cut(lists.dropDuplicates(["list"]), "ngram-lists")
+    lists = docs.mapInArrow(_postings("text", steps, parts), "p int, token binary, sig binary, n binary, rest binary, common binary")
+    lists = lists.groupBy("p").applyInPandas(_merge, "list long, token long, sigs array<long>, sizes array<int>, rests array<int>")
+    # Tokens are unsigned: flipping the sign bit puts them in order. The first token of equal lists has the widest bound.
+    first_token = F.col("token").bitwiseXOR(F.lit(-(1 << 63)))
+    lists = lists.groupBy("list").agg(F.min_by(F.struct("sigs", "sizes", "rests"), first_token).alias("l")).select("list", "l.*")
+    lists = cut(lists, "ngram-lists")
 
     classes = sets.where("n > 0").groupBy("sig").agg(F.min("id").alias("id"), F.min("n").alias("n"))
-    member = lists.select("list", "sigs", "sizes", F.explode(F.arrays_zip("sigs", "sizes")).alias("m"))
-    leaders = F.array(F.struct(F.element_at("sizes", 1).alias("n"), F.element_at("sigs", 1).alias("sig")), F.array_max(F.zip_with("sizes", "sigs", lambda n, s: F.struct(n.alias("n"), s.alias("sig")))))
-    star = lists.select(leaders.alias("l"), F.arrays_zip("sigs", "sizes").alias("m")).select(F.explode(F.array_distinct("l")).alias("l"), "m").select("l", F.explode("m").alias("m"))
-    star = star.where("l.sig != m.sigs AND 3 * greatest(l.n, m.sizes) <= 4 * least(l.n, m.sizes)").select(F.least("l.sig", "m.sigs").alias("a"), F.greatest("l.sig", "m.sigs").alias("b")).distinct()
+    members = F.arrays_zip("sigs", "sizes", "rests")
+    member = lists.select("list", F.explode(members).alias("m"))
+    at = lambda k: F.struct(F.element_at("sizes", k).alias("n"), F.element_at("rests", k).alias("rest"), F.element_at("sigs", k).alias("sig"))
+    leaders = F.array(at(-1), at(-2), at(1))
+    star = lists.select(leaders.alias("l"), members.alias("m")).select(F.explode(F.array_distinct("l")).alias("l"), "m").select("l", F.explode("m").alias("m"))
+    possible = "l.sig != m.sigs AND 175L * least(l.rest, m.rests) >= 75L * (l.n + m.sizes)"
+    star = star.where(possible).select(F.least("l.sig", "m.sigs").alias("a"), F.greatest("l.sig", "m.sigs").alias("b")).distinct()
     first = _verified(star, classes, docs)
     near = connected_components(first, cut)
 
-    open_ = member.select("list", F.col("m.sigs").alias("sig"), F.col("m.sizes").alias("n")).join(near.withColumnRenamed("node", "sig"), "sig", "left").withColumn("component", F.coalesce("component", "sig"))
+    open_ = member.select("list", F.col("m.sigs").alias("sig"), F.col("m.sizes").alias("n"), F.col("m.rests").alias("rest")).join(near.withColumnRenamed("node", "sig"), "sig", "left").withColumn("component", F.coalesce("component", "sig"))
     open_ = cut(open_, "ngram-members")
     several = open_.groupBy("list").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("m")).where("lo < hi").select("list", (F.floor((F.col("m") - 1) / BLOCK) + 1).alias("nb"))
     # Lists with the same members but for some of one component ask the same; pairs are made distinct below.
-    bins = sets.where("n > 0").select("sig", "bins").dropDuplicates(["sig"])
-    rows = open_.join(several, "list").join(bins, "sig").withColumn("own", F.pmod(F.xxhash64("sig"), F.col("nb")))
+    rows = open_.join(several, "list").withColumn("own", F.pmod(F.xxhash64("sig"), F.col("nb")))
     rows = rows.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("nb") - 1)).alias("other"))
     rows = rows.withColumns({"i": F.least("own", "other"), "j": F.greatest("own", "other")})
-    pairs = rows.groupBy("list", "i", "j").applyInPandas(_blocks, "a long, b long").distinct().join(star, ["a", "b"], "left_anti")
+    pairs = rows.withColumn("slot", F.pmod(F.xxhash64("list", "i", "j"), F.lit(4 * parts))).groupBy("slot").applyInPandas(_pairs, "a long, b long").distinct()
+    pairs = pairs.join(star, ["a", "b"], "left_anti")
+    bins = sets.where("n > 0").select("sig", "n", "bins").dropDuplicates(["sig"])
+    of = lambda side: bins.select(*(F.col(c).alias(side if c == "sig" else f"{c}_{side}") for c in bins.columns))
+    pairs = pairs.join(of("a"), "a").join(of("b"), "b").mapInArrow(_possible, "a long, b long")
     second = _verified(cut(pairs, "ngram-pairs"), classes, docs)
     reach = connected_components(first.unionByName(second), cut)
 
