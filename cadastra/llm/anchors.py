@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -54,11 +52,33 @@ def unpack(pdf: pd.DataFrame) -> tuple[np.ndarray, ...]:
     return hash_[new], owner[new], pos[new], rank[new]
 
 
-def by_owner(owner: np.ndarray, pos: np.ndarray) -> pd.DataFrame:
+BUCKETS = "q int, owner binary, pos binary"
+
+
+def _split(key: np.ndarray, *arrays: np.ndarray) -> tuple[np.ndarray, list[list[bytes]]]:
+    """The different keys of ordered arrays, and the bytes of each array's part for each key."""
+    at = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
+    return key[at], [[x.tobytes() for x in np.split(a, at[1:])] if len(at) else [] for a in arrays]
+
+
+def to_buckets(owner: np.ndarray, pos: np.ndarray, parts: int) -> pd.DataFrame:
+    """What was found, packed by bucket of owners: one row for each bucket, not for each owner."""
+    q = (mix(owner.view(np.uint64).copy()) % np.uint64(parts)).astype(np.int32)
+    order = np.argsort(q, kind="stable")
+    key, (o, p) = _split(q[order], owner[order], pos[order].astype(np.int32))
+    return pd.DataFrame({"q": key, "owner": o, "pos": p})
+
+
+def _gather(pdf: pd.DataFrame) -> pd.DataFrame:
+    owner, pos = np.frombuffer(b"".join(pdf["owner"]), np.int64), np.frombuffer(b"".join(pdf["pos"]), np.int32)
     order = np.lexsort((pos, owner))
-    owner, pos = owner[order], pos[order]
-    at = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]])) if len(owner) else np.zeros(0, np.int64)
-    return pd.DataFrame({"owner": owner[at], "pos": [x.astype(np.int32).tobytes() for x in np.split(pos, at[1:])] if len(at) else []})
+    key, (p,) = _split(owner[order], pos[order])
+    return pd.DataFrame({"owner": key, "pos": p})
+
+
+def gathered(buckets: DataFrame) -> DataFrame:
+    """(owner, pos): one row for each owner with all its positions, packed."""
+    return buckets.groupBy("q").applyInPandas(_gather, "owner long, pos binary")
 
 
 def groups(hash_: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -69,8 +89,4 @@ def groups(hash_: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def positions(packed) -> np.ndarray:
-    return np.frombuffer(b"".join(packed), np.int32).astype(np.int64) if packed is not None and len(packed) else np.zeros(0, np.int64)
-
-
-def runs_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    return (b for b in batches if b.num_rows)
+    return np.frombuffer(packed, np.int32).astype(np.int64) if packed else np.zeros(0, np.int64)

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .anchors import LAST_ID, PACKED, by_owner, groups, keyed, pack, positions, unpack
+from .anchors import BUCKETS, LAST_ID, PACKED, gathered, groups, keyed, pack, positions, to_buckets, unpack
 from .common import Words, long_window_hashes, slices, table
 
 PERIOD = 31
@@ -50,13 +50,14 @@ def _anchors(window: int, period: int, cover, parts: int):
     return run
 
 
-def _shared_anchors(pdf: pd.DataFrame) -> pd.DataFrame:
-    hash_, owner, pos, _ = unpack(pdf)
-    at, run = groups(hash_)
-    if not len(at):
-        return by_owner(owner, pos)
-    shared = (np.minimum.reduceat(owner, at) < np.maximum.reduceat(owner, at))[run]
-    return by_owner(owner[shared], pos[shared])
+def _shared_anchors(parts: int):
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        hash_, owner, pos, _ = unpack(pdf)
+        at, group = groups(hash_)
+        shared = (np.minimum.reduceat(owner, at) < np.maximum.reduceat(owner, at))[group] if len(at) else np.zeros(0, bool)
+        return to_buckets(owner[shared], pos[shared], parts)
+
+    return run
 
 
 def _extend(window: int, period: int, parts: int):
@@ -82,12 +83,15 @@ def _extend(window: int, period: int, parts: int):
     return run
 
 
-def _later(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Windows that a smaller id has too."""
-    hash_, owner, pos, rank = unpack(pdf)
-    at, run = groups(hash_)
-    later = rank > np.minimum.reduceat(rank, at)[run] if len(at) else np.zeros(0, bool)
-    return by_owner(owner[later], pos[later])
+def _later(parts: int):
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        """Windows that a smaller id has too."""
+        hash_, owner, pos, rank = unpack(pdf)
+        at, group = groups(hash_)
+        later = rank > np.minimum.reduceat(rank, at)[group] if len(at) else np.zeros(0, bool)
+        return to_buckets(owner[later], pos[later], parts)
+
+    return run
 
 
 def _remove(window: int):
@@ -123,17 +127,17 @@ def substring_dedup(docs: DataFrame, id_: str = "doc_id", text: str = "text", wi
     if not is_cover(cover, period) or period > window:
         raise ValueError("cover is no difference cover of the period, or the period exceeds the window")
     spark = docs.sparkSession
-    parts = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = keyed(docs, id_, text)
     classes = rows.groupBy("tk").agg(F.min("id").alias("first"), F.max("id").alias("last"))
-    shared = rows.select("tk", "text").mapInArrow(_anchors(window, period, cover, parts), PACKED).groupBy("p").applyInPandas(_shared_anchors, "owner long, pos binary")
-    marks = shared.groupBy("owner").agg(F.collect_list("pos").alias("pos")).join(classes, F.col("owner") == F.col("tk"))
+    shared = rows.select("tk", "text").mapInArrow(_anchors(window, period, cover, parts), PACKED).groupBy("p").applyInPandas(_shared_anchors(parts), BUCKETS)
+    marks = gathered(shared).join(classes, F.col("owner") == F.col("tk"))
     marks = marks.select(F.col("first").alias("id"), "tk", "pos")
     windows = rows.join(marks.hint("shuffle_hash"), ["id", "tk"]).mapInArrow(_extend(window, period, parts), PACKED + ", rank binary")
-    later = windows.groupBy("p").applyInPandas(_later, "owner long, pos binary").groupBy("owner").agg(F.collect_list("pos").alias("pos"))
+    later = gathered(windows.groupBy("p").applyInPandas(_later(parts), BUCKETS))
     later = later.join(classes, F.col("owner") == F.col("tk")).select(F.col("first").alias("id"), "tk", "pos", F.lit(False).alias("copy"))
     copies = rows.select("id", "tk").join(classes.where("first < last"), "tk").where("id > first").select("id", "tk").distinct()
-    gone = later.unionByName(copies.select("id", "tk", F.expr("cast(null as array<binary>)").alias("pos"), F.lit(True).alias("copy")))
+    gone = later.unionByName(copies.select("id", "tk", F.expr("cast(null as binary)").alias("pos"), F.lit(True).alias("copy")))
     out = rows.join(gone.hint("shuffle_hash"), ["id", "tk"], "left").select("id", "text", "pos", F.coalesce("copy", F.lit(False)).alias("copy"))
     out = out.mapInArrow(_remove(window), "id long, n_words long, n_removed long, kept_sha256 string")
     return out.withColumn("id", F.when(F.col("id") < LAST_ID, F.col("id")))

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .anchors import LAST_ID, PACKED, by_owner, keyed, pack, positions, unpack
+from .anchors import BUCKETS, LAST_ID, PACKED, gathered, keyed, pack, positions, to_buckets, unpack
 from .common import cut, mix, prefix_hash, signed, slices, span_hash, table
 from .suffix_array import equal_neighbours, suffix_order
 
@@ -73,9 +73,12 @@ def _anchors(length: int, parts: int):
     return run
 
 
-def _repeated(pdf: pd.DataFrame) -> pd.DataFrame:
-    _, owner, pos, _ = unpack(pdf)
-    return by_owner(owner, pos)
+def _repeated(parts: int):
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        _, owner, pos, _ = unpack(pdf)
+        return to_buckets(owner, pos, parts)
+
+    return run
 
 
 ITEMS = "tk long, start int, n int, hash long, at int, segment binary, sh long"
@@ -187,11 +190,11 @@ def suffix_dedup(docs: DataFrame, id_: str = "doc_id", text: str = "text", lengt
     spark = docs.sparkSession
     if length < GRAM + 8:
         raise ValueError(f"length must be at least {GRAM + 8}")
-    parts = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = keyed(docs, id_, text)
     classes = rows.groupBy("tk").agg(F.min("id").alias("id"), (F.count("*") > 1).alias("copies"))
-    repeated = rows.select("tk", "text").mapInArrow(_anchors(length, parts), PACKED).groupBy("p").applyInPandas(_repeated, "owner long, pos binary")
-    marks = repeated.groupBy("owner").agg(F.collect_list("pos").alias("pos")).join(classes, F.col("owner") == F.col("tk")).select("id", "tk", "pos")
+    repeated = rows.select("tk", "text").mapInArrow(_anchors(length, parts), PACKED).groupBy("p").applyInPandas(_repeated(parts), BUCKETS)
+    marks = gathered(repeated).join(classes, F.col("owner") == F.col("tk")).select("id", "tk", "pos")
     # Rows that repeat the least id of their class would give their items twice; items are made distinct by segment below.
     items = rows.join(marks.hint("shuffle_hash"), ["id", "tk"]).select("tk", "text", "pos").mapInArrow(_segments(length), ITEMS)
     items = cut(items, "suffix-items")
@@ -200,7 +203,7 @@ def suffix_dedup(docs: DataFrame, id_: str = "doc_id", text: str = "text", lengt
     sizes = segments.groupBy("hash").agg(F.count("*").alias("m"))
     small = sizes.where((F.col("m") > 1) & (F.col("m") <= most_segments)).select("hash")
     large = sizes.where(F.col("m") > most_segments).select("hash")
-    part = F.pmod(F.xxhash64("hash"), F.lit(parts // 4)).alias("p")
+    part = F.pmod(F.xxhash64("hash"), F.lit(parts)).alias("p")
     single = segments.where("not twice")  # of segments that occur twice all windows repeat, known without sorting
     sorted_ = segments.join(small, "hash").select("hash", "sh", "segment", "n", part).groupBy("p").applyInPandas(_sort_part(length), "hash long, sh long, marks binary")
     windows = segments.join(large, "hash").select("hash", "sh", "segment", "n").mapInArrow(_windows(length), "hash long, sh long, k int, w long")
