@@ -43,8 +43,8 @@ def pooled(net: Net, data: np.ndarray, offs: np.ndarray, window: int, context: i
         x = padded[offs[doc[r]] + at + context]
         x[(at < 0) | (at >= sizes[doc[r]])] = 0
         p = net.probabilities(x, context)
-        p[np.arange(longest)[:, None] >= length[r]] = 0
-        np.add.at(out, doc[r], p.sum(0))
+        p *= np.arange(longest)[:, None] < length[r]
+        np.add.at(out, doc[r], p.sum(1, dtype=np.float64).T)
     return out / np.maximum(sizes, 1)[:, None]
 
 

@@ -30,42 +30,55 @@ class Net:
         return Net(draw(2, 256, 3 * hidden), draw(2, hidden, 3 * hidden), np.zeros((2, 3 * hidden), np.float32), draw(2, hidden, labels), np.zeros(labels, np.float32))
 
     def probabilities(self, x: np.ndarray, skip: int = 0) -> np.ndarray:
-        """Label probabilities at every position of x (time x batch of bytes) but the first and last `skip`."""
+        """labels x time x batch: probabilities at every position of x (time x batch of bytes) but the first and last `skip`."""
         time, batch = x.shape
         hidden = self.state.shape[1]
         logits = np.empty((time - 2 * skip, batch, len(self.out_bias)), np.float32)
+        # All arrays of a step are made once: at this size making them would cost more than the arithmetic.
+        new = lambda *shape: np.empty(shape, np.float32)
+        g, ug, tmp = new(2, batch, hidden), new(2, batch, hidden), new(2, batch, hidden)  # update and reset
+        c, uc, one, score = new(batch, hidden), new(batch, hidden), new(batch, hidden), new(batch, len(self.out_bias))
         for way in (0, 1):
             h = np.zeros((batch, hidden), np.float32)
-            table, state, bias, out = self.inputs[way] + np.concatenate([self.bias[way][: 2 * hidden], np.zeros(hidden, np.float32)]), self.state[way], self.bias[way][2 * hidden :], self.out[way]
-            tmp = np.empty((batch, 2 * hidden), np.float32)
+            tables = [np.ascontiguousarray(q) for q in np.split(self.inputs[way], 3, 1)]
+            states = np.stack(np.split(self.state[way], 3, 1))
+            bias, out = self.bias[way].reshape(3, 1, hidden), self.out[way]
+            tables[0] += bias[0]
+            tables[1] += bias[1]
             for t in range(time) if way == 0 else range(time - 1, -1, -1):
-                a = table.take(x[t], 0)
-                u = h @ state
-                g = a[:, : 2 * hidden]
-                g += u[:, : 2 * hidden]
+                at = x[t].astype(np.intp)
+                np.take(tables[0], at, 0, out=g[0], mode="clip")
+                np.take(tables[1], at, 0, out=g[1], mode="clip")
+                np.take(tables[2], at, 0, out=c, mode="clip")
+                np.matmul(h, states[:2], out=ug)
+                np.matmul(h, states[2], out=uc)
+                g += ug
                 np.abs(g, tmp)
                 tmp += 1
                 g /= tmp
                 g += 1
                 g *= 0.5
-                c = u[:, 2 * hidden :]
-                c += bias
-                c *= g[:, hidden:]
-                c += a[:, 2 * hidden :]
-                c /= 1 + np.abs(c)
+                uc += bias[2]
+                uc *= g[1]
+                c += uc
+                np.abs(c, one)
+                one += 1
+                c /= one
                 c -= h
-                c *= g[:, :hidden]
+                c *= g[0]
                 h += c
                 if skip <= t < time - skip:
                     if way == 0:
                         np.matmul(h, out, out=logits[t - skip])
                     else:
-                        logits[t - skip] += h @ out
-        logits += self.out_bias
-        logits -= logits.max(2, keepdims=True)
-        np.exp(logits, out=logits)
-        logits /= logits.sum(2, keepdims=True)
-        return logits
+                        np.matmul(h, out, out=score)
+                        logits[t - skip] += score
+        p = np.ascontiguousarray(logits.transpose(2, 0, 1))
+        p += self.out_bias[:, None, None]
+        p -= p.max(0)
+        np.exp(p, out=p)
+        p /= p.sum(0)
+        return p
 
     def gradients(self, x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, list[np.ndarray]]:
         """Loss and gradients of the weighted cross-entropy over all positions, by backpropagation through time.
