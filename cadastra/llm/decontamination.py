@@ -27,7 +27,8 @@ UNITS = (
 )
 _PUNCTUATION = r"""!"#$%&'()*+,-./:;<=>?@[\]^_`{|}~"""
 _NUMBER = r"(?<![^ ])\p{Punct}*[0-9]+(?:[.,:/][0-9]+)*(?:st|nd|rd|th|%)?\p{Punct}*(?![^ ])"
-_UNIT = rf"(?<![^ ])(?i:{'|'.join(sorted(UNITS, key=len, reverse=True))})\p{{Punct}}*(?![^ ])"
+_BY_LETTER = {c: sorted((u[1:] for u in UNITS if u[0] == c), key=len, reverse=True) for c in sorted({u[0] for u in UNITS})}
+_UNIT = rf"(?<![^ ])(?i:{'|'.join(f'{c}(?:{"|".join(rest)})' for c, rest in _BY_LETTER.items())})\p{{Punct}}*(?![^ ])"
 _NAME = r"(?<=[^.!?:;| ] )\p{Punct}*\p{Lu}\p{Ll}[^ ]*"
 #: Private characters that stand for <num>, <unit> and <name> in templates.
 _SLOTS = ""
@@ -35,7 +36,8 @@ _SLOTS = ""
 
 def spaced(text: F.Column) -> F.Column:
     """The words of a text with one space between them. Null is the empty text."""
-    return F.regexp_replace(F.translate(F.regexp_replace(F.coalesce(text, F.lit("")), r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$", ""), "\t\n\x0b\x0c\r", "     "), " {2,}", " ")
+    blank = F.translate(F.coalesce(text, F.lit("")), "\t\n\x0b\x0c\r", "     ")
+    return F.regexp_replace(F.trim(blank), " {2,}", " ")
 
 
 def plain(text: F.Column) -> F.Column:
