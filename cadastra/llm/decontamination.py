@@ -1,18 +1,29 @@
 """Benchmark decontamination by template canonicalisation.
 
 A word becomes a template token: A-Z lower-cased, punctuation at its ends dropped; then a number becomes <num>, a unit word
-<unit>, and a capitalised word in the middle of a sentence <name>. Windows of `window` template tokens (the whole item, if it
-has fewer, down to `least`) of documents are hash-joined with those of benchmark items, and slots are checked: over
-all windows that a document shares with an item at one alignment, an item's slot value must stand for one value of the
-document and the other way round. So a question with other numbers or names is caught, and a chance agreement of
-templates with mixed-up values isn't. Windows need `least_plain` tokens that are no placeholders.
-
-Only the hashes of document windows meet the benchmark's; what matches, a small part, carries its slots.
+<unit>, and a name <name>. Whether a capitalised word is a name can't be told from the word, so there are several templates
+of a text, and each is compared with the same one of the other side:
+
+within   names are capitalised words in the middle of a sentence
+any      names are all capitalised words, whatever stands before them
+cased    no word is a name, so neither capitals nor surroundings matter
+exact    no placeholders at all; only for items and windows that the limits below drop from `cased`
+
+Windows of `window` template tokens (the whole item, if it has fewer) of documents are hash-joined with those of benchmark
+items, and slots are checked: over all windows of one template that a document shares with an item at one alignment, an
+item's slot value must stand for one value of the document and the other way round. So a question with other numbers or
+names is caught, and a chance agreement of templates with mixed-up values isn't. But for `exact`, windows need
+`least_plain` tokens that are no placeholders, and items `least` words. What `cased` or `exact` holds of a copy doesn't
+depend on where it stands, so a copy of an item is found in any surroundings, however short the item is.
+
+Only the hashes of document windows meet the benchmark's; what matches, a small part, carries its slots. Windows are
+hashed only where the hash of their first words is one of an item's window.
 """
 
 from __future__ import annotations
 
 import string
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,8 +41,12 @@ _NUMBER = r"(?<![^ ])\p{Punct}*[0-9]+(?:[.,:/][0-9]+)*(?:st|nd|rd|th|%)?\p{Punct
 _BY_LETTER = {c: sorted((u[1:] for u in UNITS if u[0] == c), key=len, reverse=True) for c in sorted({u[0] for u in UNITS})}
 _UNIT = rf"(?<![^ ])(?i:{'|'.join(f'{c}(?:{"|".join(rest)})' for c, rest in _BY_LETTER.items())})\p{{Punct}}*(?![^ ])"
 _NAME = r"(?<=[^.!?:;| ] )\p{Punct}*\p{Lu}\p{Ll}[^ ]*"
+_CAPITAL = r"(?<![^ ])\p{Punct}*\p{Lu}\p{Ll}[^ ]*"
 #: Private characters that stand for <num>, <unit> and <name> in templates.
 _SLOTS = ""
+#: Templates by number, and how many words decide whether a window is hashed.
+WITHIN, ANY, CASED, EXACT = range(4)
+FIRST = 3
 
 
 def spaced(text: F.Column) -> F.Column:
@@ -45,11 +60,11 @@ def plain(text: F.Column) -> F.Column:
     return F.translate(text, string.ascii_uppercase + _PUNCTUATION, string.ascii_lowercase)
 
 
-def template(text: F.Column) -> F.Column:
-    """The template of a spaced text: as many words, each plain or the character of its placeholder."""
-    for pattern, slot in zip((_NUMBER, _UNIT, _NAME), _SLOTS, strict=True):
-        text = F.regexp_replace(text, pattern, slot)
-    return plain(text)
+def templates(text: F.Column) -> list[F.Column]:
+    """The templates of a spaced text: as many words, each plain or the character of its placeholder."""
+    number, unit, name = _SLOTS
+    values = F.regexp_replace(F.regexp_replace(text, _NUMBER, number), _UNIT, unit)
+    return [plain(F.regexp_replace(values, _NAME, name)), plain(F.regexp_replace(values, _CAPITAL, name)), plain(values), plain(text)]
 
 
 def let(value: F.Column, body) -> F.Column:
@@ -67,48 +82,64 @@ def hashes(tokens: F.Column) -> F.Column:
 
 
 def item_windows(items: DataFrame, item: str, text: str, window: int, least: int, least_plain: int) -> DataFrame:
-    """item_id, at, size, wh, slots of the windows of items; shorter items give one window, of all their words."""
-    one = items.select(F.col(item).alias("item_id"), spaced(F.col(text)).alias("text"))
-    split = one.select("item_id", F.split("text", " ").alias("w"), F.split(template(F.col("text")), " ").alias("t")).where(F.size("t") >= least)
-    size = F.least(F.size("t"), F.lit(window))
-    each = split.select("item_id", "w", "t", size.alias("size"), F.explode(F.sequence(F.lit(0), F.size("t") - size)).alias("at"))
+    """item_id, at, size, kind, first, key, slots of the windows of items; shorter items give one window, of all their words."""
+    one = items.select(F.col(item).alias("item_id"), spaced(F.col(text)).alias("text")).where("text != ''")
+    split = one.select("item_id", F.split("text", " ").alias("w"), F.array(*(F.split(t, " ") for t in templates(F.col("text")))).alias("t"))
+    size = F.least(F.size("w"), F.lit(window))
+    each = split.select("item_id", "w", "t", size.alias("size"), F.explode(F.sequence(F.lit(0), F.size("w") - size)).alias("at"))
     part = lambda c: F.slice(c, F.col("at") + 1, F.col("size"))
-    each = each.select("item_id", "at", "size", part("t").alias("t"), slots(part("w"), part("t")).alias("slots"))
-    each = each.where(F.size(F.filter("t", lambda t: (t != "") & ~t.isin(*_SLOTS))) >= least_plain)
-    wh = F.xxhash64(*(F.get(hashes(F.col("t")), F.lit(k)) for k in range(window)))
-    return each.select("item_id", "at", "size", wh.alias("key"), "slots")
+    each = each.select("item_id", "at", "size", part(F.col("w")).alias("w"), F.posexplode(F.transform("t", part)).alias("kind", "t"), part(F.col("t")[CASED]).alias("cased"))
+    enough = lambda c: (F.col("size") >= least) & (F.size(F.filter(c, lambda t: (t != "") & ~t.isin(*_SLOTS))) >= least_plain)
+    each = each.where(F.when(F.col("kind") == EXACT, ~enough("cased") & F.exists("t", lambda t: t != "")).otherwise(enough("t")))
+    h = hashes(F.col("t"))
+    first = F.xxhash64(*(F.get(h, F.lit(k)) for k in range(FIRST)))
+    key = F.xxhash64("kind", *(F.get(h, F.lit(k)) for k in range(window)))
+    return each.select("item_id", "at", "size", "kind", first.alias("first"), key.alias("key"), slots(F.col("w"), F.col("t")).alias("slots"))
 
 
 def contaminated(docs: DataFrame, items: DataFrame, id_: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text", window: int = 10, least: int = 6, least_plain: int = 4) -> DataFrame:
     """(id, item_id, n_windows, n_slots) for each document and item that share consistent template windows.
 
-    Rows of docs with equal ids count as one document. Null and empty texts, and items of fewer than `least` words, match
+    Rows of docs with equal ids count as one document. Null and empty texts, and items of punctuation only, match
     nothing. n_windows: different item windows found; n_slots: different slot values compared."""
     known = item_windows(items, item, item_text, window, least, least_plain)
-    counted = known.agg(F.count("*").alias("n"), F.sort_array(F.collect_set(F.when(F.col("size") < window, F.col("size")))).alias("short")).first()
-    blocks = blocks_for(counted["n"])
-    sizes = [*counted["short"], window]
+    counted = known.groupBy("kind", "size").agg(F.count("*").alias("n")).collect()
+    blocks = blocks_for(sum(r["n"] for r in counted))
     docs = docs.select(F.col(id_).alias("id"), spaced(F.col(text)).alias("text"))
-    hashed = docs.select("id", "text", hashes(F.split(template(F.col("text")), " ")).alias("h"))
-    filter_ = as_literal(bloom(known.select(F.col("key").alias("h")), blocks))
-    windows = F.concat(*(let(F.col("h"), lambda h, s=s: _windows_of(h, s, window)) for s in sizes))
+    filter_, starts = (as_literal(bloom(known.select(F.col(c).alias("h")), blocks)) for c in ("key", "first"))
+    kinds = [(k, sorted(r["size"] for r in counted if r["kind"] == k)) for k in sorted({r["kind"] for r in counted})] or [(CASED, [window])]
+    hashed = docs.select("id", "text", *(hashes(F.split(templates(F.col("text"))[k], " ")).alias(f"h{k}") for k, _ in kinds))
+    windows = F.concat(*(let(F.col(f"h{k}"), lambda h, k=k, sizes=sizes: _windows_of(h, k, sizes, window, lambda x: may_hold(starts, x, blocks))) for k, sizes in kinds))
     found = hashed.select("id", "text", F.explode(F.filter(windows, lambda x: may_hold(filter_, x["key"], blocks))).alias("x"))
     hits = found.select("id", "text", F.col("x.key").alias("key"), F.col("x.at").alias("d_at")).join(known, "key")
-    part = lambda c: F.slice(F.split(c, " "), F.col("d_at") + 1, F.col("size"))
-    hits = hits.select("id", "item_id", "at", (F.col("d_at") - F.col("at")).alias("shift"), "slots", slots(part(F.col("text")), part(template(F.col("text")))).alias("values"))
+    values = F.transform(F.slice(F.split("text", " "), F.col("d_at") + 1, F.col("size")), plain)
+    hits = hits.select("id", "item_id", "kind", "at", (F.col("d_at") - F.col("at")).alias("shift"), "slots", values.alias("values"))
     pairs = F.array_distinct(F.filter(F.zip_with("slots", "values", lambda a, b: F.struct(a.alias("a"), b.alias("b"))), lambda x: x["a"] != ""))
-    aligned = hits.groupBy("id", "item_id", "shift").agg(F.collect_set("at").alias("ats"), F.array_distinct(F.flatten(F.collect_set(pairs))).alias("pairs"))
+    aligned = hits.groupBy("id", "item_id", "kind", "shift").agg(F.collect_set("at").alias("ats"), F.array_distinct(F.flatten(F.collect_set(pairs))).alias("pairs"))
     different = lambda f: F.size(F.array_distinct(F.transform("pairs", lambda x: x[f])))
     good = aligned.where((different("a") == F.size("pairs")) & (different("b") == F.size("pairs")))
     windows_found = F.size(F.array_distinct(F.flatten(F.collect_list("ats"))))
     return good.groupBy("id", "item_id").agg(windows_found.cast("long").alias("n_windows"), F.max(F.size("pairs")).cast("long").alias("n_slots"))
 
 
-def _windows_of(h: F.Column, size: int, window: int) -> F.Column:
-    """(key, at) of the windows of `size` word hashes; none if there are fewer."""
-    missing = [F.lit(None).cast("long")] * (window - size)
-    each = F.transform(F.sequence(F.lit(0), F.size(h) - size), lambda i: F.struct(F.xxhash64(*(F.get(h, i + k) for k in range(size)), *missing).alias("key"), i.alias("at")))
-    return F.when(F.size(h) >= size, each).otherwise(F.expr("cast(array() as array<struct<key:bigint,at:int>>)"))
+def _windows_of(h: F.Column, kind: int, sizes: list[int], window: int, begins) -> F.Column:
+    """(key, at) of the windows of these numbers of word hashes whose first words may begin an item's window."""
+
+    def at(size: int, i: F.Column) -> F.Column:
+        missing = [F.lit(None).cast("long")] * (window - size)
+        return F.struct(F.xxhash64(F.lit(kind), *(F.get(h, i + k) for k in range(size)), *missing).alias("key"), i.alias("at"))
+
+    def starts(size: int) -> F.Column:
+        first = lambda i: F.xxhash64(*(F.get(h, i + k) if k < size else F.lit(None).cast("long") for k in range(FIRST)))
+        last = F.size(h) - size
+        return F.when(last >= 0, F.filter(F.sequence(F.lit(0), last), lambda i: begins(first(i)))).otherwise(F.expr("cast(array() as array<int>)"))
+
+    # Sizes of FIRST and more share their starts.
+    parts = [F.transform(starts(s), partial(at, s)) for s in sizes if s < FIRST]
+    if long_ := [s for s in sizes if s >= FIRST]:
+        each = lambda i: F.filter(F.array(*(F.when(i + s <= F.size(h), at(s, i)) for s in long_)), lambda x: x.isNotNull())
+        parts.append(F.flatten(F.transform(starts(long_[0]), each)))
+    return F.concat(*parts)
 
 
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

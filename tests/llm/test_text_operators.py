@@ -234,6 +234,21 @@ def test_decontamination(spark):
     assert contaminated(frame(spark, []), items).count() == 0
 
 
+def test_decontamination_in_any_surroundings(spark):
+    items = {
+        1: "What is the boiling point of water?", 2: "Tom has 5 apples. Ann eats 3 apples. Bob buys 9 pears.", 3: "Who wrote Hamlet?", 4: "12 + 7 = 19 and 30 + 41 = 71", 5: "...",
+        6: "The Old farmer sold a brown horse to Maria for 12 coins",
+    }
+    rows = [
+        (1, "A heading\nWhat is the boiling point of water? It is known", {1}), (2, "they ask what is the BOILING point of water", {1}), (3, "Joe has 7 apples. Eve eats 2 apples. Max buys 4 pears.", {2}),
+        (4, "so tom has 6 apples. ann eats 2 apples. bob buys 8 pears, they say", {2}), (5, "It was asked: who wrote hamlet", {3}), (6, "who wrote it? Hamlet", set()), (7, "(12 + 7 = 19 and 30 + 41 = 71)", {4}),
+        (8, "12 + 7 = 18 and 30 + 41 = 71", set()), (9, "... - ...", set()), (10, "Then the Old farmer sold a brown horse to Otto for 15 coins", {6}),
+    ]
+    known = spark.createDataFrame([*items.items()], "item_id long, text string")
+    out = contaminated(frame(spark, [r[:2] for r in rows]), known).collect()
+    assert {(r["id"], r["item_id"]) for r in out} == {(d, i) for d, _, found in rows for i in found}
+
+
 def test_url_filter(spark):
     rules = spark.createDataFrame(RULES, "host string, path string, action string")
     urls = {
