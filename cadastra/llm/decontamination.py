@@ -10,11 +10,16 @@ cased    no word is a name, so neither capitals nor surroundings matter
 exact    no placeholders at all; only for items and windows that the limits below drop from `cased`
 
 Windows of `window` template tokens (the whole item, if it has fewer) of documents are hash-joined with those of benchmark
-items, and slots are checked: over all windows of one template that a document shares with an item at one alignment, an
-item's slot value must stand for one value of the document and the other way round. So a question with other numbers or
-names is caught, and a chance agreement of templates with mixed-up values isn't. But for `exact`, windows need
-`least_plain` tokens that are no placeholders, and items `least` words. What `cased` or `exact` holds of a copy doesn't
-depend on where it stands, so a copy of an item is found in any surroundings, however short the item is.
+items. But for `exact`, windows need `least_plain` tokens that are no placeholders, and items `least` words. What `cased` or
+`exact` holds of a copy doesn't depend on where it stands, so a copy of an item is found in any surroundings, however short
+the item is.
+
+Then slots are checked, so that a question with other numbers or names is caught, and a chance agreement of templates with
+mixed-up values isn't. A window conflicts if, in itself, a name or unit of the item stands for two of the document or the
+other way round (units in singular and plural are the same); numbers may become equal or different, but conflict where
+a changed one becomes another number of the item that this alignment keeps. Windows that don't conflict count, if they
+are at least half of those that a document shares with an item at one alignment; if not, those whose slots are equal word for
+word still do.
 
 Only the hashes of document windows meet the benchmark's; what matches, a small part, carries its slots. Windows are
 hashed only where the hash of their first words is one of an item's window.
@@ -36,6 +41,7 @@ UNITS = (
     "mm", "cm", "m", "km", "inch", "inches", "ft", "feet", "mile", "miles", "mg", "g", "kg", "lb", "lbs", "ml", "l", "litre", "litres", "liter", "liters", "second", "seconds",
     "minute", "minutes", "hour", "hours", "day", "days", "week", "weeks", "month", "months", "year", "years", "percent", "dollar", "dollars", "euro", "euros", "cent", "cents", "degrees",
 )
+_PLURALS = tuple(u for u in UNITS if u[-1] == "s" and u[:-1] in UNITS)
 _PUNCTUATION = r"""!"#$%&'()*+,-./:;<=>?@[\]^_`{|}~"""
 _NUMBER = r"(?<![^ ])\p{Punct}*[0-9]+(?:[.,:/][0-9]+)*(?:st|nd|rd|th|%)?\p{Punct}*(?![^ ])"
 _BY_LETTER = {c: sorted((u[1:] for u in UNITS if u[0] == c), key=len, reverse=True) for c in sorted({u[0] for u in UNITS})}
@@ -60,11 +66,14 @@ def plain(text: F.Column) -> F.Column:
     return F.translate(text, string.ascii_uppercase + _PUNCTUATION, string.ascii_lowercase)
 
 
-def templates(text: F.Column) -> list[F.Column]:
-    """The templates of a spaced text: as many words, each plain or the character of its placeholder."""
-    number, unit, name = _SLOTS
-    values = F.regexp_replace(F.regexp_replace(text, _NUMBER, number), _UNIT, unit)
-    return [plain(F.regexp_replace(values, _NAME, name)), plain(F.regexp_replace(values, _CAPITAL, name)), plain(values), plain(text)]
+def valueless(text: F.Column) -> F.Column:
+    """A spaced text with its numbers and units replaced."""
+    return F.regexp_replace(F.regexp_replace(text, _NUMBER, _SLOTS[0]), _UNIT, _SLOTS[1])
+
+
+def templates(text: F.Column, values: F.Column) -> list[F.Column]:
+    """The templates of a spaced text, given valueless() of it: as many words, each plain or the character of its placeholder."""
+    return [plain(F.regexp_replace(values, _NAME, _SLOTS[2])), plain(F.regexp_replace(values, _CAPITAL, _SLOTS[2])), plain(values), plain(text)]
 
 
 def let(value: F.Column, body) -> F.Column:
@@ -73,8 +82,9 @@ def let(value: F.Column, body) -> F.Column:
 
 
 def slots(words_: F.Column, tokens: F.Column) -> F.Column:
-    """For each word the value that its placeholder stands for, empty for words that aren't placeholders."""
-    return F.zip_with(words_, tokens, lambda w, t: F.when(t.isin(*_SLOTS), plain(w)).otherwise(F.lit("")))
+    """For each word its placeholder and the value that it stands for, both empty for words that aren't placeholders."""
+    slot = lambda w, t: F.struct(F.when(t.isin(*_SLOTS), t).otherwise("").alias("slot"), F.when(t.isin(*_SLOTS), plain(w)).otherwise("").alias("a"))
+    return F.zip_with(words_, tokens, slot)
 
 
 def hashes(tokens: F.Column) -> F.Column:
@@ -84,7 +94,7 @@ def hashes(tokens: F.Column) -> F.Column:
 def item_windows(items: DataFrame, item: str, text: str, window: int, least: int, least_plain: int) -> DataFrame:
     """item_id, at, size, kind, first, key, slots of the windows of items; shorter items give one window, of all their words."""
     one = items.select(F.col(item).alias("item_id"), spaced(F.col(text)).alias("text")).where("text != ''")
-    split = one.select("item_id", F.split("text", " ").alias("w"), F.array(*(F.split(t, " ") for t in templates(F.col("text")))).alias("t"))
+    split = one.select("item_id", F.split("text", " ").alias("w"), F.array(*(F.split(t, " ") for t in templates(F.col("text"), valueless(F.col("text"))))).alias("t"))
     size = F.least(F.size("w"), F.lit(window))
     each = split.select("item_id", "w", "t", size.alias("size"), F.explode(F.sequence(F.lit(0), F.size("w") - size)).alias("at"))
     part = lambda c: F.slice(c, F.col("at") + 1, F.col("size"))
@@ -106,20 +116,43 @@ def contaminated(docs: DataFrame, items: DataFrame, id_: str = "doc_id", text: s
     counted = known.groupBy("kind", "size").agg(F.count("*").alias("n")).collect()
     blocks = blocks_for(sum(r["n"] for r in counted))
     docs = docs.select(F.col(id_).alias("id"), spaced(F.col(text)).alias("text"))
-    filter_, starts = (as_literal(bloom(known.select(F.col(c).alias("h")), blocks)) for c in ("key", "first"))
+    filter_, starts = (as_literal(bloom(known.select(F.col(c).alias("h")), blocks, bits)) for c, bits in (("key", 4), ("first", 1)))
+    begins = lambda x: may_hold(starts, x, blocks, 1)
     kinds = [(k, sorted(r["size"] for r in counted if r["kind"] == k)) for k in sorted({r["kind"] for r in counted})] or [(CASED, [window])]
-    hashed = docs.select("id", "text", *(hashes(F.split(templates(F.col("text"))[k], " ")).alias(f"h{k}") for k, _ in kinds))
-    windows = F.concat(*(let(F.col(f"h{k}"), lambda h, k=k, sizes=sizes: _windows_of(h, k, sizes, window, lambda x: may_hold(starts, x, blocks))) for k, sizes in kinds))
-    found = hashed.select("id", "text", F.explode(F.filter(windows, lambda x: may_hold(filter_, x["key"], blocks))).alias("x"))
+    search = lambda k, sizes, t: let(hashes(F.split(t, " ")), lambda h: _windows_of(h, k, sizes, window, begins))
+    windows = let(valueless(F.col("text")), lambda v: F.concat(*(search(k, sizes, templates(F.col("text"), v)[k]) for k, sizes in kinds)))
+    found = docs.select("id", "text", F.explode(F.filter(windows, lambda x: may_hold(filter_, x["key"], blocks))).alias("x"))
     hits = found.select("id", "text", F.col("x.key").alias("key"), F.col("x.at").alias("d_at")).join(known, "key")
     values = F.transform(F.slice(F.split("text", " "), F.col("d_at") + 1, F.col("size")), plain)
-    hits = hits.select("id", "item_id", "kind", "at", (F.col("d_at") - F.col("at")).alias("shift"), "slots", values.alias("values"))
-    pairs = F.array_distinct(F.filter(F.zip_with("slots", "values", lambda a, b: F.struct(a.alias("a"), b.alias("b"))), lambda x: x["a"] != ""))
-    aligned = hits.groupBy("id", "item_id", "kind", "shift").agg(F.collect_set("at").alias("ats"), F.array_distinct(F.flatten(F.collect_set(pairs))).alias("pairs"))
-    different = lambda f: F.size(F.array_distinct(F.transform("pairs", lambda x: x[f])))
-    good = aligned.where((different("a") == F.size("pairs")) & (different("b") == F.size("pairs")))
-    windows_found = F.size(F.array_distinct(F.flatten(F.collect_list("ats"))))
-    return good.groupBy("id", "item_id").agg(windows_found.cast("long").alias("n_windows"), F.max(F.size("pairs")).cast("long").alias("n_slots"))
+    pairs = F.array_distinct(F.filter(F.zip_with("slots", values, lambda x, b: F.struct(x["slot"].alias("slot"), x["a"].alias("a"), b.alias("b"))), lambda x: x["slot"] != ""))
+    # Texts that share an id are aligned each for itself.
+    hits = hits.select("id", "item_id", "kind", F.xxhash64("text").alias("of"), "at", (F.col("d_at") - F.col("at")).alias("shift"), pairs.alias("pairs"))
+    aligned = hits.groupBy("id", "of", "item_id", "kind", "shift").agg(F.collect_set(F.struct("at", "pairs")).alias("windows"))
+    kept = F.filter(F.flatten("windows.pairs"), lambda x: (x["slot"] == _SLOTS[0]) & (x["a"] == x["b"]))
+    aligned = aligned.select("id", "item_id", "windows", F.array_distinct(F.transform(kept, lambda x: x["a"])).alias("kept"))
+    good = F.filter("windows", lambda w: ~_conflict(w["pairs"], F.col("kept")))
+    same = F.filter("windows", lambda w: (F.size(w["pairs"]) > 0) & F.forall(w["pairs"], lambda x: x["a"] == x["b"]))
+    counted = aligned.withColumn("good", good).withColumn("windows", F.when(2 * F.size("good") >= F.size("windows"), F.col("good")).otherwise(same)).where(F.size("windows") > 0)
+    windows_found = F.size(F.array_distinct(F.flatten(F.collect_list("windows.at"))))
+    return counted.groupBy("id", "item_id").agg(windows_found.cast("long").alias("n_windows"), F.max(F.size(F.array_distinct(F.flatten("windows.pairs")))).cast("long").alias("n_slots"))
+
+
+def _one_to_one(pairs: F.Column, of=lambda x: x) -> F.Column:
+    different = lambda f: F.size(F.array_distinct(F.transform(pairs, f)))
+    both = different(lambda x: F.struct(of(x["a"]).alias("a"), of(x["b"]).alias("b")))
+    return (different(lambda x: of(x["a"])) == both) & (different(lambda x: of(x["b"])) == both)
+
+
+def _singular(unit: F.Column) -> F.Column:
+    return F.when(unit == "feet", "ft").when(unit == "inches", "inch").when(unit.isin(*_PLURALS), F.regexp_replace(unit, "s$", "")).otherwise(unit)
+
+
+def _conflict(pairs: F.Column, kept: F.Column) -> F.Column:
+    """Whether a window's pairs of values contradict each other, or numbers that the alignment keeps."""
+    number, unit, name = _SLOTS
+    units, names = F.filter(pairs, lambda x: x["slot"] == unit), F.filter(pairs, lambda x: x["slot"] == name)
+    mixed_up = F.exists(pairs, lambda x: (x["slot"] == number) & (x["a"] != x["b"]) & F.array_contains(kept, x["b"]))
+    return mixed_up | ~_one_to_one(names) | ~(_one_to_one(units) | _one_to_one(units, _singular))
 
 
 def _windows_of(h: F.Column, kind: int, sizes: list[int], window: int, begins) -> F.Column:

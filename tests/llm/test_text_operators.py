@@ -249,6 +249,22 @@ def test_decontamination_in_any_surroundings(spark):
     assert {(r["id"], r["item_id"]) for r in out} == {(d, i) for d, _, found in rows for i in found}
 
 
+def test_decontamination_with_clashing_values(spark):
+    long_ = "In spring the 3 gardeners plant 40 tulips along the narrow path and water them for 2 hours before they go back to the 5 sheds where 17 wooden tools hang on the wall"
+    items = {
+        1: "A train needs 1 hour to the coast and the bus needs 3 hours for it", 2: "She bought 3 pens and then also 3 books so how many things were there",
+        3: "He counts 12 sheep in one field and 7 goats in another so how many animals", 4: long_, 5: "Two friends called Tom and Ann share the apples that they found there",
+    }
+    rows = [
+        (1, "A train needs 2 hours to the coast and the bus needs 3 hours for it", {1}), (2, "She bought 4 pens and then also 7 books so how many things were there", {2}),
+        (3, "He counts 5 sheep in one field and 5 goats in another so how many animals", {3}), (4, long_.replace("17", "40"), {4}),
+        (5, "Two friends called Bob and Bob share the apples that they found there", set()),
+    ]
+    known = spark.createDataFrame([*items.items()], "item_id long, text string")
+    out = contaminated(frame(spark, [r[:2] for r in rows]), known).collect()
+    assert {(r["id"], r["item_id"]) for r in out} == {(d, i) for d, _, found in rows for i in found}
+
+
 def test_url_filter(spark):
     rules = spark.createDataFrame(RULES, "host string, path string, action string")
     urls = {
