@@ -82,7 +82,7 @@ def pivot(p: np.ndarray, size: np.ndarray, draw: np.ndarray) -> tuple[np.ndarray
 
 
 def _settle(pdf: pd.DataFrame) -> pd.DataFrame:
-    pdf = pdf.sort_values(["draw", "key"], kind="stable").reset_index(drop=True)
+    pdf = pdf.sort_values(["draw", "key", *(["row"] if "row" in pdf else [])], kind="stable").reset_index(drop=True)
     p, open_ = pivot(pdf["p"].to_numpy(), pdf["size"].to_numpy(float), ((pdf["draw"].to_numpy() >> 10) & ((1 << 53) - 1)) / _DRAW)
     pdf["p"] = p
     pdf["settled"] = np.arange(len(pdf)) != open_
@@ -93,8 +93,10 @@ def mix(docs: DataFrame, seed: int = 17, bucket_rows: int = 4096, fan_in: int =
     """(key, source, size, source_size, target, taken) for docs(key, source, size).
 
     key tells rows apart and orders ties. Repeated rows are rounded like others, except that rows equal in key, source and
-    size share their draw. Sizes of 0 take nothing. No rows, no result."""
-    sized = cut(docs.select("key", "source", F.col("size").cast("long").alias("size")), "mix-sizes")
+    size share their draw. Sizes of 0 take nothing. No rows, no result. A column row (long) of docs orders them then, and is
+    carried to the result."""
+    row = [c for c in docs.columns if c == "row"]
+    sized = cut(docs.select("key", "source", F.col("size").cast("long").alias("size"), *row), "mix-sizes")
     sources = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n"))
     sources = cut(targets(sources, **rule).join(sources.select(F.col("source").alias("s"), "n"), F.col("source").eqNullSafe(F.col("s"))).drop("s"), "mix-targets")
     rows = sources.agg(F.max("n")).first()[0] or 0
@@ -103,9 +105,9 @@ def mix(docs: DataFrame, seed: int = 17, bucket_rows: int = 4096, fan_in: int =
     draw = F.xxhash64(F.lit(seed), "key", "source", "size")
     joined = sized.join(t, F.col("source").eqNullSafe(F.col("_s"))).select(
         "key", "source", "size", "source_size", "target", F.floor(rate).alias("whole"), (rate - F.floor(rate)).alias("p"), draw.alias("draw"),
-        F.pmod(F.shiftright(F.xxhash64(F.lit(seed + 1), "key", "size"), 20), F.ceil(F.col("n") / bucket_rows)).alias("bucket"),
+        F.pmod(F.shiftright(F.xxhash64(F.lit(seed + 1), "key", "size"), 20), F.ceil(F.col("n") / bucket_rows)).alias("bucket"), *row,
     )
-    fields = "key long, source string, size long, source_size long, target double, whole long, p double, draw long, bucket long"
+    fields = "key long, source string, size long, source_size long, target double, whole long, p double, draw long, bucket long" + (", row long" if row else "")
     levels = []
     todo, buckets = joined, -(-rows // bucket_rows)
     while True:
@@ -121,7 +123,7 @@ def mix(docs: DataFrame, seed: int = 17, bucket_rows: int = 4096, fan_in: int =
     out = rest.withColumn("p", F.when(last < F.col("p"), 1.0).otherwise(0.0))
     for level in levels:
         out = out.unionByName(level)
-    return out.select("key", "source", "size", "source_size", "target", ((F.col("whole") + F.round("p").cast("long")) * F.col("size")).alias("taken"))
+    return out.select("key", "source", "size", "source_size", "target", ((F.col("whole") + F.round("p").cast("long")) * F.col("size")).alias("taken"), *row)
 
 
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,8 +6,8 @@ decontamination    documents that share template windows with a benchmark item g
 secret_scan        secrets in texts become <secret>; n_chars follows
 mixing             documents that the mix takes, with the words and copies it takes of each
 
-Rows without an id stay in the filtering stages (they can't be told apart to be dropped) and null texts are rejected by the
-first one. Extra columns are carried along, except where they have the names of columns that a stage adds.
+Rows without an id stay in ngram_join and decontamination, and are mixed like others. Of near copies that share the least id
+one row stays. Null texts are rejected by the first stage. Extra columns are carried along, except where they have the names of columns that a stage adds.
 """
 
 from __future__ import annotations
@@ -27,10 +27,18 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return rules.quality_rules(docs).where("kept").select(*docs.columns)
 
 
+def _rows(docs: DataFrame) -> DataFrame:
+    """docs with _row, which tells rows apart whatever their ids; written, so that it doesn't change."""
+    return cut(docs.withColumn("_row", F.monotonically_increasing_id()), "pipeline-rows")
+
+
 def ngram_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    groups = ngrams.ngram_components(docs.select("doc_id", "text"))
-    surplus = groups.where("component_id < id").select(F.col("id").alias("doc_id")).distinct()
-    return docs.join(surplus, "doc_id", "left_anti").select(*docs.columns)
+    rows = _rows(docs)
+    groups = ngrams.ngram_components(rows.select("_row", "text"), "_row").withColumnRenamed("id", "_row")
+    known = cut(groups.join(rows.select("_row", "doc_id").where("doc_id is not null"), "_row"), "pipeline-groups")
+    stays = known.groupBy("component_id").agg(F.min(F.struct("doc_id", "_row"))["_row"].alias("stays"))
+    surplus = known.join(stays, "component_id").where("_row != stays").select("_row")
+    return rows.join(surplus, "_row", "left_anti").select(*docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,10 +52,12 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    sizes = docs.select(F.col("doc_id").alias("key"), "source", mixer.word_count(F.col("text")).alias("size"))
-    taken = mixer.mix(sizes).where("taken > 0").select(F.col("key").alias("doc_id"), "size", "source_size", "target", "taken", F.expr("taken div size").alias("copies"))
     added = ["size", "source_size", "target", "taken", "copies"]
-    return docs.drop(*added).join(taken, "doc_id").select(*(c for c in docs.columns if c not in added), *added)
+    rows = _rows(docs)
+    # Rows without an id, or of one id, are drawn by their texts too, and taken back row by row.
+    sizes = rows.select(F.xxhash64("doc_id", "text").alias("key"), "source", mixer.word_count(F.col("text")).alias("size"), F.col("_row").alias("row"))
+    taken = mixer.mix(sizes).where("taken > 0").select(F.col("row").alias("_row"), "size", "source_size", "target", "taken", F.expr("taken div size").alias("copies"))
+    return rows.drop(*added).join(taken, "_row").select(*(c for c in docs.columns if c not in added), *added)
 
 
 STAGES = [

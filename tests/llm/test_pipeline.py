@@ -85,3 +85,18 @@ def test_mix_comes_near_its_targets(stages):
         target = {mixed[d]["target"] for d in mine if d in mixed}
         taken = sum(mixed[d]["taken"] for d in mine if d in mixed)
         assert len(target) <= 1 and all(abs(taken - t) <= max(size[d] for d in mine) for t in target)
+
+
+def test_repeated_and_null_ids(spark):
+    prose = lambda seed, n: " ".join(f"{chr(97 + seed)}{i * i % 97}x{i}" for i in range(n))
+    texts = [(5, prose(0, 40)), (5, prose(0, 40)), (5, prose(1, 30)), (3, prose(1, 30)), (None, prose(2, 25)), (None, prose(3, 20)), (None, prose(2, 25)), (8, prose(4, 35)), (8, prose(5, 15)), (8, prose(4, 35))]
+    docs = spark.createDataFrame([(d, t, "en", "ab"[k % 2], len(t)) for k, (d, t) in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = corpus_pipeline.ngram_join(spark, docs, SF)
+    known = sorted((r["doc_id"], r["text"]) for r in kept.where("doc_id is not null").collect())
+    assert known == sorted([(5, prose(0, 40)), (3, prose(1, 30)), (8, prose(4, 35)), (8, prose(5, 15))]) and kept.where("doc_id is null").count() == 3
+    sizes = corpus_pipeline.mixer.targets(spark.createDataFrame([(s, sum(len(t.split()) for k, (_, t) in enumerate(texts) if "ab"[k % 2] == s)) for s in "ab"], "source string, source_size long"))
+    mixed = corpus_pipeline.mixing(spark, docs.repartition(3), SF).collect()
+    for source, target in ((r["source"], r["target"]) for r in sizes.collect()):
+        mine = [r for r in mixed if r["source"] == source]
+        assert len(mine) <= 5 and abs(sum(r["taken"] for r in mine) - target) <= 40 and all(r["target"] == target for r in mine)
+    assert any(r["doc_id"] is None for r in mixed)
