@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .graph import connected_components
-from .spatial_join import cell, knn_join, radius_join
+from .spatial_join import cell, knn_join, nearest_join, radius_join
 
 
 def thin(points: DataFrame, size: float, id_: str = "point_id") -> DataFrame:
@@ -95,10 +95,33 @@ def adjacency(cells: DataFrame, value: str | None = None, diagonal: bool = False
     return out.select("key", "row", "col", "row2", "col2", *step)
 
 
+def _code(row: str, col: str):
+    return (F.col(row) + (1 << 20)) * (1 << 21) + F.col(col) + (1 << 20)
+
+
 def cell_components(cells: DataFrame, cut, links: DataFrame) -> DataFrame:
     """cells with component: the least cell (as key:row:col number) that is reachable over links."""
-    code = lambda r, c: (F.col(r) + (1 << 20)) * (1 << 21) + F.col(c) + (1 << 20)
-    node = lambda r, c: F.struct("key", code(r, c).alias("at"))
+    node = lambda r, c: F.struct("key", _code(r, c).alias("at"))
     found = connected_components(links.select(node("row", "col").alias("u"), node("row2", "col2").alias("v")), cut)
     tagged = cells.withColumn("_n", node("row", "col")).join(found.withColumnRenamed("node", "_n"), "_n", "left")
     return tagged.withColumn("component", F.coalesce("component", "_n")["at"]).drop("_n")
+
+
+def to_nearest(cells: DataFrame, marked: DataFrame, cut, reach: float = 12.0) -> DataFrame:
+    """cells with component: that of the nearest cell of marked(key, row, col, component) with the same key, however far it
+    is, ties to the least. The cells of a key without marked cells are one component, named by the least of them.
+
+    The searched radius doubles for the cells that have found nothing."""
+    cells = cells.select("key", "row", "col")
+    keys = marked.select("key").distinct()
+    alone = cells.join(keys, "key", "left_anti")
+    done = alone.join(alone.groupBy("key").agg(F.min(_code("row", "col")).alias("component")), "key")
+    right = marked.select("key", F.col("row").alias("ry"), F.col("col").alias("rx"), "component")
+    todo = cells.join(keys, "key", "left_semi").withColumn("at", F.concat_ws(":", "key", "row", "col"))
+    while True:
+        near = cut(nearest_join(todo, right, reach, "at", "component", "col", "row", on=["key"]), "nearest")
+        done = done.unionByName(near.where("component is not null").select("key", "row", "col", "component"))
+        todo = near.where("component is null").select("key", "row", "col", "at")
+        if todo.isEmpty():
+            return done.select("key", "row", "col", "component")
+        reach *= 2

@@ -118,3 +118,12 @@ def test_thin_and_outliers(data):
     with_far = dp.unionByName(dp.limit(1).select(F.lit(999).cast("long").alias("id"), F.lit(500.0).alias("x"), F.lit(500.0).alias("y"))).withColumn("tile_id", F.lit("t"))
     out = C.statistical_outliers(with_far, cut, 5, 3.0, 20.0, "id").where("outlier").select("id").collect()
     assert [r["id"] for r in out] == [999]
+
+
+def test_leftover_cells_go_to_the_nearest_marker_at_any_distance(spark):
+    marked = [("a", 0, 0, 7), ("a", 0, 100, 3), ("b", 0, 0, 1)]
+    rest = [("a", 0, c) for c in range(1, 100)] + [("a", 90, 20), ("b", 400, 3), ("none", 5, 5), ("none", 2, 900)]
+    out = C.to_nearest(spark.createDataFrame(rest, "key string, row long, col long").repartition(3), spark.createDataFrame(marked, "key string, row long, col long, component long"), cut)
+    got = {(r["key"], r["row"], r["col"]): r["component"] for r in out.collect()}
+    least = (2 + (1 << 20)) * (1 << 21) + 900 + (1 << 20)
+    assert got == {x: min((math.hypot(x[1] - r, x[2] - c), m) for k, r, c, m in marked if k == x[0])[1] if x[0] != "none" else least for x in rest}
