@@ -88,7 +88,7 @@ def rules(df: DataFrame, limits: Limits = Limits()) -> list[Column]:
     risk = F.coalesce(F.array_contains(flags, "multi_tile"), F.lit(False))
     roof_area, volume = num("roof_area_m2"), num("volume_m3")
     mesh = [num(f"mesh_{k}") for k in ("xmin", "ymin", "zmin", "xmax", "ymax", "zmax")]
-    expect = F.greatest(F.lit(limits.least_height), p90 - ground)
+    expect = F.when((p90 - ground).isNotNull(), F.greatest(F.lit(limits.least_height), p90 - ground))
     any_ = lambda xs, f: F.greatest(*(F.coalesce(f(x), F.lit(False)) for x in xs))
     count_bad = lambda x: x.isNotNull() & ((x < 0) | (x != F.floor(x)) | _bad(x))
     E, Wn, I = "error", "warning", "info"  # noqa: E741

@@ -37,6 +37,13 @@ def c2_statistical_outliers(spark, sf_dir):
     return out.select("point_id", F.round("mean_dist", 5).alias("mean_dist"), "outlier")
 
 
+@query()
+def c2_all_statistical_outliers(spark, sf_dir):
+    """The whole of C2: all building points. c2_statistical_outliers is the slice of two tiles that its SQL can check."""
+    out = C.statistical_outliers(points(spark, sf_dir).where("classification = 6"), cut)
+    return out.select("point_id", F.round("mean_dist", 5).alias("mean_dist"), "outlier")
+
+
 @query()
 def c1_dbscan(spark, sf_dir):
     return C.dbscan(points(spark, sf_dir).where("classification = 6"), cut, 6.0, 4)
