@@ -6,13 +6,14 @@ import random
 import re
 import zlib
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from cadastra.llm.decontamination import contaminated
 from cadastra.llm.language_id import identify_languages
 from cadastra.llm.mixing import mix, word_count
-from cadastra.llm.ngram_join import ngram_components
+from cadastra.llm.ngram_join import Lists, ngram_components
 from cadastra.llm.quality_model import quality_scores
 from cadastra.llm.quality_rules import quality_rules
 from cadastra.llm.secret_scan import findings, read_ledger, redact, secret_scan, span_text, update_ledger
@@ -119,6 +120,33 @@ def test_ngram_components_equal_brute_force(spark, seed):
     assert found == brute_components(rows)
 
 
+@pytest.mark.parametrize("limit", [1, 3])
+def test_dealt_lists_lose_no_link(spark, limit):
+    """Lists of more than `limit` sets are dealt over several parts."""
+    rows = corpus(6)
+    found = {r["id"]: (r["n_shingles"], r["component_id"]) for r in ngram_components(frame(spark, rows), list_limit=limit).collect()}
+    assert found == brute_components(rows)
+
+
+def test_rows_without_id_link_and_lend_no_id(spark):
+    w = [f"w{i}" for i in range(60)]
+    a, b, c = " ".join(w[:40]), " ".join(w[1:41]), " ".join(w[2:42])
+    rows = [(5, a), (None, b), (5, a), (7, c), (None, "x y z"), (None, "x y z"), (8, None), (None, None)]
+    docs = frame(spark, rows).withColumns({"sig": F.lit("clash"), "n": F.lit(1), "id": F.lit(9)})
+    out = sorted(((r["id"], r["n_shingles"], r["component_id"]) for r in ngram_components(docs).collect()), key=str)
+    assert out == sorted([(5, 36, 5), (5, 36, 5), (None, 36, 5), (7, 36, 5), (None, 1, None), (None, 1, None), (8, 0, 8), (None, 0, None)], key=str)
+
+
+def test_occurrence_search_equals_plain_counting():
+    rng = np.random.default_rng(8)
+    sets = [np.unique(rng.integers(0, 60, rng.integers(1, 60)).astype(np.uint64)) for _ in range(80)]
+    sets += [np.delete(s, rng.integers(0, len(s))) for s in sets if len(s) > 8]
+    lists = Lists(sets)
+    for s in sets:
+        plain = [j for j, t in enumerate(sets) if 100 * len(np.intersect1d(s, t)) >= 75 * len(np.union1d(s, t))]
+        assert lists.partners(s).tolist() == plain
+
+
 def test_chain_of_near_copies_is_one_component(spark):
     """Neighbours in a chain link, its ends don't, and no leader links with all."""
     words = [f"c{i}" for i in range(400)]
