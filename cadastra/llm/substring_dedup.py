@@ -4,8 +4,10 @@ Words are removed where a window of `window` words covers them that also starts
 hashes of windows of window - period + 1 words, are taken only where the position modulo the period is in a difference
 cover: whatever the offsets of two equal windows, some cover position falls on the same word in both, so they share
 an anchor that lies in them. Anchors that two different texts have are extended: the full windows around them, and
-only these, are hashed and grouped with the least id. That is exact, linear in the anchors however hot a passage is, and
-compares no pairs. Equal texts are one class: the least id stands for it, and longer ones of the others go whole.
+only these, are hashed and grouped with the least id. That is linear in the anchors however hot a passage is, and compares no
+pairs: tasks combine what they hold before they send it (anchors.py). Equal texts are one class: the least id stands for it,
+and longer ones of the others go whole. Texts, anchors and windows are equal if their 64-bit hashes are: of 10^12 windows a
+few in 10^8 may be taken for others.
 """
 
 from __future__ import annotations
@@ -14,12 +16,11 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .anchors import BUCKETS, LAST_ID, PACKED, gathered, groups, keyed, pack, positions, to_buckets, unpack
+from .anchors import LATER, LAST_ID, PACKED, TEXTS, combined, found_in, keyed, parts_for, positions
 from .common import Words, long_window_hashes, slices, table
 
 PERIOD = 31
@@ -36,7 +37,7 @@ def _anchors(window: int, period: int, cover, parts: int):
     at = np.zeros(period, bool)
     at[list(cover)] = True
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def postings(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
             for part, data, offs in slices(batch, "text"):
                 w = Words(data, offs)
@@ -45,23 +46,14 @@ def _anchors(window: int, period: int, cover, parts: int):
                 h = long_window_hashes(w.hashes(), length)
                 pick = np.flatnonzero((pos[: len(h)] + length <= np.diff(w.first)[doc[: len(h)]]) & at[pos[: len(h)] % period])
                 pick = pick[np.diff(w.first)[doc[pick]] >= window]
-                yield pack(h[pick], part.column("tk").to_numpy()[doc[pick]], pos[pick], parts)
-
-    return run
+                owner = part.column("tk").to_numpy()[doc[pick]]
+                yield h[pick], owner, pos[pick], owner
 
-
-def _shared_anchors(parts: int):
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        hash_, owner, pos, _ = unpack(pdf)
-        at, group = groups(hash_)
-        shared = (np.minimum.reduceat(owner, at) < np.maximum.reduceat(owner, at))[group] if len(at) else np.zeros(0, bool)
-        return to_buckets(owner[shared], pos[shared], parts)
-
-    return run
+    return lambda batches: combined(postings(batches), parts, TEXTS)
 
 
 def _extend(window: int, period: int, parts: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def postings(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
             for part, data, offs in slices(batch, "text"):
                 w = Words(data, offs)
@@ -78,20 +70,9 @@ def _extend(window: int, period: int, parts: int):
                     docs.append(np.full(len(s), d))
                     starts.append(s)
                 doc = np.concatenate(docs)
-                yield pack(np.concatenate(hashes), part.column("tk").to_numpy()[doc], np.concatenate(starts), parts, part.column("id").to_numpy()[doc])
-
-    return run
+                yield np.concatenate(hashes), part.column("tk").to_numpy()[doc], np.concatenate(starts), part.column("id").to_numpy()[doc]
 
-
-def _later(parts: int):
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        """Windows that a smaller id has too."""
-        hash_, owner, pos, rank = unpack(pdf)
-        at, group = groups(hash_)
-        later = rank > np.minimum.reduceat(rank, at)[group] if len(at) else np.zeros(0, bool)
-        return to_buckets(owner[later], pos[later], parts)
-
-    return run
+    return lambda batches: combined(postings(batches), parts, LATER)
 
 
 def _remove(window: int):
@@ -126,15 +107,13 @@ def substring_dedup(docs: DataFrame, id_: str = "doc_id", text: str = "text", wi
     words. The texts are shuffled once, by id; that exchange serves both the extension and the removal."""
     if not is_cover(cover, period) or period > window:
         raise ValueError("cover is no difference cover of the period, or the period exceeds the window")
-    spark = docs.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = keyed(docs, id_, text)
+    parts = parts_for(rows)
     classes = rows.groupBy("tk").agg(F.min("id").alias("first"), F.max("id").alias("last"))
-    shared = rows.select("tk", "text").mapInArrow(_anchors(window, period, cover, parts), PACKED).groupBy("p").applyInPandas(_shared_anchors(parts), BUCKETS)
-    marks = gathered(shared).join(classes, F.col("owner") == F.col("tk"))
+    one = rows.join(classes.select(F.col("first").alias("id"), "tk").hint("shuffle_hash"), ["id", "tk"])  # one text of each class
+    marks = found_in(one.select("tk", "text").mapInArrow(_anchors(window, period, cover, parts), PACKED), parts, TEXTS).join(classes, F.col("owner") == F.col("tk"))
     marks = marks.select(F.col("first").alias("id"), "tk", "pos")
-    windows = rows.join(marks.hint("shuffle_hash"), ["id", "tk"]).mapInArrow(_extend(window, period, parts), PACKED + ", rank binary")
-    later = gathered(windows.groupBy("p").applyInPandas(_later(parts), BUCKETS))
+    later = found_in(rows.join(marks.hint("shuffle_hash"), ["id", "tk"]).mapInArrow(_extend(window, period, parts), PACKED), parts, LATER)
     later = later.join(classes, F.col("owner") == F.col("tk")).select(F.col("first").alias("id"), "tk", "pos", F.lit(False).alias("copy"))
     copies = rows.select("id", "tk").join(classes.where("first < last"), "tk").where("id > first").select("id", "tk").distinct()
     gone = later.unionByName(copies.select("id", "tk", F.expr("cast(null as binary)").alias("pos"), F.lit(True).alias("copy")))

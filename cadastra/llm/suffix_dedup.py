@@ -6,13 +6,15 @@ whose selected bytes occur more than once can repeat, and these windows, as segm
 bucket of that hash. Equal segments are combined before they are shuffled. Each part of buckets builds its suffix
 array in two stages (suffix_array.py): suffixes smaller than their successors are sorted directly, the others induced by
 bucket scans; adjacent common prefixes of `length` bytes or more are the repeats. Buckets with more than `most_segments`
-different segments, which one task shouldn't gather, are counted window by window instead, by hash, in Spark.
+different segments, which one task shouldn't gather, are divided by the bytes next to the selected ones before they are
+sorted. Texts, selected bytes and whole segments are equal if their 64-bit hashes are; windows are compared byte by byte.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -20,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .anchors import BUCKETS, LAST_ID, PACKED, gathered, keyed, pack, positions, to_buckets, unpack
+from .anchors import LAST_ID, PACKED, PLACES, combined, found_in, keyed, parts_for, positions
 from .common import cut, mix, prefix_hash, signed, slices, span_hash, table
 from .suffix_array import equal_neighbours, suffix_order
 
@@ -63,22 +65,15 @@ def selections(data: np.ndarray, offs: np.ndarray, length: int) -> tuple[np.ndar
 
 
 def _anchors(length: int, parts: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def postings(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
             for part, data, offs in slices(batch, "text"):
                 first, _, _, h = selections(data, offs, length)
                 doc = np.searchsorted(offs, first, "right") - 1
-                yield pack(h, part.column("tk").to_numpy()[doc], first - offs[doc], parts)
-
-    return run
-
+                owner = part.column("tk").to_numpy()[doc]
+                yield h, owner, first - offs[doc], owner
 
-def _repeated(parts: int):
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        _, owner, pos, _ = unpack(pdf)
-        return to_buckets(owner, pos, parts)
-
-    return run
+    return lambda batches: combined(postings(batches), parts, PLACES)
 
 
 ITEMS = "tk long, start int, n int, hash long, at int, segment binary, sh long"
@@ -115,7 +110,8 @@ def _pack_marks(marks: list[np.ndarray]) -> list[bytes]:
 
 def _sort_part(length: int):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        """The repeated windows of different segments: their numbers, from each segment's start."""
+        """The repeated windows of different segments: their numbers, from each segment's start. Segments of different buckets
+        may share windows too; it does no harm."""
         n = pdf["n"].to_numpy(np.int64)
         sizes = n - 1 + length
         begin = np.concatenate([[0], np.cumsum(sizes)[:-1]])
@@ -129,27 +125,53 @@ def _sort_part(length: int):
         twice = np.zeros(len(text), bool)
         twice[order[:-1][same]] = True
         twice[order[1:][same]] = True
-        marks = [twice[a : a + k] for a, k in zip(begin.tolist(), n.tolist(), strict=True)]
-        out = pd.DataFrame({"hash": pdf["hash"], "sh": pdf["sh"], "marks": _pack_marks(marks)})
-        return out[[m.any() for m in marks]]
+        marks = [np.flatnonzero(twice[a : a + k]).astype(np.int32) for a, k in zip(begin.tolist(), n.tolist(), strict=True)]
+        out = pdf[["hash", "sh", "k", "n"]].assign(marks=[m.tobytes() for m in marks])
+        return out[[len(m) > 0 for m in marks]]
 
     return run
 
 
-def _windows(length: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part, data, offs in slices(batch.set_column(batch.schema.get_field_index("segment"), "segment", batch.column("segment").cast(pa.large_binary()).view(pa.large_string())), "segment"):
-                n = part.column("n").to_numpy().astype(np.int64)
-                row = np.repeat(np.arange(len(n)), n)
-                k = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
-                at = offs[:-1][row] + k
-                w = signed(span_hash(prefix_hash(data), at, at + length))
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("hash").take(pa.array(row)), part.column("sh").take(pa.array(row)), pa.array(k.astype(np.int32)), pa.array(w)], names=["hash", "sh", "k", "w"]
-                )
-
-    return run
+def _divided(todo: DataFrame, length: int) -> DataFrame:
+    """The segments of buckets that are too large, each as two: windows that begin up to `mid` bytes before the anchor, with the
+    bytes that they all have after it, and the others, with the bytes that they all have before it."""
+    mid, last = F.floor((F.col("lo") + F.col("hi")) / 2).cast("int"), F.col("n") - 1
+    after = F.struct(
+        F.xxhash64("key", F.lit(1), F.substring("segment", F.col("at") + GRAM + 1, F.lit(length - GRAM) - mid)).alias("key"), F.greatest(F.lit(0), F.col("at") - mid).alias("a"), last.alias("b"),
+        F.col("lo").alias("lo"), mid.alias("hi"),
+    )
+    before = F.struct(
+        F.xxhash64("key", F.lit(2), F.substring("segment", F.col("at") - mid, mid + 1)).alias("key"), F.lit(0).alias("a"), F.least(last, F.col("at") - mid - 1).alias("b"),
+        (mid + 1).alias("lo"), F.col("hi").alias("hi"),
+    )
+    each = todo.withColumn("x", F.explode(F.array(after, before))).where("x.a <= x.b")
+    return each.select(
+        "hash", "sh", F.substring("segment", F.col("x.a") + 1, F.col("x.b") - F.col("x.a") + length).alias("segment"), (F.col("x.b") - F.col("x.a") + 1).alias("n"),
+        (F.col("at") - F.col("x.a")).alias("at"), (F.col("k") + F.col("x.a")).alias("k"), "x.key", "x.lo", "x.hi",
+    )
+
+
+def _repeats(segments: DataFrame, length: int, most_segments: int, per_part: int = 40_000) -> DataFrame:
+    """(hash, sh, k, n, marks): windows (from the k-th of a segment on, n in all; marks tells which, null all) that occur in two
+    or more different segments of a bucket.
+
+    A bucket of more than most_segments segments is divided by what its windows have in common, again and again, until each
+    part is small enough to sort or holds one window, known byte by byte, of each of its segments: then all are equal."""
+    cores = segments.sparkSession.sparkContext.defaultParallelism
+    parts = max(4 * cores, segments.count() // per_part + 1)
+    todo = segments.select("hash", "sh", "segment", "n", "at", F.lit(0).alias("k"), F.col("hash").alias("key"), F.lit(0).alias("lo"), F.lit(length - GRAM).alias("hi"))
+    out = []
+    while True:
+        sizes = cut(todo.groupBy("key", "lo", "hi").agg(F.count("*").alias("m")).where("m > 1"), "suffix-sizes")
+        of = lambda which: todo.join(sizes.where(which).select("key"), "key", "left_semi")  # noqa: B023, E731
+        sort = of(f"lo < hi AND m <= {most_segments}").select("hash", "sh", "segment", "n", "k", F.pmod(F.xxhash64("key"), F.lit(parts)).alias("p"))
+        out.append(sort.groupBy("p").applyInPandas(_sort_part(length), "hash long, sh long, k int, n int, marks binary"))
+        if len(out) > 1:
+            out.append(of("lo = hi").select("hash", "sh", "k", "n", F.lit(None).cast("binary").alias("marks")))
+        large = f"lo < hi AND m > {most_segments}"
+        if sizes.where(large).isEmpty():
+            return reduce(DataFrame.unionByName, out)
+        todo = cut(_divided(of(large), length), "suffix-divided")
 
 
 def _remove(length: int):
@@ -187,32 +209,23 @@ def suffix_dedup(docs: DataFrame, id_: str = "doc_id", text: str = "text", lengt
 
     Null and empty texts have no bytes. Rows of equal texts, repeated rows too, repeat each other: from `length` bytes on
     they go whole. length is at least 40."""
-    spark = docs.sparkSession
     if length < GRAM + 8:
         raise ValueError(f"length must be at least {GRAM + 8}")
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = keyed(docs, id_, text)
+    parts = parts_for(rows)
     classes = rows.groupBy("tk").agg(F.min("id").alias("id"), (F.count("*") > 1).alias("copies"))
-    repeated = rows.select("tk", "text").mapInArrow(_anchors(length, parts), PACKED).groupBy("p").applyInPandas(_repeated(parts), BUCKETS)
-    marks = gathered(repeated).join(classes, F.col("owner") == F.col("tk")).select("id", "tk", "pos")
+    one = rows.join(classes.select("id", "tk").hint("shuffle_hash"), ["id", "tk"])  # one text of each class
+    marks = found_in(one.select("tk", "text").mapInArrow(_anchors(length, parts), PACKED), parts, PLACES).join(classes, F.col("owner") == F.col("tk")).select("id", "tk", "pos")
     # Rows that repeat the least id of their class would give their items twice; items are made distinct by segment below.
     items = rows.join(marks.hint("shuffle_hash"), ["id", "tk"]).select("tk", "text", "pos").mapInArrow(_segments(length), ITEMS)
     items = cut(items, "suffix-items")
-    segments = items.groupBy("hash", "sh").agg(F.first("segment").alias("segment"), F.first("n").alias("n"), F.min(F.struct("tk", "start")).alias("lo"), F.max(F.struct("tk", "start")).alias("hi"))
-    segments = cut(segments.select("hash", "sh", "segment", "n", (F.col("lo") != F.col("hi")).alias("twice")), "suffix-segments")
-    sizes = segments.groupBy("hash").agg(F.count("*").alias("m"))
-    small = sizes.where((F.col("m") > 1) & (F.col("m") <= most_segments)).select("hash")
-    large = sizes.where(F.col("m") > most_segments).select("hash")
-    part = F.pmod(F.xxhash64("hash"), F.lit(parts)).alias("p")
-    single = segments.where("not twice")  # of segments that occur twice all windows repeat, known without sorting
-    sorted_ = segments.join(small, "hash").select("hash", "sh", "segment", "n", part).groupBy("p").applyInPandas(_sort_part(length), "hash long, sh long, marks binary")
-    windows = segments.join(large, "hash").select("hash", "sh", "segment", "n").mapInArrow(_windows(length), "hash long, sh long, k int, w long")
-    often = windows.groupBy("hash", "w").agg(F.count("*").alias("c")).where("c > 1").select("hash", "w")
-    counted = windows.join(often, ["hash", "w"]).groupBy("hash", "sh").agg(F.sort_array(F.collect_list("k")).alias("ks"))
-    counted = counted.mapInArrow(_from_lists, "hash long, sh long, marks binary")
-    partial = sorted_.unionByName(counted).join(single.select("hash", "sh"), ["hash", "sh"], "left_semi")
-    found = partial.unionByName(segments.where("twice").select("hash", "sh", F.lit(None).cast("binary").alias("marks")))
-    per_text = items.select("hash", "sh", "tk", "start", "n").join(found, ["hash", "sh"]).groupBy("tk").agg(F.collect_list(F.struct("start", "n", "marks")).alias("found"))
+    segments = items.groupBy("hash", "sh").agg(*(F.first(c).alias(c) for c in ("segment", "n", "at")), F.min(F.struct("tk", "start")).alias("lo"), F.max(F.struct("tk", "start")).alias("hi"))
+    segments = cut(segments.select("hash", "sh", "segment", "n", "at", (F.col("lo") != F.col("hi")).alias("twice")), "suffix-segments")
+    # Of segments that occur twice all windows repeat, known without sorting.
+    partial = _repeats(segments, length, most_segments).join(segments.where("not twice").select("hash", "sh"), ["hash", "sh"], "left_semi")
+    found = partial.unionByName(segments.where("twice").select("hash", "sh", F.lit(0).alias("k"), "n", F.lit(None).cast("binary").alias("marks")))
+    per_text = items.select("hash", "sh", "tk", "start").join(found, ["hash", "sh"])
+    per_text = per_text.groupBy("tk").agg(F.collect_list(F.struct((F.col("start") + F.col("k")).alias("start"), "n", "marks")).alias("found"))
     gone = classes.join(per_text, "tk", "left").where("copies OR found IS NOT NULL").select("tk", "found", "copies", F.col("id").alias("_id"))
     # Copies go whole or, if short, not at all, so only the one row of a class without copies needs what was found.
     keys = rows.select("id", "tk").join(gone.where("copies").select("tk"), "tk").select("id", "tk").distinct()
@@ -224,12 +237,6 @@ def suffix_dedup(docs: DataFrame, id_: str = "doc_id", text: str = "text", lengt
     return out.withColumn("id", F.when(F.col("id") < LAST_ID, F.col("id")))
 
 
-def _from_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        marks = [np.array(x, np.int32).tobytes() for x in batch.column("ks").to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column("hash"), batch.column("sh"), pa.array(marks, pa.binary())], names=["hash", "sh", "marks"])
-
-
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return suffix_dedup(docs).withColumnRenamed("id", "doc_id")

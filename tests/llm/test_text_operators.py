@@ -7,9 +7,11 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from cadastra.llm import anchors
 from cadastra.llm.decontamination import contaminated
 from cadastra.llm.language_id import identify_languages
 from cadastra.llm.mixing import mix, word_count
@@ -170,12 +172,47 @@ def test_difference_cover():
 
 @pytest.mark.parametrize("most", [20_000, 1])
 def test_suffix_dedup_equals_brute_force(spark, most):
-    """With most_segments 1 every bucket takes the counting way."""
+    """With most_segments 1 every bucket is divided down to single windows."""
     rows = corpus(5, 40)
     found = {r["id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in suffix_dedup(frame(spark, rows), most_segments=most).collect()}
     assert found == brute_bytes(rows, 200)
 
 
+@pytest.mark.parametrize("most", [20_000, 40])
+def test_a_passage_in_most_texts(spark, most):
+    """One bucket far above the bound, of different segments, is divided and sorted; tasks combine a hot anchor."""
+    rng = random.Random(12)
+    word = lambda n: " ".join("".join(rng.choices("abcdefgh", k=5)) for _ in range(n))
+    passage = word(60)
+    rows = [(i, f"{word(rng.randint(0, 40))} {passage} {word(rng.randint(0, 40))}") for i in range(120)] + [(200, passage), (201, None), (202, word(30))]
+    docs = frame(spark, rows)
+    found = {r["id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in suffix_dedup(docs, most_segments=most).collect()}
+    assert found == brute_bytes(rows, 200)
+    if most == 40:
+        assert {r["id"]: (r["n_words"], r["n_removed"], r["kept_sha256"]) for r in substring_dedup(docs).collect()} == brute_substrings(rows, 50)
+
+
+@pytest.mark.parametrize("rule", [anchors.TEXTS, anchors.PLACES, anchors.LATER])
+def test_combined_postings_equal_plain_grouping(spark, rule, monkeypatch):
+    monkeypatch.setattr(anchors, "FLUSH", 50)
+    rng = np.random.default_rng(3)
+    h, owner, pos = rng.integers(0, 90, 700).astype(np.uint64), rng.integers(0, 40, 700), rng.integers(0, 5, 700)
+    rank = owner // 2
+    batches = anchors.combined([(h[a : a + 20], owner[a : a + 20], pos[a : a + 20], rank[a : a + 20]) for a in range(0, 700, 20)], 3, rule)
+    packed = spark.createDataFrame(pa.Table.from_batches(list(batches)))
+    found = {(r["owner"], p) for r in anchors.found_in(packed, 3, rule).collect() for p in anchors.positions(r["pos"]).tolist()}
+    by = collections.defaultdict(set)
+    for x in zip(h.tolist(), owner.tolist(), pos.tolist(), rank.tolist(), strict=True):
+        by[x[0]].add(x[1:])
+    plain = set()
+    for g in by.values():
+        if rule == anchors.LATER:
+            plain |= {x[:2] for x in g if x[2] > min(y[2] for y in g)}
+        elif len(g) > 1 if rule == anchors.PLACES else len({x[0] for x in g}) > 1:
+            plain |= {x[:2] for x in g}
+    assert found == plain
+
+
 def test_repeated_ids_and_empty_tables(spark):
     text = " ".join(f"w{i}" for i in range(60))
     rows = [(1, text), (1, text), (1, text + " end"), (None, text), (2, "short")]
