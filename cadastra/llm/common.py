@@ -27,6 +27,8 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     current = spark.sparkContext.getCheckpointDir()
     if not current:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         spark.sparkContext.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="spark-", dir="/tmp"))
         current = spark.sparkContext.getCheckpointDir()
     return current.rstrip("/")

@@ -4,8 +4,8 @@ A line (text between newlines) with at least one word fails if
 - punctuation: its words that end in two or more of ! ? or in one of # * $ % & make up at least 3 words and 30 % of them;
 - navigation: its words made of | < > « » · • / only are at least 3 and 20 % of its words;
 - boilerplate: it holds one of the fixed phrases below, in any case of A-Z.
-The document loses the words of failed lines; it is rejected if these are more than half of its words, or if the base
-rules fail (under 10 words, or more than a fifth of the words in repeated 5-word windows).
+The document loses the failed lines; it is rejected if they held more than half of its words, or if the base rules fail
+(under 10 words, or more than a fifth of the words in repeated 5-word windows). What is left of it is its clean text.
 """
 
 from __future__ import annotations
@@ -53,13 +53,15 @@ def _texts(data: np.ndarray, offs: np.ndarray) -> Iterator[bytes]:
         yield whole[a:b]
 
 
-def line_statistics(text: bytes) -> tuple[int, int]:
-    """Lines with a word that equal an earlier line; words in lines that fail."""
+def line_statistics(text: bytes, kept: list[bytes] | None = None) -> tuple[int, int]:
+    """Lines with a word that equal an earlier line; words in lines that fail. Other lines are added to kept."""
     seen: set[bytes] = set()
     repeated = lost = 0
     verdict: dict[bytes, int] = {}
     for line in text.split(b"\n"):
         if not line or line.isspace():
+            if kept is not None:
+                kept.append(line)
             continue
         if line in seen:
             repeated += 1
@@ -67,9 +69,17 @@ def line_statistics(text: bytes) -> tuple[int, int]:
             seen.add(line)
             verdict[line] = len(line.split()) if line_fails(line) else 0
         lost += verdict[line]
+        if kept is not None and not verdict[line]:
+            kept.append(line)
     return repeated, lost
 
 
+def clean(text: bytes) -> bytes:
+    """text without the lines that fail."""
+    kept: list[bytes] = []
+    return b"\n".join(kept) if line_statistics(text, kept)[1] else text
+
+
 def repeated_words(h: np.ndarray, k: int = 5) -> int:
     """Words covered by k-word windows that occur more than once."""
     w = window_hashes(h, k)
@@ -106,8 +116,10 @@ def judge(data: np.ndarray, offs: np.ndarray) -> dict[str, np.ndarray]:
     }
 
 
-def quality_rules(docs: DataFrame, text: str = "text") -> DataFrame:
-    """docs with the columns of FIELDS (replacing columns of these names). Null and empty texts have no words and fail."""
+def quality_rules(docs: DataFrame, text: str = "text", remove: bool = False) -> DataFrame:
+    """docs with the columns of FIELDS (replacing columns of these names). Null and empty texts have no words and fail.
+
+    With remove, texts lose their failed lines; the columns tell of what was there before. A null text stays null."""
     docs = docs.drop(*(f.split()[0] for f in FIELDS.split(", ")))
     schema = T.StructType([*docs.schema.fields, *T.StructType.fromDDL(FIELDS).fields])
 
@@ -115,6 +127,11 @@ def quality_rules(docs: DataFrame, text: str = "text") -> DataFrame:
         for batch in batches:
             for part, data, offs in slices(batch, text):
                 cols = judge(data, offs)
+                if remove and cols["n_lost_words"].any():
+                    lost = cols["n_lost_words"].tolist()
+                    left = [t if t is None or not n else clean(t.encode()).decode() for t, n in zip(part.column(text).to_pylist(), lost, strict=True)]
+                    at = part.schema.get_field_index(text)
+                    part = part.set_column(at, part.schema.field(at), pa.array(left, part.schema.field(at).type))
                 yield pa.RecordBatch.from_arrays([*part.columns, *map(pa.array, cols.values())], names=[*part.schema.names, *cols])
 
     return docs.mapInArrow(run, schema)

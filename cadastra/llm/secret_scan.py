@@ -73,11 +73,11 @@ def read_ledger(spark: SparkSession, path: str) -> DataFrame:
         return spark.createDataFrame([], LEDGER)
 
 
-def update_ledger(docs: DataFrame, ledger: str, rules=RULES, text: str = "text") -> int:
+def update_ledger(docs: DataFrame, ledger: str, rules=RULES, text: str = "text") -> None:
     """Scan the (blob, rule version) pairs of docs that the ledger at that path lacks and append them.
 
     A null text is the empty blob. Running it again over the same rows appends nothing; a batch that failed half-way
-    leaves no committed rows, so it is simply run again. Gives the number of rules with something to scan."""
+    leaves no committed rows, so it is simply run again."""
     spark = docs.sparkSession
     blobs = docs.select(F.coalesce(F.col(text), F.lit("")).alias("text")).select(F.sha2("text", 256).alias("blob"), "text")
     seen = read_ledger(spark, ledger).select("blob", "rule", "version").distinct()
@@ -104,7 +104,6 @@ def update_ledger(docs: DataFrame, ledger: str, rules=RULES, text: str = "text")
         ).alias("x"),
     ).select("blob", "x.*")
     found.write.mode("append").parquet(ledger)
-    return len(rules)
 
 
 def findings(docs: DataFrame, ledger: str, rules=RULES, text: str = "text") -> DataFrame:
@@ -145,18 +144,18 @@ def span_text(spans: F.Column) -> F.Column:
 
 def redact(text: F.Column, spans: F.Column) -> F.Column:
     """text with every maximal run of overlapping spans replaced by <secret>; spans ordered by start."""
-    n = F.length(text)
     merged = F.aggregate(
-        F.concat(spans, F.array(F.struct((n + 1).alias("s"), F.lit(0).alias("k"), (n + 1).alias("e"), F.lit("").alias("kind")))),
-        F.struct(F.lit("").alias("out"), F.lit(0).alias("at")),
-        lambda a, x: F.struct(
-            F.when(x["e"] > n, F.concat(a["out"], F.substring(text, a["at"] + 1, n)))
-            .when(x["s"] >= a["at"], F.concat(a["out"], F.substring(text, a["at"] + 1, x["s"] - a["at"]), F.lit("<secret>")))
-            .otherwise(a["out"]).alias("out"),
-            F.greatest(a["at"], x["e"]).alias("at"),
-        ),
-    )["out"]
-    return F.when(F.size(spans) > 0, merged).otherwise(text)
+        spans,
+        F.expr(f"cast(array() as {_SPANS})"),
+        lambda runs, x: F.when(
+            (F.size(runs) > 0) & (x["s"] < F.element_at(runs, -1)["e"]),
+            F.concat(F.slice(runs, 1, F.size(runs) - 1), F.array(F.struct(F.element_at(runs, -1)["s"].alias("s"), F.greatest(F.element_at(runs, -1)["e"], x["e"]).alias("e")))),
+        ).otherwise(F.concat(runs, F.array(F.struct(x["s"].alias("s"), x["e"].alias("e"))))),
+    )
+    edge = F.array(F.struct(F.lit(0).alias("s"), F.lit(0).alias("e")))
+    end = F.array(F.struct(F.length(text).alias("s"), F.length(text).alias("e")))
+    pieces = F.zip_with(F.concat(edge, merged), F.concat(merged, end), lambda a, b: F.substring(text, a["e"] + 1, b["s"] - a["e"]))
+    return F.when(F.size(spans) > 0, F.array_join(pieces, "<secret>")).otherwise(text)
 
 
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -50,6 +50,9 @@ def url_filter(pages: DataFrame, rules: DataFrame, url: str = "url", max_blocks:
     blocks = blocks_for(counted["n"], max_blocks)
     host, path = canonical(F.col(url))
     judged = pages.drop("host", "path", "rule", "verdict").withColumns({"host": host, "path": path})
+    columns = judged.columns
+    # Addresses without host match nothing; the number of their partition keeps them from meeting in one task.
+    judged = judged.withColumn("_apart", F.when(F.col("host") == "", F.spark_partition_id() + 1).otherwise(0))
     addresses = judged.select("host", "path").where("host != ''").distinct()
     labels = F.split("host", r"\.")
     keys = [
@@ -60,7 +63,7 @@ def url_filter(pages: DataFrame, rules: DataFrame, url: str = "url", max_blocks:
         for shape in counted["shapes"]
     ]
     if not keys:
-        return judged.withColumns({"rule": F.lit(None).cast("string"), "verdict": F.lit("allow")})
+        return judged.drop("_apart").withColumns({"rule": F.lit(None).cast("string"), "verdict": F.lit("allow")})
     known = bloom(rules.select(F.xxhash64("key").alias("h")), blocks).scalar()
     possible = (
         addresses.select("host", "path", F.explode(F.array_compact(F.array(*keys))).alias("key"))
@@ -68,10 +71,10 @@ def url_filter(pages: DataFrame, rules: DataFrame, url: str = "url", max_blocks:
         .join(rules, "key")
         .groupBy("host", "path")
         .agg(F.max(F.struct("n", "n_host", "rule", "action")).alias("best"))
-        .select("host", "path", F.col("best.rule").alias("rule"), F.col("best.action").alias("action"))
+        .select("host", "path", F.lit(0).alias("_apart"), F.col("best.rule").alias("rule"), F.col("best.action").alias("action"))
     )
-    out = judged.join(possible, ["host", "path"], "left")
-    return out.select(*judged.columns, "rule", F.coalesce("action", F.lit("allow")).alias("verdict"))
+    out = judged.join(possible, ["host", "path", "_apart"], "left")
+    return out.select(*columns, "rule", F.coalesce("action", F.lit("allow")).alias("verdict"))
 
 
 def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:

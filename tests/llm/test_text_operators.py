@@ -231,6 +231,8 @@ def test_quality_rules(spark):
     out = {r["doc_id"]: r for r in quality_rules(docs).collect()}
     assert {d for d, r in out.items() if r["kept"]} == {1}
     assert not out[6]["base_failed"] and out[3]["base_failed"] and out[5]["base_failed"]
+    left = {r["doc_id"]: r["text"] for r in quality_rules(frame(spark, [*rows, (7, "one\n\nclick here now\ntwo\n")]), remove=True).collect()}
+    assert left == {1: rows[0][1], 2: "", 3: None, 4: rows[3][1], 5: "", 6: "", 7: "one\n\ntwo\n"}
     assert out[2]["n_dup_lines"] == 1 and out[4]["n_repeat_words"] == 25 and out[1]["n_words"] == 11
 
 
