@@ -1,6 +1,6 @@
 """From raw documents to a training mix in five stages, each written as Parquet and read back as the next one's input.
 
-quality_rules      documents that the rules reject go
+quality_rules      documents that the rules reject go, and of the others the lines that fail
 ngram_join         of each group of near copies the document of the least id stays
 decontamination    documents that share template windows with a benchmark item go
 secret_scan        secrets in texts become <secret>; n_chars follows
@@ -24,7 +24,8 @@ from cadastra.llm.common import cut, table
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return rules.quality_rules(docs).where("kept").select(*docs.columns)
+    kept = rules.quality_rules(docs, remove=True).where("kept")
+    return kept.withColumn("n_chars", F.when(F.col("n_lost_words") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*docs.columns)
 
 
 def _rows(docs: DataFrame) -> DataFrame:
