@@ -6,12 +6,17 @@ Ties go to the least id. Null coordinates match nothing."""
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cadastra.functions import geometry as G
+from cadastra.functions import planar
 
 
 def cell(v: Column, size: float) -> Column:
@@ -87,28 +92,124 @@ def polygon_cells(polygons: DataFrame, ring: str, size: float, pad: float | Colu
     return boxed.withColumn("_cx", F.explode(xs)).withColumn("_cy", F.explode(ys))
 
 
-def points_in_polygons(points: DataFrame, polygons: DataFrame, ring: str = "ring", size: float = 25.0, x="x", y="y") -> DataFrame:
-    """All (point, polygon) pairs with the point inside."""
-    joined = _keyed(points, x, y, size).join(polygon_cells(polygons, ring, size), ["_cx", "_cy"])
-    box = F.col(x).between(F.col("_b.xmin"), F.col("_b.xmax")) & F.col(y).between(F.col("_b.ymin"), F.col("_b.ymax"))
-    return joined.where(box & G.contains(F.col(ring), F.col(x), F.col(y))).drop("_cx", "_cy", "_b")
+def _boxed(polygons: DataFrame, ring: str, pad: float = 0.0) -> DataFrame:
+    """polygons with _x0, _y0, _x1, _y1, the padded box of a ring or of an array of rings; null and empty ones are dropped."""
+    nested = dict(polygons.dtypes)[ring].startswith("array<array")
+    all_ = F.flatten(F.col(ring)) if nested else F.col(ring)
+    boxed = polygons.withColumn("_b", G.bbox(all_)).where("_b.xmin IS NOT NULL AND _b.ymin IS NOT NULL")
+    return boxed.withColumns({"_x0": F.col("_b.xmin") - pad, "_y0": F.col("_b.ymin") - pad, "_x1": F.col("_b.xmax") + pad, "_y1": F.col("_b.ymax") + pad}).drop("_b")
 
 
-def points_near_polygons(points: DataFrame, polygons: DataFrame, reach: float, ring: str = "ring", size: float = 25.0, x="x", y="y") -> DataFrame:
+def _level(size: float) -> Column:
+    """Boxes up to twice `size` have level 0, up to eight times 1, and so on by fours; cells of a level are size * 4 ** level."""
+    side = F.greatest(F.col("_x1") - F.col("_x0"), F.col("_y1") - F.col("_y0"))
+    return F.greatest(F.lit(0), F.ceil(F.log(side / (2 * size)) / math.log(4))).cast("int")
+
+
+def _grid(xs: Column, ys: Column, level: int) -> Column:
+    return F.flatten(F.transform(xs, lambda i: F.transform(ys, lambda j: F.struct(F.lit(level).alias("_l"), i.alias("_cx"), j.alias("_cy")))))
+
+
+def _box_keys(boxed: DataFrame, size: float, levels: list[int]) -> DataFrame:
+    """boxed, once for each cell (_l, _cx, _cy) that the box touches at its own level and at those above it."""
+    keys = []
+    for l_ in levels:
+        side = size * 4**l_
+        xs, ys = F.sequence(cell(F.col("_x0"), side), cell(F.col("_x1"), side)), F.sequence(cell(F.col("_y0"), side), cell(F.col("_y1"), side))
+        keys.append(F.when(F.col("_level") <= l_, _grid(xs, ys, l_)))
+    return boxed.withColumn("_k", F.explode(F.flatten(F.array_compact(F.array(*keys))))).select(*boxed.columns, "_k.*")
+
+
+def _levels(boxed: DataFrame) -> list[int]:
+    """The levels there are: one for each fourfold size, so a handful."""
+    return sorted(r[0] for r in boxed.select("_level").distinct().collect())
+
+
+def _candidates(points: DataFrame, boxed: DataFrame, size: float, x: str, y: str) -> DataFrame:
+    """Pairs with the point in the padded box. Points have a row for each level of boxes, boxes a few cells at their own."""
+    boxed = boxed.withColumn("_level", _level(size))
+    levels = _levels(boxed) or [0]
+    at = F.explode(F.array(*(F.struct(F.lit(k).alias("_l"), cell(F.col(x), size * 4**k).alias("_cx"), cell(F.col(y), size * 4**k).alias("_cy")) for k in levels)))
+    keyed = points.withColumn("_k", at).select(*points.columns, "_k.*")
+    own = _box_keys(boxed, size, levels).where("_l = _level").drop("_level")
+    joined = keyed.join(own, ["_l", "_cx", "_cy"]).where(F.col(x).between(F.col("_x0"), F.col("_x1")) & F.col(y).between(F.col("_y0"), F.col("_y1")))
+    return joined.drop("_l", "_cx", "_cy", "_x0", "_y0", "_x1", "_y1")
+
+
+def _numbers(batch: pa.RecordBatch, name: str) -> np.ndarray:
+    return np.asarray(batch.column(name).cast(pa.float64()).fill_null(np.nan), float)
+
+
+def points_in_polygons(points: DataFrame, polygons: DataFrame, ring: str = "ring", size: float = 10.0, x="x", y="y") -> DataFrame:
+    """All (point, polygon) pairs with the point inside; ring is a ring or an array of rings (holes, parts).
+
+    Boxes are joined by cells of their own size class, the exact test runs over Arrow batches of what is left."""
+    pairs = _candidates(points, _boxed(polygons, ring), size, x, y)
+
+    def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield b.filter(pa.array(planar.inside(*planar.polygon_edges(b.column(ring)), _numbers(b, x), _numbers(b, y))))
+
+    return pairs.mapInArrow(test, pairs.schema)
+
+
+def points_in_circles(points: DataFrame, circles: DataFrame, size: float = 10.0, x="x", y="y", cx="rx", cy="ry", r="r") -> DataFrame:
+    """All (point, circle) pairs within the circle's own radius, with `dist`."""
+    c, d = (F.col(cx), F.col(cy)), F.col(r)
+    boxed = circles.withColumns({"_x0": c[0] - d, "_y0": c[1] - d, "_x1": c[0] + d, "_y1": c[1] + d}).where("_x0 IS NOT NULL AND _y0 IS NOT NULL")
+    dist = F.hypot(F.col(x) - F.col(cx), F.col(y) - F.col(cy))
+    return _candidates(points, boxed, size, x, y).withColumn("dist", dist).where(F.col("dist") <= F.col(r))
+
+
+def points_near_polygons(points: DataFrame, polygons: DataFrame, reach: float, ring: str = "ring", size: float = 10.0, x="x", y="y") -> DataFrame:
     """Pairs with the point outside the polygon but within reach of its sides, with `edge_dist`."""
-    joined = _keyed(points, x, y, size).join(polygon_cells(polygons, ring, size, reach), ["_cx", "_cy"])
-    box = F.col(x).between(F.col("_b.xmin") - reach, F.col("_b.xmax") + reach) & F.col(y).between(F.col("_b.ymin") - reach, F.col("_b.ymax") + reach)
-    near = joined.where(box).withColumn("edge_dist", G.edge_distance(F.col(ring), F.col(x), F.col(y)))
-    return near.where((F.col("edge_dist") <= reach) & ~G.contains(F.col(ring), F.col(x), F.col(y))).drop("_cx", "_cy", "_b")
-
-
-def polygon_overlay(left: DataFrame, right: DataFrame, left_id: str, right_id: str, left_ring: str, right_ring: str, size: float = 25.0) -> DataFrame:
-    """(left_id, right_id, shared, left_fraction, right_fraction) of pairs with positive common area; right rings are convex
-    and counter-clockwise. Touching is no match. Each pair is decided in the cell of its boxes' common lower corner."""
-    a = polygon_cells(left.select(left_id, left_ring), left_ring, size).withColumnRenamed("_b", "_lb")
-    b = polygon_cells(right.select(right_id, right_ring), right_ring, size).withColumnRenamed("_b", "_rb")
-    pairs = a.join(b, ["_cx", "_cy"]).where(G.boxes_overlap(F.col("_lb"), F.col("_rb"), inclusive=False))
-    once = (F.col("_cx") == cell(F.greatest("_lb.xmin", "_rb.xmin"), size)) & (F.col("_cy") == cell(F.greatest("_lb.ymin", "_rb.ymin"), size))
-    shared = G.area(G.clip_convex(F.col(left_ring), F.col(right_ring)))
-    out = pairs.where(once).select(left_id, right_id, shared.alias("shared"), G.area(F.col(left_ring)).alias("_la"), G.area(F.col(right_ring)).alias("_ra"))
-    return out.where("shared > 0").select(left_id, right_id, "shared", (F.col("shared") / F.col("_la")).alias("left_fraction"), (F.col("shared") / F.col("_ra")).alias("right_fraction"))
+    pairs = _candidates(points, _boxed(polygons, ring, reach), size, x, y)
+    schema = T.StructType([*pairs.schema.fields, T.StructField("edge_dist", T.DoubleType())])
+
+    def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            edges, px, py = planar.polygon_edges(b.column(ring)), _numbers(b, x), _numbers(b, y)
+            dist = planar.side_distance(*edges, px, py)
+            near = (dist <= reach) & ~planar.inside(*edges, px, py)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(dist)], names=[*b.schema.names, "edge_dist"]).filter(pa.array(near))
+
+    return pairs.mapInArrow(test, schema)
+
+
+def box_pairs(left: DataFrame, right: DataFrame, left_id: str, right_id: str, left_ring: str, right_ring: str, size: float = 10.0) -> DataFrame:
+    """(left_id, right_id) of the pairs whose boxes overlap by more than a side, each once: in the cell, at the level of the
+    larger box, of the boxes' common lower corner."""
+    side = lambda d, i, r: _boxed(d.select(i, r), r).withColumn("_level", _level(size)).drop(r)
+    a, b = side(left, left_id, left_ring), side(right, right_id, right_ring)
+    levels = sorted({*_levels(a), *_levels(b)}) or [0]
+    other = {c: c.replace("_", "_r", 1) for c in ("_x0", "_y0", "_x1", "_y1", "_level")}
+    pairs = _box_keys(a, size, levels).join(_box_keys(b, size, levels).withColumnsRenamed(other), ["_l", "_cx", "_cy"])
+    pairs = pairs.where("_l = greatest(_level, _rlevel) AND _x0 < _rx1 AND _rx0 < _x1 AND _y0 < _ry1 AND _ry0 < _y1")
+    scale = F.lit(size) * F.pow(F.lit(4.0), F.col("_l"))
+    return pairs.where((F.col("_cx") == F.floor(F.greatest("_x0", "_rx0") / scale)) & (F.col("_cy") == F.floor(F.greatest("_y0", "_ry0") / scale))).select(left_id, right_id)
+
+
+def polygon_overlay(left: DataFrame, right: DataFrame, left_id: str, right_id: str, left_ring: str, right_ring: str, size: float = 10.0, pairs: DataFrame | None = None) -> DataFrame:
+    """(left_id, right_id, shared, left_fraction, right_fraction) of pairs with positive common area; touching is no match.
+
+    Any simple polygons will do: rings, or arrays of rings with holes and parts. Ids are unique on each side. Boxes and ids are
+    joined first (or pairs given), then polygons are looked up and their common area is computed over Arrow batches."""
+    pairs = box_pairs(left, right, left_id, right_id, left_ring, right_ring, size) if pairs is None else pairs
+    both = pairs.join(left.select(left_id, left_ring), left_id).join(right.select(right_id, right_ring), right_id).select(left_id, right_id, left_ring, right_ring)
+    both = both.withColumns({"_la": _polygon_area(both, left_ring), "_ra": _polygon_area(both, right_ring)})
+    schema = T.StructType([both.schema[left_id], both.schema[right_id], *(T.StructField(c, T.DoubleType()) for c in ("shared", "left_fraction", "right_fraction"))])
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            shared = planar.common_areas(planar.polygon_edges(b.column(left_ring)), planar.polygon_edges(b.column(right_ring)), b.num_rows)
+            with np.errstate(divide="ignore", invalid="ignore"):
+                parts = [shared, shared / _numbers(b, "_la"), shared / _numbers(b, "_ra")]
+            yield pa.RecordBatch.from_arrays([b.column(left_id), b.column(right_id), *map(pa.array, parts)], names=schema.names).filter(pa.array(shared > 0))
+
+    return both.mapInArrow(measure, schema)
+
+
+def _polygon_area(df: DataFrame, ring: str) -> Column:
+    """Area of a ring; of rings whose direction tells holes from outlines, the absolute sum."""
+    nested = dict(df.dtypes)[ring].startswith("array<array")
+    return F.abs(F.aggregate(F.col(ring), F.lit(0.0), lambda s, r: s + G.signed_area(r))) if nested else G.area(F.col(ring))

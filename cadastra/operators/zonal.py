@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .spatial_join import nearest_join, points_in_polygons, points_near_polygons, radius_join
+from .spatial_join import nearest_join, points_in_circles, points_in_polygons, points_near_polygons
 
 
 @dataclass(frozen=True)
@@ -34,11 +34,10 @@ def inside_statistics(points: DataFrame, footprints: DataFrame, h: Heights) -> D
 def ground_in_circle(points: DataFrame, footprints: DataFrame, ring: float) -> DataFrame:
     """cluster_id, ground_z: median ground height within half the box diagonal plus twice the ring of the centre.
 
-    Circles are grouped by a power-of-two radius class, so each class joins on cells of its own size."""
+    Circles join by cells of the size of their own class (spatial_join), so one wide footprint costs the others nothing."""
     ground = points.where("classification = 2").select("x", "y", "z")
     circles = footprints.select("cluster_id", F.col("cx").alias("rx"), F.col("cy").alias("ry"), (F.hypot("hw", "hh") + 2 * ring).alias("r"))
-    reach = circles.agg(F.max("r")).first()[0] or 1.0
-    near = radius_join(ground, circles, float(reach)).where("dist <= r")
+    near = points_in_circles(ground, circles, 2 * ring)
     return near.groupBy("cluster_id").agg(F.percentile("z", F.lit(0.5)).alias("ground_z"), F.count("*").alias("n_ground"))
 
 

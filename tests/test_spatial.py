@@ -127,3 +127,37 @@ def test_leftover_cells_go_to_the_nearest_marker_at_any_distance(spark):
     got = {(r["key"], r["row"], r["col"]): r["component"] for r in out.collect()}
     least = (2 + (1 << 20)) * (1 << 21) + 900 + (1 << 20)
     assert got == {x: min((math.hypot(x[1] - r, x[2] - c), m) for k, r, c, m in marked if k == x[0])[1] if x[0] != "none" else least for x in rest}
+
+
+def test_points_and_circles_of_very_different_sizes(spark, data):
+    """One polygon and one circle a hundred times as wide as the rest."""
+    p, _, dp, _ = data
+    rng = random.Random(4)
+    boxes = [(i, x := rng.uniform(-50, 50), y := rng.uniform(-50, 50), x + 0.8, y + 0.6) for i in range(60)] + [(99, -40.0, -45.0, 40.0, 30.0)]
+    poly = spark.createDataFrame([(i, [{"x": u, "y": v} for u, v in ((a, b), (c, b), (c, d), (a, d))]) for i, a, b, c, d in boxes], f"pid long, ring array<{G.POINT}>")
+    assert {(r["id"], r["pid"]) for r in J.points_in_polygons(dp, poly, size=1.0).collect()} == {(k, i) for k, x, y in p for i, a, b, c, d in boxes if a <= x < c and b <= y < d}
+    circles = [(i, a, b, 0.7) for i, a, b, _, _ in boxes[:60]] + [(99, 0.0, 0.0, 45.0)]
+    found = J.points_in_circles(dp, spark.createDataFrame(circles, "cid long, rx double, ry double, r double"), size=0.5)
+    assert {(r["id"], r["cid"]) for r in found.collect()} == {(k, i) for k, x, y in p for i, a, b, r in circles if math.hypot(x - a, y - b) <= r}
+
+
+def test_overlay_of_any_polygons(spark):
+    """Concave rings, holes and parts against a fine grid of points."""
+    comb = [(0.0, 0.0), (9.0, 0.0), (9.0, 6.0), (7.0, 6.0), (7.0, 2.0), (5.0, 2.0), (5.0, 6.0), (3.0, 6.0), (3.0, 2.0), (1.0, 2.0), (1.0, 6.0), (0.0, 6.0)]
+    square = lambda a, b, c, d: [(a, b), (c, b), (c, d), (a, d)]
+    left = [(1, [comb]), (2, [square(0.0, 0.0, 8.0, 8.0), square(2.0, 2.0, 6.0, 6.0)[::-1]]), (3, [square(100.0, 0.0, 101.0, 1.0)])]
+    right = [(7, [[(-1.0, 3.0), (10.0, 4.0), (10.0, 5.0), (-1.0, 5.0)]]), (8, [square(1.0, 1.0, 3.0, 3.0), square(5.0, 5.0, 7.0, 7.0)]), (9, [square(9.0, 0.0, 12.0, 6.0)])]
+    kind = f"array<array<{G.POINT}>>"
+    frame = lambda rows, i, r: spark.createDataFrame([(k, [[{"x": x, "y": y} for x, y in ring] for ring in rings]) for k, rings in rows], f"{i} long, {r} {kind}")
+    out = {(r["a"], r["b"]): r for r in J.polygon_overlay(frame(left, "a", "p"), frame(right, "b", "q"), "a", "b", "p", "q", size=2.0).collect()}
+
+    def within(rings, x, y):
+        return sum((ay > y) != (by > y) and x < (bx - ax) * (y - ay) / (by - ay) + ax for ring in rings for (ax, ay), (bx, by) in zip(ring, ring[1:] + ring[:1], strict=True)) % 2 == 1
+
+    step = 0.05
+    grid = [((i + 0.5) * step, (j + 0.5) * step) for i in range(-20, 240) for j in range(-20, 200)]
+    for a, p in left:
+        for b, q in right:
+            plain = sum(within(p, x, y) and within(q, x, y) for x, y in grid) * step * step
+            assert abs(out[a, b]["shared"] - plain) < 0.1 if plain else (a, b) not in out
+    assert out[2, 8]["shared"] == pytest.approx(6.0) and out[2, 8]["left_fraction"] == pytest.approx(6 / 48)
