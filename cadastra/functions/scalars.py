@@ -7,11 +7,13 @@ from pyspark.sql import functions as F
 
 #: US survey foot in metres.
 FOOT_US = 0.3048006096012192
-#: Provenance words and their classes.
+#: Footprint source types and their provenance labels.
 PROVENANCE = {
-    "county": "authoritative", "municipal": "authoritative", "parcel": "authoritative", "lidar": "lidar_derived", "lidar_cluster": "lidar_derived", "hull": "lidar_derived",
-    "osm": "open_data", "overture": "open_data", "ml": "machine_learned", "manual": "manual",
+    "open_county": "open_county_footprint", "open_city": "open_city_footprint", "open_state": "open_state_footprint", "osm": "osm_footprint",
+    "microsoft_ml": "unknown_unsafe_source", "unknown": "unknown_unsafe_source",
 }
+#: Words for units of height.
+FEET_WORDS, METRE_WORDS = ("us survey foot", "us survey feet", "foot_us", "ftus"), ("metre", "meter", "metres", "meters")
 
 
 def text(c: Column) -> Column:
@@ -28,9 +30,66 @@ def slug(name: Column) -> Column:
 
 
 def campaign(filename: Column) -> Column:
-    """struct<campaign_group, detailed_prefix>: leading letter-bearing parts of a name split at _ and -, at most two and three."""
-    parts = F.filter(F.split(tile_id(filename), r"[_-]"), lambda p: p.rlike("[A-Za-z]"))
-    return F.struct(F.array_join(F.slice(parts, 1, 2), "_").alias("campaign_group"), F.array_join(F.slice(parts, 1, 3), "_").alias("detailed_prefix"))
+    """struct<campaign_group, detailed_prefix> of a file name: without extension, leading USGS_LPC_ and trailing tile numbers
+    (a year of four digits stays) it is the prefix; the group is its first two parts ahead of a year, or its first part."""
+    stem = F.regexp_replace(F.element_at(F.split(filename, "/"), -1), r"\.[^.]*$", "")
+    prefix = F.regexp_replace(F.regexp_replace(stem, r"(?i)^usgs_lpc_", ""), r"(?:(?:^|_)(?![0-9]{4}(?:_|$))[0-9]+)+$", "")
+    group = F.regexp_extract(prefix, r"^((?![0-9]{4}(?:_|$))[^_]+(?:_(?![0-9]{4}(?:_|$))[^_]+)?)", 1)
+    first = F.split(prefix, "_")[0]
+    empty = prefix == ""
+    return F.struct(F.when(empty, "unknown").when(group == "", first).otherwise(group).alias("campaign_group"), F.when(empty, "unknown").otherwise(prefix).alias("detailed_prefix"))
+
+
+def project(filename: Column) -> Column:
+    """The survey project in a file name: without extension, leading USGS_LPC_ and one trailing grid or tile number."""
+    stem = F.regexp_replace(F.element_at(F.split(filename, "/"), -1), r"(?:\.laz)?\.[^.]*$", "")
+    short = F.regexp_replace(F.regexp_replace(stem, r"^USGS_LPC_", ""), r"_(?:w[0-9]+n[0-9]+|[0-9]{2}[A-Z]{2,4}[0-9]{4,}|[0-9]{4,})$", "")
+    return F.when(short == "", stem).otherwise(short)
+
+
+def quarter_box(filename: Column, unit: float = 1000.0, step: float = 3000.0) -> Column:
+    """struct<x, y, quarter, xmin, ymin, xmax, ymax> of a name whose parts 7 and 8 are x and y with a quarter letter: a and b the
+    north-west and north-east, c and d the south-west and south-east halves of a cell of `step`; null for other names."""
+    parts = F.split(F.regexp_replace(filename, r"(_LAS_[0-9]{4})?\.laz$", ""), "_")
+    x, yq = F.get(parts, F.lit(6)).try_cast("int"), F.get(parts, F.lit(7))
+    quarter, y = F.right(yq, F.lit(1)), F.regexp_replace(yq, ".$", "").try_cast("int")
+    east, north, half = quarter.isin("b", "d"), quarter.isin("a", "b"), step / 2
+    xmin, ymin = x * unit + F.when(east, half).otherwise(0.0), y * unit + F.when(north, half).otherwise(0.0)
+    ok = filename.endswith(".laz") & x.isNotNull() & y.isNotNull() & quarter.isin("a", "b", "c", "d")
+    return F.when(ok, F.struct(x.alias("x"), y.alias("y"), quarter.alias("quarter"), xmin.alias("xmin"), ymin.alias("ymin"), (xmin + half).alias("xmax"), (ymin + half).alias("ymax")))
+
+
+def unit_state(raw: Column) -> Column:
+    """ftUS, m or unknown for a unit as it is written."""
+    low = F.lower(text(raw))
+    return F.when(low.isin(*FEET_WORDS), "ftUS").when(low.isin(*METRE_WORDS), "m").otherwise("unknown")
+
+
+def unit_of_crs(code: Column, feet: tuple[str, ...] = ("EPSG:2229", "EPSG:2230", "EPSG:2875", "EPSG:102645")) -> Column:
+    """struct<unit, to_metres> of a coordinate system's code; feet lists those in survey feet."""
+    in_feet = F.upper(text(code)).isin(*feet)
+    return F.struct(F.when(in_feet, "survey_foot").otherwise("meter").alias("unit"), F.when(in_feet, FOOT_US).otherwise(1.0).alias("to_metres"))
+
+
+def building_identity(tile: Column, cluster: Column, building_id: Column, namespace: Column, unique_id: Column, unique_namespace: Column) -> Column:
+    """struct<id, namespace, kind, error>: the building's own id with its namespace (one without the other is an error), else the
+    footprint's unique id (an error without a namespace for it), else one made of tile and cluster."""
+    own, space, unique = F.nullif(text(building_id), F.lit("")), F.nullif(text(namespace), F.lit("")), F.nullif(text(unique_id), F.lit(""))
+    none = F.lit(None).cast("string")
+    of = lambda i, n, kind, error=none: F.struct(i.alias("id"), n.alias("namespace"), F.lit(kind).alias("kind"), error.alias("error"))
+    return (
+        F.when(own.isNotNull() & space.isNotNull(), of(own, space, "footprint_building_id"))
+        .when(own.isNotNull() | space.isNotNull(), of(none, none, "error", F.lit("incomplete building identity")))
+        .when(unique.isNotNull() & unique_namespace.isNotNull(), of(unique, unique_namespace, "footprint_unique_id"))
+        .when(unique.isNotNull(), of(none, none, "error", F.lit("unique id without namespace")))
+        .otherwise(of(F.concat_ws("_", F.lit("bld"), tile, cluster.cast("string")), F.lit("tile_cluster"), "tile_cluster_fallback"))
+    )
+
+
+def stable(c: Column) -> Column:
+    """Rounded to nine decimals, without a negative zero; an error for numbers that aren't finite."""
+    finite = ~(F.isnan(c) | (F.abs(c) == float("inf")))
+    return F.when(c.isNotNull() & F.assert_true(F.coalesce(finite, F.lit(True)), "non-finite metric").isNull(), F.round(c, 9) + F.lit(0.0))
 
 
 def full_address(*parts: Column) -> Column:

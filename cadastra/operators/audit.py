@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cadastra.functions import scalars as S
+
 #: The order of statuses from good to bad.
 RANK = {"PASS": 0, "WARN": 1, "FAIL": 2}
 
@@ -17,36 +19,109 @@ def first_true(rules: list[tuple[Column, str]], default: str) -> Column:
     return out.otherwise(default)
 
 
-def certification(c: dict[str, Column]) -> Column:
-    """An ordered decision: incomplete states come before blocked ones, unsafe sources before licences."""
+def production_errors(source_type: Column, license_: Column, allowed: Column) -> Column:
+    """Why a footprint source may not be used in production; empty if it may."""
+    kind = F.coalesce(source_type, F.lit(""))
+    return F.array_compact(
+        F.array(
+            F.when(kind == "", F.lit("source type missing; blocked from production")),
+            F.when(kind.isin("microsoft_ml", "unknown"), F.concat(F.lit("source type "), kind, F.lit(" is blocked from production"))),
+            F.when((F.coalesce(license_, F.lit("")) == "") | S.unconfirmed_license(license_), F.lit("license not confirmed")),
+            F.when(~F.coalesce(allowed, F.lit(False)), F.lit("production_allowed not set")),
+        )
+    )
+
+
+def _mentions(errors: Column, *words: str) -> Column:
+    return F.exists(errors, lambda e: e.rlike("|".join(words)))
+
+
+def legal_risk(errors: Column, n_unsafe: Column) -> Column:
+    """HIGH for machine-learned or unsafe footprints, MEDIUM for an open license question, else LOW."""
+    return first_true([(_mentions(errors, "microsoft_ml") | (n_unsafe > 0), "HIGH"), (_mentions(errors, "license"), "MEDIUM")], "LOW")
+
+
+def city_status(c: dict[str, Column]) -> Column:
+    """The status of a city from n_raw, manifest_ok, n_manifest, n_dirs, n_processed, errors (production_errors), n_unsafe,
+    n_missing (tiles with buildings whose outputs are missing), has_mesh, n_orphaned, n_stale, n_unproven, has_manifest.
+
+    A running pipeline is partial whatever else is wrong; then unsafe sources, licenses, missing outputs, stale meshes and
+    missing provenance block, in this order."""
+    total = F.when(c["n_manifest"] > 0, c["n_manifest"]).otherwise(c["n_dirs"])
+    blocked = _mentions(c["errors"], "microsoft_ml", "blocked from production")
     return first_true(
         [
-            (c["n_raw"] == 0, "not_started"),
-            (c["n_done"] == 0, "processing_not_started"),
-            (c["n_done"] < c["n_expected"], "partial"),
-            (c["config_errors"] > 0, "blocked_config"),
-            (c["unsafe_sources"] > 0, "blocked_unsafe_source"),
-            (c["unconfirmed_licenses"] > 0, "blocked_license"),
-            (c["false_zero_tiles"] > 0, "blocked_zero_buildings"),
-            (c["missing_provenance"] > 0, "needs_provenance"),
-            (c["address_percent"] < 50, "needs_addresses"),
-            (c["warnings"] > 0, "certified_with_warnings"),
+            ((c["n_raw"] == 0) & (c["n_dirs"] == 0) & ~c["manifest_ok"], "not_started"),
+            ((c["n_raw"] > 0) & (c["n_dirs"] == 0) & ~c["manifest_ok"], "raw_data_ready"),
+            ((c["n_dirs"] < total) | (c["n_processed"] < c["n_dirs"]), "processed_partial"),
+            (blocked | (c["n_unsafe"] > 0), "blocked_unsafe_source"),
+            (_mentions(c["errors"], "license"), "blocked_license"),
+            (c["n_missing"] > 0, "blocked_missing_outputs"),
+            (c["n_dirs"] == 0, "raw_data_ready"),
+            (~c["has_mesh"], "processed_complete"),
+            ((c["n_orphaned"] > 0) | (c["n_stale"] > 0), "blocked_stale_glb"),
+            (c["n_unproven"] > 0, "blocked_missing_provenance"),
+            ((F.size(c["errors"]) == 0) & c["has_manifest"], "production_ready"),
+            (c["has_manifest"], "viewer_ready"),
         ],
-        "certified",
+        "processed_complete",
     )
 
 
-def production_errors(source_type: Column, license_: Column, allowed: Column) -> Column:
-    """Why a source may not be used in production; empty if it may."""
-    low = F.lower(F.trim(F.coalesce(license_, F.lit(""))))
-    return F.array_compact(
-        F.array(
-            F.when(F.trim(F.coalesce(source_type, F.lit(""))) == "", F.lit("missing_type")),
-            F.when(F.lower(source_type).isin("blocked", "unknown", "scraped"), F.lit("blocked_type")),
-            F.when((low == "") | low.rlike("(^|[_ -])unconfirmed$"), F.lit("license")),
-            F.when(~F.coalesce(allowed, F.lit(False)), F.lit("not_allowed")),
-        )
-    )
+def package_status(address_source: Column, n_structures: Column, n_matched: Column) -> Column:
+    """complete once structures have addresses; otherwise what is missing."""
+    return first_true([(~address_source, "missing_address_source"), (n_structures == 0, "no_structures"), (n_matched == 0, "no_address_matches")], "complete")
+
+
+def city_totals(tiles: DataFrame) -> DataFrame:
+    """One row for each city_id of tiles(city_id, tile_id, exit_code, n_clusters, lod0, lod1): sums over what is known, and
+    whether all tiles passed."""
+    total = lambda c: F.sum(F.coalesce(c, F.lit(0)))
+    return tiles.groupBy("city_id").agg(
+        F.count("*").alias("tiles_attempted"), F.count_if(F.col("exit_code") == 0).alias("tiles_ok"), total("lod0").alias("buildings_lod0"), total("lod1").alias("buildings_lod1"), total("n_clusters").alias("clusters"),
+        F.bool_and(F.coalesce(F.col("exit_code") == 0, F.lit(False))).alias("all_tiles_passed"),
+    )
+
+
+def tile_category(c: dict[str, Column]) -> Column:
+    """ok with both meshes; else the first stage that failed (c: has_lod0, has_lod1, s03_ok, s04_error, s01_error, terrain_only,
+    n_footprints, s04_status)."""
+    return first_true(
+        [
+            (c["has_lod0"] & c["has_lod1"], "ok"), (~c["s03_ok"], "s03_fail"), (c["s04_error"].isNotNull(), "s04_error"), (c["s01_error"].isNotNull(), "s01_error"),
+            (c["terrain_only"] & (c["n_footprints"] == 0), "no_footprints"), (c["s04_status"].startswith("skipped"), "s04_skipped"),
+        ],
+        "unknown",
+    )
+
+
+def reconciled(summary: DataFrame) -> DataFrame:
+    """summary (one row: n_rows, n_primary, n_secondary, n_associated, n_unassigned, n_in_study, n_multiple, n_unknown) with
+    what doesn't add up."""
+    c = F.col
+    rules = {
+        "multiple_primary": c("n_multiple") != 0, "unknown_cluster": c("n_unknown") != 0, "primary_and_secondary": c("n_primary") + c("n_secondary") != c("n_rows"),
+        "primary_and_associated": c("n_primary") != c("n_associated"), "associated_and_unassigned": c("n_associated") + c("n_unassigned") != c("n_in_study"),
+    }
+    return summary.withColumn("problems", F.array_compact(F.array(*(F.when(bad, F.lit(name)) for name, bad in rules.items()))))
+
+
+def association_summary(candidates: DataFrame, clusters: DataFrame, in_study: DataFrame) -> DataFrame:
+    """One row of counts over candidates(objectid, cluster_id, rank, candidates, tie), all clusters and all objectids of the
+    study area, reconciled."""
+    first = F.col("rank") == 1
+    rows = candidates.agg(
+        F.count("*").alias("n_rows"), F.count_if(first).alias("n_primary"), F.count_if(~first).alias("n_secondary"), F.count_distinct("objectid").alias("n_associated"),
+        F.count_distinct(F.when(F.col("candidates") > 1, F.col("objectid"))).alias("n_ambiguous"), F.count_distinct(F.when(F.col("tie"), F.col("objectid"))).alias("n_ties"),
+    )
+    twice = candidates.where(first).groupBy("objectid").agg(F.count_distinct("cluster_id").alias("n")).agg(F.count_if(F.col("n") > 1).alias("n_multiple"))
+    unknown = candidates.join(clusters.select("cluster_id"), "cluster_id", "left_anti").agg(F.count_distinct("cluster_id").alias("n_unknown"))
+    study = in_study.select("objectid").distinct()
+    rest = study.join(candidates.select("objectid"), "objectid", "left_anti").agg(F.count("*").alias("n_unassigned"))
+    out = rows
+    for one in (twice, unknown, rest, study.agg(F.count("*").alias("n_in_study"))):
+        out = out.join(F.broadcast(one))  # one row each
+    return reconciled(out)
 
 
 def zero_building(counts: list[Column], manifest_zero: Column) -> Column:

@@ -12,27 +12,6 @@ from .derived import addresses, footprints, points, read, tiles
 from .registry import query
 
 
-@query("""SELECT p_partkey, CASE WHEN p_size % 11 = 0 THEN 'not_started' WHEN p_size % 7 = 0 THEN 'processing_not_started' WHEN p_size % 7 < 3 THEN 'partial' WHEN p_size % 5 = 1 THEN 'blocked_config' WHEN p_size % 6 = 2 THEN 'blocked_unsafe_source' WHEN p_size % 9 = 4 THEN 'blocked_license'
-  WHEN p_retailprice < 1000 THEN 'needs_addresses' WHEN p_size > 40 THEN 'certified_with_warnings' ELSE 'certified' END AS status FROM part""")
-def a18_certification(spark, sf_dir):
-    """The ordered decision."""
-    s = F.col("p_size")
-    zero = F.lit(0)
-    c = {
-        "n_raw": s % 11, "n_done": s % 7, "n_expected": F.lit(3), "config_errors": F.when(s % 5 == 1, 1).otherwise(0), "unsafe_sources": F.when(s % 6 == 2, 1).otherwise(0), "unconfirmed_licenses": F.when(s % 9 == 4, 1).otherwise(0),
-        "false_zero_tiles": zero, "missing_provenance": zero, "address_percent": F.when(F.col("p_retailprice") < 1000, 10).otherwise(90), "warnings": F.when(s > 40, 1).otherwise(0),
-    }
-    return read(spark, sf_dir, "part").select("p_partkey", A.certification(c).alias("status"))
-
-
-@query("""SELECT doc_id, concat_ws(',', CASE WHEN source = 'src3' THEN 'blocked_type' END, CASE WHEN lang = 'es' THEN 'license' END, CASE WHEN doc_id % 4 = 0 THEN 'not_allowed' END) AS errors FROM documents""")
-def p16_production_gate(spark, sf_dir):
-    d = read(spark, sf_dir, "documents")
-    kind = F.when(F.col("source") == "src3", "blocked").otherwise(F.col("source"))
-    lic = F.when(F.col("lang") == "es", "odbl_unconfirmed").otherwise("cc0")
-    return d.select("doc_id", F.array_join(A.production_errors(kind, lic, F.col("doc_id") % 4 != 0), ",").alias("errors"))
-
-
 @query("""WITH c AS (SELECT t.tile_id, count(DISTINCT f.cluster_id) AS n, count(DISTINCT a.address_id) AS m FROM tiles t LEFT JOIN footprints f USING (tile_id) LEFT JOIN addresses a ON a.rx >= xmin AND a.rx < xmax AND a.ry >= ymin AND a.ry < ymax GROUP BY 1)
 SELECT tile_id, greatest(n, m) AS building_count, CASE WHEN starts_with(tile_id, '0') AND greatest(n, m) > 0 THEN 'false_zero' WHEN greatest(n, m) = 0 THEN 'expected_zero' ELSE 'consistent' END AS consistency FROM c""")
 def a12_zero_buildings(spark, sf_dir):

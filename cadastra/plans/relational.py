@@ -62,30 +62,6 @@ def a8_provenance_counts(spark, sf_dir):
     return footprints(spark, sf_dir).groupBy(F.coalesce("provenance", "method").alias("kind")).agg(F.count("*").alias("n"), F.count_if(F.col("provenance").isNull()).alias("n_missing"))
 
 
-@query("""SELECT p_brand AS campaign_group, count(*) AS n_files, CAST(sum(p_size) AS BIGINT) AS bytes, count(DISTINCT p_type) AS n_prefixes, min(p_name) AS first_name, list_aggregate(list_sort(list(DISTINCT p_type))[1:3], 'string_agg', ',') AS samples,
-  round(100.0 * count_if(p_size > 25) / count(*), 4) AS bbox_percent FROM part GROUP BY 1""")
-def a13_campaign_rollup(spark, sf_dir):
-    p = read(spark, sf_dir, "part")
-    return p.groupBy(F.col("p_brand").alias("campaign_group")).agg(
-        F.count("*").alias("n_files"), F.sum("p_size").alias("bytes"), F.count_distinct("p_type").alias("n_prefixes"), F.min("p_name").alias("first_name"),
-        F.array_join(F.slice(F.sort_array(F.collect_set("p_type")), 1, 3), ",").alias("samples"), F.round(100.0 * F.count_if(F.col("p_size") > 25) / F.count("*"), 4).alias("bbox_percent"),
-    )
-
-
-@query("""WITH c AS (SELECT p_brand, count(*) AS n, max(p_size) AS y, avg(p_retailprice) AS m FROM part GROUP BY 1),
-s AS (SELECT *, CASE WHEN n >= 80 THEN 3 ELSE 0 END + CASE WHEN y >= 50 THEN 2 ELSE 0 END + CASE WHEN m > 1000 THEN 1 ELSE 0 END AS score FROM c)
-SELECT p_brand, score, concat_ws(',', CASE WHEN n >= 80 THEN 'many' END, CASE WHEN y >= 50 THEN 'recent' END, CASE WHEN m > 1000 THEN 'dense' END) AS reasons, row_number() OVER (ORDER BY score DESC, p_brand) = 1 AS recommended FROM s""")
-def a14_campaign_score(spark, sf_dir):
-    """Additive rules with reasons; the best one is recommended."""
-    c = read(spark, sf_dir, "part").groupBy("p_brand").agg(F.count("*").alias("n"), F.max("p_size").alias("y"), F.avg("p_retailprice").alias("m"))
-    rules = [(F.col("n") >= 80, 3, "many"), (F.col("y") >= 50, 2, "recent"), (F.col("m") > 1000, 1, "dense")]
-    score = sum((F.when(r, w).otherwise(0) for r, w, _ in rules), F.lit(0))
-    s = c.select("p_brand", score.alias("score"), F.array_join(F.array_compact(F.array(*(F.when(r, F.lit(t)) for r, _, t in rules))), ",").alias("reasons"))
-    best = s.agg(F.max_by("p_brand", F.struct("score", F.lit(0))).alias("x"), F.max("score").alias("top"))
-    first = s.join(F.broadcast(best), F.col("score") == F.col("top")).agg(F.min("p_brand").alias("first"))
-    return s.join(F.broadcast(first)).select("p_brand", "score", "reasons", (F.col("p_brand") == F.col("first")).alias("recommended"))
-
-
 @query("SELECT tile_id, CAST(count_if(method = 'Brand#1') AS BIGINT) AS b1, CAST(count_if(method = 'Brand#2') AS BIGINT) AS b2, CAST(count_if(method NOT IN ('Brand#1', 'Brand#2')) AS BIGINT) AS other FROM footprints GROUP BY 1")
 def a16_method_audit(spark, sf_dir):
     """One column for each method."""

@@ -63,12 +63,6 @@ def p10_campaign_filter(spark, sf_dir):
     return read(spark, sf_dir, "part").where((F.lower("p_brand") == "brand#1") | F.startswith(name, F.lit("part 1")) | F.contains(name, F.lit("99"))).select("p_partkey", "p_name")
 
 
-@query("SELECT doc_id, CASE lower(source) WHEN 'src1' THEN 'authoritative' WHEN 'src2' THEN 'open_data' ELSE 'unknown_unsafe_source' END AS provenance, lang IN ('en', 'de') AS ok FROM documents")
-def p14_provenance(spark, sf_dir):
-    d = read(spark, sf_dir, "documents")
-    return d.select("doc_id", S.lookup(F.lower("source"), {"src1": "authoritative", "src2": "open_data"}, "unknown_unsafe_source").alias("provenance"), F.col("lang").isin("en", "de").alias("ok"))
-
-
 @query("SELECT cluster_id, round(cx - (SELECT min(floor(cx / 1000) * 1000) FROM footprints), 6) AS local_x, round(0 - cy, 6) AS local_z, tile_id || ':' || CAST(cluster_id AS VARCHAR) AS id FROM footprints")
 def p20_p21_local_export(spark, sf_dir):
     """Ids tile:cluster and coordinates shifted to the city's anchor with swapped axes."""

@@ -1,5 +1,6 @@
 from pyspark.sql import functions as F
 
+from cadastra.functions import scalars as S
 from cadastra.operators import audit as A
 from cadastra.operators import checks as C
 from cadastra.operators import profile as P
@@ -47,12 +48,36 @@ def test_associations(spark):
     assert spread == {3: (2, "few"), 7: (1, "one"), 9: (0, "none")}
 
 
-def test_certification_order(spark):
-    base = {"n_raw": 5, "n_done": 5, "n_expected": 5, "config_errors": 0, "unsafe_sources": 0, "unconfirmed_licenses": 0, "false_zero_tiles": 0, "missing_provenance": 0, "address_percent": 90, "warnings": 0}
-    cases = {"certified": {}, "not_started": {"n_raw": 0}, "partial": {"n_done": 2, "config_errors": 1}, "blocked_unsafe_source": {"unsafe_sources": 1, "unconfirmed_licenses": 1}, "certified_with_warnings": {"warnings": 1}}
-    for want, change in cases.items():
-        c = {k: F.lit(v) for k, v in {**base, **change}.items()}
-        assert spark.range(1).select(A.certification(c)).first()[0] == want
+def test_city_status_order(spark):
+    base = {"n_raw": 5, "manifest_ok": True, "n_manifest": 5, "n_dirs": 5, "n_processed": 5, "n_unsafe": 0, "n_missing": 0, "has_mesh": True, "n_orphaned": 0, "n_stale": 0, "n_unproven": 0, "has_manifest": True}
+    errors = lambda kind="open_county", license_="cc0", allowed=True: A.production_errors(F.lit(kind), F.lit(license_), F.lit(allowed))
+    cases = [
+        ("production_ready", {}, errors()), ("not_started", {"n_raw": 0, "manifest_ok": False, "n_dirs": 0, "n_manifest": 0, "n_processed": 0}, errors()),
+        ("raw_data_ready", {"manifest_ok": False, "n_dirs": 0, "n_manifest": 0, "n_processed": 0}, errors()), ("processed_partial", {"n_processed": 3, "n_missing": 2}, errors("microsoft_ml")),
+        ("blocked_unsafe_source", {"n_missing": 2}, errors("microsoft_ml")), ("blocked_unsafe_source", {"n_unsafe": 1}, errors()), ("blocked_license", {}, errors(license_="open_data_unconfirmed")),
+        ("blocked_missing_outputs", {"n_missing": 1, "n_stale": 1}, errors()), ("processed_complete", {"has_mesh": False}, errors()), ("blocked_stale_glb", {"n_orphaned": 1, "n_unproven": 1}, errors()),
+        ("blocked_missing_provenance", {"n_unproven": 1}, errors()), ("viewer_ready", {}, errors(allowed=False)), ("processed_complete", {"has_manifest": False}, errors()),
+    ]
+    for want, change, found in cases:
+        c = {**{k: F.lit(v) for k, v in {**base, **change}.items()}, "errors": found}
+        assert spark.range(1).select(A.city_status(c)).first()[0] == want, change
+    risks = [A.legal_risk(errors("microsoft_ml"), F.lit(0)), A.legal_risk(errors(license_="unconfirmed"), F.lit(0)), A.legal_risk(errors(), F.lit(0)), A.legal_risk(errors(), F.lit(2))]
+    assert tuple(spark.range(1).select(*risks).first()) == ("HIGH", "MEDIUM", "LOW", "HIGH")
+
+
+def test_names_of_surveys(spark):
+    names = {
+        "USGS_LPC_MI_WayneCounty_2017_A17_397272.laz": ("MI_WayneCounty", "MI_WayneCounty_2017_A17"), "USGS_LPC_MI_WAYNECO_2009_000321.laz": ("MI_WAYNECO", "MI_WAYNECO_2009"),
+        "usgs_lpc_ARRA_MI_4SECOUNTIES_2010_001445.laz": ("ARRA_MI", "ARRA_MI_4SECOUNTIES_2010"), "2009_12345.laz": ("2009", "2009"), "123456.laz": ("unknown", "unknown"),
+    }
+    out = spark.createDataFrame([(n,) for n in names], "n string").select("n", S.campaign(F.col("n")).alias("c")).collect()
+    assert {r["n"]: tuple(r["c"]) for r in out} == names
+    d = spark.createDataFrame([("USGS_LPC_LA_Project_2021_w0789n3421.laz",), ("USGS_LPC_CA_LosAngeles_2016_L4_6477_1842c_LAS_2018.laz",)], "n string")
+    a, b = d.select(S.project(F.col("n")).alias("p"), S.quarter_box(F.col("n")).alias("q")).collect()
+    assert a["p"] == "LA_Project_2021" and a["q"] is None and tuple(b["q"]) == (6477, 1842, "c", 6477000.0, 1842000.0, 6478500.0, 1843500.0)
+    ids = spark.createDataFrame([("b1", "ns", None), ("b1", None, None), (None, None, "u"), ("", "", "")], "b string, n string, u string")
+    named = ids.select(S.building_identity(F.lit("t"), F.lit(4), F.col("b"), F.col("n"), F.col("u"), F.lit("county")).alias("i")).collect()
+    assert [(r["i"]["id"], r["i"]["kind"]) for r in named] == [("b1", "footprint_building_id"), (None, "error"), ("u", "footprint_unique_id"), ("bld_t_4", "tile_cluster_fallback")]
 
 
 def test_checks_and_json(spark):
