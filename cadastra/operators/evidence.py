@@ -1,11 +1,10 @@
-"""Evidence fusion: observations become clues, clues become ranked candidates for each building and surface."""
+"""Evidence: observations become clues by the adapter of their source type; clues are checked; facade openings are laid out."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from cadastra.functions import scalars as S
@@ -64,54 +63,6 @@ def clue_errors(found: DataFrame, buildings: DataFrame) -> DataFrame:
     return twice.unionByName(orphans)
 
 
-def context_candidates(buildings: DataFrame) -> DataFrame:
-    """Weak candidates from use and height: tall offices glass, low dwellings masonry, flat tall roofs bitumen."""
-    tall, office = F.col("height_m") >= 40, F.lower("building_use").isin("office", "commercial")
-    rules = F.array_compact(
-        F.array(
-            F.when(tall & office, F.struct(F.lit("facade").alias("surface_type"), F.lit("glass").alias("material"), F.lit(0.45).alias("score"))),
-            F.when(~tall, F.struct(F.lit("facade").alias("surface_type"), F.lit("generic_masonry").alias("material"), F.lit(0.3).alias("score"))),
-            F.when(tall, F.struct(F.lit("roof").alias("surface_type"), F.lit("bitumen").alias("material"), F.lit(0.4).alias("score"))),
-        )
-    )
-    return buildings.select("building_id", F.explode(rules).alias("r")).select("building_id", "r.*", F.lit(None).cast("string").alias("clue_id"))
-
-
-def profiles(found: DataFrame, buildings: DataFrame, alternatives: int = 3) -> DataFrame:
-    """(building_id, surface_type, material, score, alternatives, evidence, seed) of the best material of each surface.
-
-    Scores of one material combine: the strongest counts whole, the others towards the rest. Ties go to the name.
-    Surfaces without evidence have no row; see with_unknown()."""
-    direct = found.where(F.col("observation_type") == "material").select("building_id", "surface_type", F.col("value").alias("material"), F.col("confidence").alias("score"), "clue_id")
-    glass = found.where(F.col("observation_type") == "glazing_ratio").select("building_id", "surface_type", F.when(S.glazing(F.col("value").try_cast("double")) == "high", "glass").otherwise("generic_masonry").alias("material"), (F.col("confidence") * 0.8).alias("score"), "clue_id")
-    every = direct.unionByName(glass).unionByName(context_candidates(buildings).select(direct.columns))
-    fused = every.groupBy("building_id", "surface_type", "material").agg(S.combined_score(F.collect_list("score")).alias("score"), F.array_sort(F.collect_set("clue_id")).alias("evidence"))
-    fused = fused.withColumn("score", F.round("score", 9))
-    rank = F.row_number().over(W.partitionBy("building_id", "surface_type").orderBy(F.desc("score"), "material"))
-    ranked = fused.withColumn("rank", rank)
-    rest = F.array_sort(F.collect_list(F.when((F.col("rank") > 1) & (F.col("rank") <= alternatives + 1), F.struct("rank", "material", "score"))))
-    best = ranked.groupBy("building_id", "surface_type").agg(
-        F.max(F.when(F.col("rank") == 1, F.struct("material", "score", "evidence"))).alias("b"), F.transform(rest, lambda a: F.struct(a["material"].alias("material"), a["score"].alias("score"))).alias("alternatives")
-    )
-    return best.select("building_id", "surface_type", "b.material", "b.score", "alternatives", "b.evidence", S.seed(F.col("building_id").cast("string"), F.col("surface_type"), F.col("b.material")).alias("seed"))
-
-
-def with_unknown(found: DataFrame, buildings: DataFrame, surfaces=("facade", "roof")) -> DataFrame:
-    """A row for each building and surface; unknown with score 0 where nothing is known."""
-    wanted = buildings.select("building_id", F.explode(F.array(*map(F.lit, surfaces))).alias("surface_type"))
-    return wanted.join(found, ["building_id", "surface_type"], "left").withColumns({"material": F.coalesce("material", F.lit("unknown")), "score": F.coalesce("score", F.lit(0.0))})
-
-
-def typology(buildings: DataFrame) -> DataFrame:
-    """building_id, uses, conflict, typology, strength, floors, bays: facade recipe values from the distinct uses of a building."""
-    uses = buildings.groupBy("building_id").agg(F.array_sort(F.collect_set(F.lower("building_use"))).alias("uses"), F.max("height_m").alias("height_m"))
-    has = lambda u: F.array_contains("uses", u)
-    kind = F.when(has("office") & has("residential"), "mixed_use").when(has("office"), "office").when(has("residential"), "residential").when(has("industrial"), "industrial").otherwise("generic")
-    out = uses.withColumns({"conflict": F.size("uses") > 1, "typology": kind, "strength": F.when(F.size("uses") == 1, "strong").when(F.size("uses") > 1, "mixed").otherwise("weak")})
-    n = S.floors(F.col("height_m"))
-    return out.withColumns({"floors": n, "floor_height": S.floor_height(F.col("height_m"), n)})
-
-
 def facade_openings(facades: DataFrame, bay_width: float = 3.0) -> DataFrame:
     """(building_id, edge, bay, floor, x, z, w, h) of the openings of facade edges (building_id, edge, length, floors, floor_height)."""
     n = F.greatest(F.lit(1), F.bround(F.col("length") / bay_width).cast("int"))

@@ -3,6 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cadastra.operators import evidence as E
+from cadastra.operators import materials as M
 from cadastra.operators import roof as R
 
 EVIDENCE = "evidence_id string, building_id string, surface_type string, observation_type string, value string, source_type string, confidence double, provenance_status string"
@@ -20,16 +21,36 @@ def test_profiles(spark):
     assert "permit:5" not in found and found["street_view:3"]["provenance_status"] == "unknown"
     assert [(r["clue_id"], r["error"]) for r in E.clue_errors(clues, buildings).collect()] == [("permit:4", "orphan")]
     assert E.clue_errors(clues.unionByName(clues), buildings).where("error = 'duplicate'").count() == 4
-    out = {(r["building_id"], r["surface_type"]): r for r in E.with_unknown(E.profiles(clues, buildings), buildings).collect()}
-    best = out["b1", "facade"]
-    assert best["material"] == "brick" and best["score"] >= 0.8 and "generic_masonry" in {a["material"] for a in best["alternatives"]} and best["evidence"] == ["municipal:1"]
-    assert out["b2", "facade"]["material"] == "glass" and out["b2", "roof"]["material"] == "bitumen" and out["b3", "roof"]["material"] == "unknown" and out["b3", "roof"]["score"] == 0
 
 
-def test_typology_and_openings(spark):
-    b = spark.createDataFrame([("a", "Office", 32.0), ("a", "residential", 32.0), ("b", None, 3.0)], "building_id string, building_use string, height_m double")
-    out = {r["building_id"]: r for r in E.typology(b).collect()}
-    assert out["a"]["typology"] == "mixed_use" and out["a"]["conflict"] and out["a"]["floors"] == 10 and out["b"]["typology"] == "generic" and out["b"]["floors"] == 1
+CLUE = "clue_id string, building_id string, surface_type string, observation_type string, value string, unit string, source_type string, confidence double, provenance_status string"
+BUILDING = "building_id string, building_use string, height_m double, floors_est int, roof_geometry_class string, municipal_construction_type string, municipal_roof_type string, metadata_provenance struct<source_type:string,provenance_status:string,confidence:double>"
+
+
+def ranked(spark, clues, *buildings):
+    out = M.candidates(M.contributions(spark.createDataFrame(clues, CLUE), spark.createDataFrame(buildings, BUILDING))).orderBy("building_id", "surface_type", "rank").collect()
+    return {(b, s): [(r["material"], r["confidence"], r["status"]) for r in out if (r["building_id"], r["surface_type"]) == (b, s)] for b, s in {(r["building_id"], r["surface_type"]) for r in out}}
+
+
+def test_materials_by_rule(spark):
+    record = ("municipal_record", "observed", 0.9)
+    known = ("b1", "residential", 40.0, 3, None, None, None, record)
+    out = ranked(spark, [("c1", "b1", "envelope", "material", "Brick", None, "municipal_record", 0.95, "observed")], known)
+    assert out["b1", "envelope"][0] == ("brick", 0.9025, "record_derived") and out["b1", "envelope"][1][0] == "generic_masonry"
+    flat = [("r1", "b1", "roof", "roof_geometry", "flat", None, "lidar", 0.9, "inferred"), ("r2", "b1", "roof", "roof_surface_character", "continuous", None, "aerial_imagery", 0.7, "inferred")]
+    out = ranked(spark, flat, known)
+    assert [m for m, _, _ in out["b1", "roof"]] == ["membrane", "gravel", "concrete"] and out["b1", "roof"][0][1] == round(0.42 * 0.7, 4)
+    assert ("b1", "roof") not in ranked(spark, flat[:1], known) and ("b1", "roof") not in ranked(spark, flat, (*known[:2], 20.0, *known[3:]))
+    smooth = [("s1", "b1", "envelope", "surface_finish", "smooth", None, "aerial_imagery", 0.5, "inferred")]
+    out = ranked(spark, smooth, known)["b1", "envelope"]
+    assert [m for m, _, _ in out] == ["stucco", "painted_concrete"] and out[0][1] == round(0.16 * 0.9 + 0.2 * (1 - 0.16 * 0.9) * 0.14, 4)
+    glass = ranked(spark, [("g1", "b1", "glazing", "glazing_ratio", "80", "percent", "street_view", 1.0, "observed"), ("g2", "b1", "glazing", "glazing_ratio", "180", "percent", "street_view", 1.0, "observed")], known)
+    assert glass["b1", "glazing"] == [("curtain_wall", 0.72, "inferred"), ("high", 0.216, "inferred")]
+    assert ranked(spark, [("u", "b1", "roof", "roof_cover", "built up", None, "permit", 0.9, "unknown")], known) == {}
+    assert ranked(spark, [], ("b2", None, None, None, None, "CMU", "clay tile", record)) == {("b2", "envelope"): [("generic_masonry", 0.855, "record_derived")], ("b2", "roof"): [("tile", 0.855, "record_derived")]}
+
+
+def test_openings(spark):
     f = spark.createDataFrame([("a", 0, 9.0, 2, 3.2)], "building_id string, edge int, length double, floors int, floor_height double")
     assert E.facade_openings(f).count() == 6
 
