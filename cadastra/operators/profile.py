@@ -16,15 +16,24 @@ def long_form(df: DataFrame, columns: list[str], as_: str) -> DataFrame:
 
 
 def completeness(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Per field: rows, nulls, blanks, null-like texts (which count as complete), distinct values, least and greatest."""
+    """Per field: rows, nulls, blanks, null-like texts (which count as complete), not-a-numbers, infinities, finite numbers,
+    distinct values, least, greatest and up to three examples."""
     v = F.col("value")
+    number = F.trim(v).try_cast("double")
+    odd = F.isnan(number) | (F.abs(number) == float("inf"))
     return long_form(df, columns, "string").groupBy("field").agg(
         F.count("*").alias("n_rows"), F.count_if(v.isNull()).alias("n_null"), F.count_if(F.trim(v) == "").alias("n_blank"),
         F.count_if(F.lower(F.trim(v)).isin(*NULL_LIKE)).alias("n_null_like"), F.count_if(v.isNotNull() & (F.trim(v) != "")).alias("n_complete"),
-        F.count_distinct(v).alias("n_distinct"), F.min(v).alias("least"), F.max(v).alias("greatest"),
+        F.count_if(F.isnan(number)).alias("n_nan"), F.count_if(F.abs(number) == float("inf")).alias("n_infinite"), F.count_if(number.isNotNull() & ~odd).alias("n_numeric"),
+        F.count_distinct(v).alias("n_distinct"), F.min(v).alias("least"), F.max(v).alias("greatest"), _examples(v).alias("examples"),
     )
 
 
+def _examples(v: Column, n: int = 3) -> Column:
+    """The least, the greatest and the value of the least hash: bounded, and the same however rows are dealt."""
+    return F.slice(F.array_distinct(F.array_compact(F.array(F.min(v), F.max(v), F.min_by(v, F.xxhash64(v))))), 1, n)
+
+
 def distributions(df: DataFrame, columns: list[str], percents=(0.01, 0.05, 0.25, 0.5, 0.75, 0.95, 0.99), approx: bool = False) -> DataFrame:
     """Per numeric field: finite values' count, min, max, mean, population deviation, percentiles; zero, negative and
     non-finite counts. approx takes approximate percentiles, for groups whose different values exceed a task's memory."""
