@@ -125,3 +125,56 @@ def to_nearest(cells: DataFrame, marked: DataFrame, cut, reach: float = 12.0) ->
         if todo.isEmpty():
             return done.select("key", "row", "col", "component")
         reach *= 2
+
+
+def largest_component(tagged: DataFrame) -> DataFrame:
+    """cells(key, row, col, component) of the component of each key with the most cells; ties to the one that begins lowest, then
+    leftmost. Component sizes are counted before they are compared."""
+    size = tagged.groupBy("key", "component").agg(F.count("*").alias("n"), F.min("row").alias("r"), F.min("col").alias("c"))
+    best = size.groupBy("key").agg(F.min_by("component", F.struct((-F.col("n")).alias("n"), "r", "c", "component")).alias("component"), F.count("*").alias("components"))
+    return tagged.join(best.select("key", "component"), ["key", "component"]).select("key", "row", "col", "component")
+
+
+def grid_footprints(points: DataFrame, size: float, key: str, cut, radius: int = 1) -> DataFrame:
+    """Cells (key, row, col) of each key's footprint: occupied cells, closed, of the largest component by sides."""
+    closed = cut(closing(occupancy(points, size, key), radius), "closed")
+    return largest_component(cell_components(closed, cut, adjacency(closed)))
+
+
+def shrunk(cells: DataFrame, cut, radius: int = 1) -> DataFrame:
+    """The largest component of what `radius` cells of erosion leave: an inward buffer of that many cells."""
+    left = cut(erode(cells, radius), "eroded")
+    return largest_component(cell_components(left, cut, adjacency(left)))
+
+
+def to_children(points: DataFrame, children: DataFrame, size: float, key: str) -> DataFrame:
+    """points with the component of their cell, null outside all cells of children(key, row, col, component)."""
+    keyed = points.withColumns({"row": cell(F.col("y"), size), "col": cell(F.col("x"), size)})
+    return keyed.join(children.withColumnRenamed("key", key), [key, "row", "col"], "left").drop("row", "col")
+
+
+def conserved(cells: DataFrame, children: DataFrame) -> DataFrame:
+    """(key, n_cells, n_assigned, n_repeated, n_foreign, ok): whether a segmentation has every cell of its key exactly once."""
+    a = cells.select("key", "row", "col").distinct().withColumn("_in", F.lit(1))
+    b = children.groupBy("key", "row", "col").agg(F.count("*").alias("_n"))
+    g = a.join(b, ["key", "row", "col"], "full").groupBy("key").agg(
+        F.count("_in").alias("n_cells"), F.count_if(F.col("_in").isNotNull() & (F.col("_n") > 0)).alias("n_assigned"), F.count_if(F.col("_n") > 1).alias("n_repeated"), F.count_if(F.col("_in").isNull()).alias("n_foreign")
+    )
+    return g.withColumn("ok", (F.col("n_assigned") == F.col("n_cells")) & (F.col("n_repeated") == 0) & (F.col("n_foreign") == 0))
+
+
+def compare_methods(counts: DataFrame, methods: list[str], expected: DataFrame) -> DataFrame:
+    """A row for each key of counts(key, method, n_children): a column for each method, the last one's difference from the first,
+    and against expected(key, least, single): each method's share of `least`, whether it is reached, and whether a building that is
+    known to be single was split."""
+    wide = counts.groupBy("key").pivot("method", methods).agg(F.first("n_children"))
+    out = wide.join(expected, "key", "left").withColumn("delta", F.col(methods[-1]) - F.col(methods[0]))
+    for m in methods:
+        out = out.withColumns({f"{m}_fraction": F.round(F.col(m) / F.col("least"), 9), f"{m}_met": F.col(m) >= F.col("least"), f"{m}_false_split": F.when(F.col("single"), F.col(m) > 1)})
+    return out
+
+
+def scorecard(compared: DataFrame, methods: list[str]) -> DataFrame:
+    """(method, n_known, n_met, n_single, n_false_splits) over compare_methods() rows."""
+    each = F.explode(F.array(*(F.struct(F.lit(m).alias("method"), F.col(f"{m}_met").alias("met"), F.col(f"{m}_false_split").alias("split")) for m in methods)))
+    return compared.select(each.alias("x")).groupBy("x.method").agg(F.count("x.met").alias("n_known"), F.count_if("x.met").alias("n_met"), F.count("x.split").alias("n_single"), F.count_if("x.split").alias("n_false_splits"))

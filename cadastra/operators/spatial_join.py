@@ -96,8 +96,8 @@ def _boxed(polygons: DataFrame, ring: str, pad: float = 0.0) -> DataFrame:
     """polygons with _x0, _y0, _x1, _y1, the padded box of a ring or of an array of rings; null and empty ones are dropped."""
     nested = dict(polygons.dtypes)[ring].startswith("array<array")
     all_ = F.flatten(F.col(ring)) if nested else F.col(ring)
-    boxed = polygons.withColumn("_b", G.bbox(all_)).where("_b.xmin IS NOT NULL AND _b.ymin IS NOT NULL")
-    return boxed.withColumns({"_x0": F.col("_b.xmin") - pad, "_y0": F.col("_b.ymin") - pad, "_x1": F.col("_b.xmax") + pad, "_y1": F.col("_b.ymax") + pad}).drop("_b")
+    boxed = polygons.withColumn("_box", G.bbox(all_)).where("_box.xmin IS NOT NULL AND _box.ymin IS NOT NULL")
+    return boxed.withColumns({"_x0": F.col("_box.xmin") - pad, "_y0": F.col("_box.ymin") - pad, "_x1": F.col("_box.xmax") + pad, "_y1": F.col("_box.ymax") + pad}).drop("_box")
 
 
 def _level(size: float) -> Column:
