@@ -109,7 +109,7 @@ def fans(faces: DataFrame, key: list[str], corners: str = "corners") -> DataFram
     n = [total(lambda a, b: (a["y"] - b["y"]) * (a["z"] + b["z"])), total(lambda a, b: (a["z"] - b["z"]) * (a["x"] + b["x"])), total(lambda a, b: (a["x"] - b["x"]) * (a["y"] + b["y"]))]
     length = F.sqrt(n[0] * n[0] + n[1] * n[1] + n[2] * n[2])
     flat = length <= 1e-9
-    normal = F.struct(*(F.when(flat, float(k == 2)).otherwise(v / F.nullif(length, F.lit(0.0))).alias(name) for k, (v, name) in enumerate(zip(n, "xyz", strict=True))))
+    normal = F.named_struct(*(c for k, v in enumerate(n) for c in (F.lit("xyz"[k]), F.when(flat, float(k == 2)).otherwise(v / F.nullif(length, F.lit(0.0))))))
     t = faces.where(F.size(p) > 2).select(*key, p.alias("_p"), normal.alias("normal"), F.explode(F.sequence(F.lit(1), F.size(p) - 2)).alias("triangle"))
     return t.select(*key, "triangle", F.col("_p")[0].alias("a"), F.get("_p", F.col("triangle")).alias("b"), F.get("_p", F.col("triangle") + 1).alias("c"), "normal")
 
