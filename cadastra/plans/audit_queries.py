@@ -25,7 +25,7 @@ def a12_zero_buildings(spark, sf_dir):
 @query("""WITH c AS (SELECT count(*) AS n, count(DISTINCT tile_id) AS t, count_if(area_m2 < 60) AS small FROM footprints)
 SELECT 'tiles' AS check, CASE WHEN t < 10 THEN 'FAIL' WHEN t < 20 THEN 'WARN' ELSE 'PASS' END AS status FROM c UNION ALL SELECT 'structures', CASE WHEN n = 0 THEN 'FAIL' ELSE 'PASS' END FROM c UNION ALL SELECT 'small', CASE WHEN small = n THEN 'FAIL' WHEN small > 0 THEN 'WARN' ELSE 'PASS' END FROM c""")
 def a20_city_audit(spark, sf_dir):
-    """One status row for each check."""
+    """One status row for each check."""
     c = footprints(spark, sf_dir).agg(F.count("*").alias("n"), F.count_distinct("tile_id").alias("t"), F.count_if(F.col("area_m2") < 60).alias("small"))
     no = F.lit(False)
     return A.checks(c, {"tiles": (F.col("t") < 10, F.col("t") < 20), "structures": (F.col("n") == 0, no), "small": (F.col("small") == F.col("n"), F.col("small") > 0)})
@@ -34,7 +34,7 @@ def a20_city_audit(spark, sf_dir):
 @query("""WITH a AS (SELECT doc_id AS k, sha256(coalesce(text, '')) AS h FROM documents WHERE doc_id % 10 <> 0), b AS (SELECT doc_id AS k, sha256(CASE WHEN doc_id % 7 = 0 THEN 'x' ELSE coalesce(text, '') END) AS h FROM documents WHERE doc_id % 10 <> 1)
 SELECT coalesce(a.k, b.k) AS k, CASE WHEN b.k IS NULL THEN 'only_a' WHEN a.k IS NULL THEN 'only_b' WHEN a.h = b.h THEN 'same' ELSE 'differs' END AS status FROM a FULL JOIN b ON a.k = b.k""")
 def j28_run_comparison(spark, sf_dir):
-    """Two runs file by file."""
+    """Two runs file by file."""
     d = read(spark, sf_dir, "documents").select(F.col("doc_id").alias("k"), F.coalesce("text", F.lit("")).alias("text"))
     a = d.where("k % 10 != 0").select("k", F.sha2("text", 256).alias("h"))
     b = d.where("k % 10 != 1").select("k", F.sha2(F.when(F.col("k") % 7 == 0, "x").otherwise(F.col("text")), 256).alias("h"))
@@ -56,7 +56,7 @@ def f23_json_leaves(spark, sf_dir):
 
 @query("""WITH t AS (SELECT tile_id, xmin, ymin, xmax, ymax FROM tiles) SELECT cluster_id, list_aggregate(list_sort(list(t.tile_id)), 'string_agg', ',') AS context, count(*) AS n FROM footprints JOIN t ON cx + hw + 10 >= xmin AND cx - hw - 10 <= xmax AND cy + hh + 10 >= ymin AND cy - hh - 10 <= ymax GROUP BY 1""")
 def j22_context_tiles(spark, sf_dir):
-    """Tiles that a footprint's 10 m surroundings touch."""
+    """Tiles that a footprint's 10 m surroundings touch."""
     t = tiles(spark, sf_dir).select("tile_id", J.cell(F.col("xmin") + 1, 250.0).alias("_cx"), J.cell(F.col("ymin") + 1, 250.0).alias("_cy"), F.struct("xmin", "ymin", "xmax", "ymax").alias("tb"))
     f = J.polygon_cells(footprints(spark, sf_dir).select("cluster_id", "ring"), "ring", 250.0, 10.5)
     pad = F.struct((F.col("_b.xmin") - 10).alias("xmin"), (F.col("_b.ymin") - 10).alias("ymin"), (F.col("_b.xmax") + 10).alias("xmax"), (F.col("_b.ymax") + 10).alias("ymax"))

@@ -96,7 +96,7 @@ def t8_streaming_histogram(spark, sf_dir):
 
 @query("""SELECT o_orderkey, o_orderstatus, c.c_name AS holder, CASE WHEN c.c_custkey IS NULL THEN 'free' ELSE 'claimed' END AS claim_status FROM orders LEFT JOIN customer c ON o_custkey = c.c_custkey AND o_orderstatus = 'O'""")
 def j33_claim_status(spark, sf_dir):
-    """Structures with their active claim and holder; the condition is part of the join."""
+    """Structures with their active claim and holder; the condition is part of the join."""
     o, c = read(spark, sf_dir, "orders"), read(spark, sf_dir, "customer")
     j = o.join(c, (F.col("o_custkey") == F.col("c_custkey")) & (F.col("o_orderstatus") == "O"), "left")
     return j.select("o_orderkey", "o_orderstatus", F.col("c_name").alias("holder"), F.when(F.col("c_custkey").isNull(), "free").otherwise("claimed").alias("claim_status"))

@@ -29,7 +29,7 @@ def j2_provenance(spark, sf_dir):
 
 @query("SELECT o_orderkey FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)")
 def j36_resume_queue(spark, sf_dir):
-    """Records that aren't done yet."""
+    """Records that aren't done yet."""
     return read(spark, sf_dir, "orders").join(read(spark, sf_dir, "lineitem"), F.col("o_orderkey") == F.col("l_orderkey"), "left_anti").select("o_orderkey")
 
 
@@ -64,14 +64,14 @@ def a8_provenance_counts(spark, sf_dir):
 
 @query("SELECT tile_id, CAST(count_if(method = 'Brand#1') AS BIGINT) AS b1, CAST(count_if(method = 'Brand#2') AS BIGINT) AS b2, CAST(count_if(method NOT IN ('Brand#1', 'Brand#2')) AS BIGINT) AS other FROM footprints GROUP BY 1")
 def a16_method_audit(spark, sf_dir):
-    """One column for each method."""
+    """One column for each method."""
     m = F.when(F.col("method") == "Brand#1", "b1").when(F.col("method") == "Brand#2", "b2").otherwise("other")
     return footprints(spark, sf_dir).withColumn("m", m).groupBy("tile_id").pivot("m", ["b1", "b2", "other"]).count().na.fill(0)
 
 
 @query("""SELECT n_regionkey, n_name, count(*) AS n, round(sum(c_acctbal), 4) AS total, min(c_acctbal) >= -999.99 AS all_ok FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY ROLLUP (n_regionkey, n_name)""")
 def a54_city_rollup(spark, sf_dir):
-    """Sums and all-passed for tiles, sectors and the city."""
+    """Sums and all-passed for tiles, sectors and the city."""
     j = read(spark, sf_dir, "customer").join(F.broadcast(read(spark, sf_dir, "nation")), F.col("c_nationkey") == F.col("n_nationkey"))  # 25 nations
     return j.rollup("n_regionkey", "n_name").agg(F.count("*").alias("n"), F.round(F.sum("c_acctbal"), 4).alias("total"), F.bool_and(F.col("c_acctbal") >= -999.99).alias("all_ok"))
 
@@ -105,7 +105,7 @@ def a24_categories(spark, sf_dir):
 
 @query("""SELECT 'lang' AS dimension, lang AS value, count(*) AS n, count(DISTINCT doc_id) AS n_buildings FROM documents GROUP BY lang UNION ALL SELECT 'source', source, count(*), count(DISTINCT doc_id) FROM documents GROUP BY source""")
 def a25_findings_summary(spark, sf_dir):
-    """A25, A26."""
+    """A25."""
     return P.summary(read(spark, sf_dir, "documents").select("lang", "source", F.col("doc_id").alias("building_id")), ["lang", "source"])
 
 
@@ -144,7 +144,7 @@ def w1_primary_assignment(spark, sf_dir):
 
 @query("SELECT user_id, event_id, ts FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS r FROM events) WHERE r <= 3")
 def w11_latest_events(spark, sf_dir):
-    """The three latest of each user."""
+    """The three latest of each user."""
     w = W.partitionBy("user_id").orderBy(F.desc("ts"), F.desc("event_id"))
     return read(spark, sf_dir, "events").select("user_id", "event_id", "ts", F.row_number().over(w).alias("r")).where("r <= 3").drop("r")
 
@@ -183,7 +183,7 @@ def a36_manifest_mismatch(spark, sf_dir):
 
 @query("SELECT p_partkey % 4 AS grp, count(*) AS n, CAST(count_if(p_size >= 10) AS BIGINT) AS over_10, CAST(count_if(p_size >= 30) AS BIGINT) AS over_30, round(stddev_pop(p_retailprice), 4) AS std FROM part GROUP BY 1")
 def a40_thresholds(spark, sf_dir):
-    """Counts over thresholds."""
+    """Counts over thresholds."""
     p = read(spark, sf_dir, "part")
     return p.groupBy((F.col("p_partkey") % 4).alias("grp")).agg(F.count("*").alias("n"), F.count_if(F.col("p_size") >= 10).alias("over_10"), F.count_if(F.col("p_size") >= 30).alias("over_30"), F.round(F.stddev_pop("p_retailprice"), 4).alias("std"))
 
