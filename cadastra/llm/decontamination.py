@@ -1,7 +1,7 @@
 """Benchmark decontamination by template canonicalisation.
 
-A word becomes a template token: A-Z lower-cased, punctuation at its ends dropped; then a number becomes <num>, a unit word
-<unit>, and a name <name>. Whether a capitalised word is a name can't be told from the word, so there are several templates
+A word becomes a template token: A-Z lower-cased, ASCII punctuation dropped; then digits alone (or with st, nd, rd, th) become <num>,
+a unit word <unit>, and a name <name>. Whether a capitalised word is a name can't be told from the word, so there are several templates
 of a text, and each is compared with the same one of the other side:
 
 within   names are capitalised words in the middle of a sentence
@@ -22,13 +22,13 @@ are at least half of those that a document shares with an item at one alignment;
 word still do.
 
 Only the hashes of document windows meet the benchmark's; what matches, a small part, carries its slots. Windows are
-hashed only where the hash of their first words is one of an item's window.
+hashed only where the hash of their first words is one of an item's window. A text is searched once for capitals, made plain
+once and split once; all its templates come from these words.
 """
 
 from __future__ import annotations
 
 import string
-from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,11 +43,11 @@ UNITS = (
 )
 _PLURALS = tuple(u for u in UNITS if u[-1] == "s" and u[:-1] in UNITS)
 _PUNCTUATION = r"""!"#$%&'()*+,-./:;<=>?@[\]^_`{|}~"""
-_NUMBER = r"(?<![^ ])\p{Punct}*[0-9]+(?:[.,:/][0-9]+)*(?:st|nd|rd|th|%)?\p{Punct}*(?![^ ])"
-_BY_LETTER = {c: sorted((u[1:] for u in UNITS if u[0] == c), key=len, reverse=True) for c in sorted({u[0] for u in UNITS})}
-_UNIT = rf"(?<![^ ])(?i:{'|'.join(f'{c}(?:{"|".join(rest)})' for c, rest in _BY_LETTER.items())})\p{{Punct}}*(?![^ ])"
-_NAME = r"(?<=[^.!?:;| ] )\p{Punct}*\p{Lu}\p{Ll}[^ ]*"
-_CAPITAL = r"(?<![^ ])\p{Punct}*\p{Lu}\p{Ll}[^ ]*"
+_NUMBER = "^[0-9]+(?:st|nd|rd|th)?$"
+_CAPITAL = r"(?<![^ ])\p{Punct}*\p{Lu}\p{Ll}"
+#: Private characters put before capitalised words; the second one before those in the middle of a sentence.
+_MARK, _INNER = chr(0xE004), chr(0xE005)
+_INSIDE = rf"(?<=[^.!?:;| ] ){_MARK}"
 #: Private characters that stand for <num>, <unit> and <name> in templates.
 _SLOTS = ""
 #: Templates by number, and how many words decide whether a window is hashed.
@@ -57,8 +57,7 @@ FIRST = 3
 
 def spaced(text: F.Column) -> F.Column:
     """The words of a text with one space between them. Null is the empty text."""
-    blank = F.translate(F.coalesce(text, F.lit("")), "\t\n\x0b\x0c\r", "     ")
-    return F.regexp_replace(F.trim(blank), " {2,}", " ")
+    return F.trim(F.regexp_replace(F.coalesce(text, F.lit("")), "[ \\t-\\r]{2,}|[\\t-\\r]", " "))
 
 
 def plain(text: F.Column) -> F.Column:
@@ -66,19 +65,33 @@ def plain(text: F.Column) -> F.Column:
     return F.translate(text, string.ascii_uppercase + _PUNCTUATION, string.ascii_lowercase)
 
 
-def valueless(text: F.Column) -> F.Column:
-    """A spaced text with its numbers and units replaced."""
-    return F.regexp_replace(F.regexp_replace(text, _NUMBER, _SLOTS[0]), _UNIT, _SLOTS[1])
+def marked_words(text: F.Column) -> F.Column:
+    """The words of a spaced text, each plain, capitalised ones behind their mark."""
+    return F.split(plain(F.regexp_replace(F.regexp_replace(text, _CAPITAL, _MARK + "$0"), _INSIDE, _INNER)), " ")
 
 
-def templates(text: F.Column, values: F.Column) -> list[F.Column]:
-    """The templates of a spaced text, given valueless() of it: as many words, each plain or the character of its placeholder."""
-    return [plain(F.regexp_replace(values, _NAME, _SLOTS[2])), plain(F.regexp_replace(values, _CAPITAL, _SLOTS[2])), plain(values), plain(text)]
+def _marked(t: F.Column) -> F.Column:
+    return t.startswith(_MARK) | t.startswith(_INNER)
 
 
-def let(value: F.Column, body) -> F.Column:
-    """body(value), where value is computed once, also if body uses it in functions of array elements."""
-    return F.transform(F.array(value), lambda x: body(x))[0]
+def _bare(t: F.Column) -> F.Column:
+    return F.when(_marked(t), F.substring(t, 2, 1 << 30)).otherwise(t)
+
+
+def cased(marked: F.Column, as_) -> F.Column:
+    """The template `cased` of marked words. as_ gives what stands for a token: itself, or its hash."""
+    number = lambda t: (t >= "0") & (t < ":") & t.rlike(_NUMBER)
+    return F.transform(marked, lambda t: F.when(number(t), as_(F.lit(_SLOTS[0]))).when(_bare(t).isin(*UNITS), as_(F.lit(_SLOTS[1]))).otherwise(as_(_bare(t))))
+
+
+def template(kind: int, marked: F.Column, cased_: F.Column, as_) -> F.Column:
+    """The template of this kind of marked words, given cased() of them: as many tokens, each plain or its placeholder."""
+    if kind == CASED:
+        return cased_
+    if kind == EXACT:
+        return F.transform(marked, lambda t: as_(_bare(t)))
+    named = _marked if kind == ANY else lambda t: t.startswith(_INNER)
+    return F.zip_with(marked, cased_, lambda t, c: F.when(named(t) & (c != as_(F.lit(_SLOTS[1]))), as_(F.lit(_SLOTS[2]))).otherwise(c))
 
 
 def slots(words_: F.Column, tokens: F.Column) -> F.Column:
@@ -87,23 +100,31 @@ def slots(words_: F.Column, tokens: F.Column) -> F.Column:
     return F.zip_with(words_, tokens, slot)
 
 
-def hashes(tokens: F.Column) -> F.Column:
-    return F.transform(tokens, lambda t: F.xxhash64(t))
+def first_words(h: F.Column, i: F.Column, lead: F.Column) -> F.Column:
+    """One hash of the hashes of up to FIRST words from i on: of as many as `lead` says."""
+    return F.xxhash64(*(F.when(lead > k, F.get(h, i + k)) for k in range(FIRST)))
+
+
+def window_key(kind: F.Column, h: F.Column, i: F.Column, size: F.Column, window: int) -> F.Column:
+    """One hash of the hashes of the `size` words from i on."""
+    return F.xxhash64(kind, *(F.when(size > k, F.get(h, i + k)) for k in range(window)))
 
 
 def item_windows(items: DataFrame, item: str, text: str, window: int, least: int, least_plain: int) -> DataFrame:
     """item_id, at, size, kind, first, key, slots of the windows of items; shorter items give one window, of all their words."""
+    itself = lambda t: t
     one = items.select(F.col(item).alias("item_id"), spaced(F.col(text)).alias("text")).where("text != ''")
-    split = one.select("item_id", F.split("text", " ").alias("w"), F.array(*(F.split(t, " ") for t in templates(F.col("text"), valueless(F.col("text"))))).alias("t"))
+    split = one.select("item_id", F.split("text", " ").alias("w"), marked_words(F.col("text")).alias("m")).withColumn("c", cased(F.col("m"), itself))
+    split = split.select("item_id", "w", F.array(*(template(k, F.col("m"), F.col("c"), itself) for k in (WITHIN, ANY, CASED, EXACT))).alias("t"))
     size = F.least(F.size("w"), F.lit(window))
     each = split.select("item_id", "w", "t", size.alias("size"), F.explode(F.sequence(F.lit(0), F.size("w") - size)).alias("at"))
     part = lambda c: F.slice(c, F.col("at") + 1, F.col("size"))
     each = each.select("item_id", "at", "size", part(F.col("w")).alias("w"), F.posexplode(F.transform("t", part)).alias("kind", "t"), part(F.col("t")[CASED]).alias("cased"))
     enough = lambda c: (F.col("size") >= least) & (F.size(F.filter(c, lambda t: (t != "") & ~t.isin(*_SLOTS))) >= least_plain)
     each = each.where(F.when(F.col("kind") == EXACT, ~enough("cased") & F.exists("t", lambda t: t != "")).otherwise(enough("t")))
-    h = hashes(F.col("t"))
-    first = F.xxhash64(*(F.get(h, F.lit(k)) for k in range(FIRST)))
-    key = F.xxhash64("kind", *(F.get(h, F.lit(k)) for k in range(window)))
+    each = each.withColumn("h", F.transform("t", lambda t: F.xxhash64(t)))
+    first = first_words(F.col("h"), F.lit(0), F.col("size"))
+    key = window_key(F.col("kind"), F.col("h"), F.lit(0), F.col("size"), window)
     return each.select("item_id", "at", "size", "kind", first.alias("first"), key.alias("key"), slots(F.col("w"), F.col("t")).alias("slots"))
 
 
@@ -117,12 +138,23 @@ def contaminated(docs: DataFrame, items: DataFrame, id_: str = "doc_id", text: s
     blocks = blocks_for(sum(r["n"] for r in counted))
     docs = docs.select(F.col(id_).alias("id"), spaced(F.col(text)).alias("text"))
     filter_, starts = (as_literal(bloom(known.select(F.col(c).alias("h")), blocks, bits)) for c, bits in (("key", 4), ("first", 1)))
-    begins = lambda x: may_hold(starts, x, blocks, 1)
-    kinds = [(k, sorted(r["size"] for r in counted if r["kind"] == k)) for k in sorted({r["kind"] for r in counted})] or [(CASED, [window])]
-    search = lambda k, sizes, t: let(hashes(F.split(t, " ")), lambda h: _windows_of(h, k, sizes, window, begins))
-    windows = let(valueless(F.col("text")), lambda v: F.concat(*(search(k, sizes, templates(F.col("text"), v)[k]) for k, sizes in kinds)))
-    found = docs.select("id", "text", F.explode(F.filter(windows, lambda x: may_hold(filter_, x["key"], blocks))).alias("x"))
-    hits = found.select("id", "text", F.col("x.key").alias("key"), F.col("x.at").alias("d_at")).join(known, "key")
+    # Longer windows of a kind share the test of their first words; each shorter size has its own.
+    searches = sorted({(r["kind"], min(r["size"], FIRST)) for r in counted}) or [(CASED, FIRST)]
+    sizes = lambda k, lead: [r["size"] for r in counted if r["kind"] == k and min(r["size"], FIRST) == lead] or [window]
+    of_kind = lambda k: template(k, F.col("marked"), F.col("cased"), F.xxhash64)
+    tokens = docs.withColumn("marked", marked_words(F.col("text"))).withColumn("cased", cased(F.col("marked"), F.xxhash64))
+    tokens = tokens.select("id", "text", *(of_kind(k).alias(f"h{k}") for k in sorted({k for k, _ in searches})))
+    search = lambda k, lead: F.struct(F.lit(k).alias("kind"), F.lit(lead).alias("lead"), F.array(*map(F.lit, sorted(sizes(k, lead)))).alias("sizes"), F.col(f"h{k}").alias("h"))
+    # Positions are rows only within a compiled stage: no copy of a text is made before a window passes both filters.
+    kinds = tokens.select("id", "text", F.explode(F.array(*(search(k, lead) for k, lead in searches))).alias("s"))
+    # What a filter tests is a row of its own as well, so that it is computed once.
+    at = kinds.select("id", "text", "s", F.explode(F.sequence(F.lit(0), F.size("s.h") - 1)).alias("d_at"))
+    at = at.select("id", "text", "s", "d_at", F.explode(F.array(first_words(F.col("s.h"), F.col("d_at"), F.col("s.lead")))).alias("start")).where(may_hold(starts, F.col("start"), blocks, 1))
+    sized = at.select("id", "text", "s", "d_at", F.explode("s.sizes").alias("of")).where(F.col("d_at") + F.col("of") <= F.size("s.h"))
+    key = window_key(F.col("s.kind"), F.col("s.h"), F.col("d_at"), F.col("of"), window)
+    keyed = sized.select("id", "text", F.explode(F.array(F.struct(key.alias("key"), "d_at"))).alias("x"))
+    found = keyed.where(may_hold(filter_, F.col("x.key"), blocks)).select("id", "text", "x.key", "x.d_at")
+    hits = found.join(known, "key")
     values = F.transform(F.slice(F.split("text", " "), F.col("d_at") + 1, F.col("size")), plain)
     pairs = F.array_distinct(F.filter(F.zip_with("slots", values, lambda x, b: F.struct(x["slot"].alias("slot"), x["a"].alias("a"), b.alias("b"))), lambda x: x["slot"] != ""))
     # Texts that share an id are aligned each for itself.
@@ -155,26 +187,6 @@ def _conflict(pairs: F.Column, kept: F.Column) -> F.Column:
     return mixed_up | ~_one_to_one(names) | ~(_one_to_one(units) | _one_to_one(units, _singular))
 
 
-def _windows_of(h: F.Column, kind: int, sizes: list[int], window: int, begins) -> F.Column:
-    """(key, at) of the windows of these numbers of word hashes whose first words may begin an item's window."""
-
-    def at(size: int, i: F.Column) -> F.Column:
-        missing = [F.lit(None).cast("long")] * (window - size)
-        return F.struct(F.xxhash64(F.lit(kind), *(F.get(h, i + k) for k in range(size)), *missing).alias("key"), i.alias("at"))
-
-    def starts(size: int) -> F.Column:
-        first = lambda i: F.xxhash64(*(F.get(h, i + k) if k < size else F.lit(None).cast("long") for k in range(FIRST)))
-        last = F.size(h) - size
-        return F.when(last >= 0, F.filter(F.sequence(F.lit(0), last), lambda i: begins(first(i)))).otherwise(F.expr("cast(array() as array<int>)"))
-
-    # Sizes of FIRST and more share their starts.
-    parts = [F.transform(starts(s), partial(at, s)) for s in sizes if s < FIRST]
-    if long_ := [s for s in sizes if s >= FIRST]:
-        each = lambda i: F.filter(F.array(*(F.when(i + s <= F.size(h), at(s, i)) for s in long_)), lambda x: x.isNotNull())
-        parts.append(F.flatten(F.transform(starts(long_[0]), each)))
-    return F.concat(*parts)
-
-
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     items = table(spark, sf_dir, "benchmark").select("item_id", "text")
