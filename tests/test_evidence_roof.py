@@ -81,3 +81,34 @@ def test_flat_cap_error(roofs):
 def test_planes_dont_depend_on_partitions(roofs):
     key = lambda df: sorted((r["building_id"], r["plane"], round(r["a"], 9), r["n"]) for r in df.collect())
     assert key(R.planes(roofs.coalesce(1))) == key(R.planes(roofs.repartition(7, F.col("x"))))
+
+
+def test_all_points_count_whatever_the_sample(spark):
+    """Equal points count each time, and a building that is dealt over parts has the planes that it has in one."""
+    x, y = (v.ravel() for v in np.meshgrid(np.arange(0, 30, 0.5), np.arange(0, 20, 0.5)))
+    z = np.where(x < 15, 12.0, 16.0) + 0.1 * y  # steps, so that no tilted plane holds points of both
+    rows = [("big", float(a), float(b), float(c), 2.0) for a, b, c in zip(x, y, z, strict=True)]
+    p = R.roof_points(spark.createDataFrame(rows + rows[:100] + [("big", None, 1.0, 9.0, 2.0), ("big", 1.0, float("nan"), 9.0, 2.0)], "building_id string, x double, y double, z double, ground_z double"))
+    whole, parts = (R.planes(p, r).orderBy("plane").collect() for r in (R.Roof(sample=10_000), R.Roof(sample=128, part=200)))
+    assert sum(v["n"] for v in whole) == len(rows) + 100
+    assert sorted(v["n"] for v in whole) == sorted(v["n"] for v in parts)
+    assert all(abs(v["slope"] - np.degrees(np.arctan(0.1))) < 1e-6 and v["rmse"] < 1e-6 and v["coherence"] == 1 for v in whole + parts)
+
+
+def test_planes_apart_are_no_ridge(spark):
+    """Two opposed slopes with a gap between them, points in the corners of an L, and a building without roof points."""
+    x, y = (v.ravel() for v in np.meshgrid(np.arange(0, 6, 0.5), np.arange(0, 10, 0.5)))
+    rows = [("apart", float(a), float(b), 8 + 0.5 * float(a), 2.0) for a, b in zip(x, y, strict=True)] + [("apart", float(30 - a), float(b), 8 + 0.5 * float(a), 2.0) for a, b in zip(x, y, strict=True)]
+    p = R.roof_points(spark.createDataFrame(rows, "building_id string, x double, y double, z double, ground_z double"))
+    box = lambda w, h: [(0.0, 0.0), (w, 0.0), (w, h), (0.0, h)]
+    f = spark.createDataFrame([("apart", box(30.0, 9.5)), ("none", box(3.0, 3.0))], "building_id string, ring array<struct<x:double,y:double>>")
+    totals = spark.createDataFrame([("apart", len(rows)), ("none", 0)], "building_id string, n_total long")
+    out = {r["building_id"]: r for r in R.classify(p, R.planes(p), R.Roof(), f, totals).collect()}
+    a = out["apart"]
+    assert (a["n_planes"], a["ridge"], a["roof_class"], a["outcome"]) == (2, False, "complex_roof", "manual_review_required")
+    assert abs(a["confidence"] - 0.78) < 1e-9 and abs(a["coverage"] - 56 / 140) < 0.1
+    low = [r for r in rows if min(r[1], 30 - r[1], r[2], 9.5 - r[2]) <= 1.5]
+    assert a["eave_points"] == len(low) and abs(a["eave_height"] - np.percentile([r[3] for r in low], 20)) < 1e-9
+    assert (out["none"]["roof_class"], out["none"]["confidence"], out["none"]["n_points"]) == ("insufficient_evidence", 0.0, 0)
+    none = R.planes(p.limit(0))
+    assert none.count() == 0 and R.classify(p.limit(0), none).count() == 0
