@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -87,6 +89,58 @@ def _nested(schema: str) -> str:
     return ",".join(f"{name}:{kind}" for name, kind in (field.strip().split(" ", 1) for field in schema.split(", ")))
 
 
+def any_point(kind: F.Column, coordinates: F.Column) -> F.Column:
+    """Mean of all vertices of a geometry of any depth (closing ones counted), a point itself; null without vertices."""
+    pairs = F.regexp_extract_all(coordinates, F.lit(r"\[\s*(-?[0-9][^\[\],]*,\s*-?[0-9][^\[\],]*)"), F.lit(1))
+    xy = F.transform(pairs, lambda p: F.struct(F.trim(F.split(p, ",")[0]).try_cast("double").alias("x"), F.trim(F.split(p, ",")[1]).try_cast("double").alias("y")))
+    return F.when(kind.isNotNull() & (F.size(xy) > 0), G.vertex_mean(xy))
+
+
+def read_layer(spark: SparkSession, path: str, to_xy: Callable[[F.Column, F.Column], F.Column] | None = None, lines: bool = False) -> tuple[DataFrame, F.Column]:
+    """((x, y, properties, usable), a count of skipped features to aggregate with) of a layer with geometries of any kind.
+
+    to_xy(x, y) gives struct<x, y> in the wanted reference system where the layer's differs. Features without a geometry, or whose
+    point has no image, are kept with usable false, so that they can be counted in the job that drops them."""
+    f = read_features(spark, path, lines).withColumn("_p", any_point(F.col("type"), F.col("coordinates")))
+    at = to_xy(F.col("_p.x"), F.col("_p.y")) if to_xy else F.col("_p")
+    rows = f.select(at["x"].alias("x"), at["y"].alias("y"), F.coalesce("properties", F.create_map().cast("map<string,string>")).alias("properties"))
+    usable = F.col("x").isNotNull() & F.col("y").isNotNull() & ~F.isnan("x") & ~F.isnan("y")
+    return rows.withColumn("usable", usable), F.count_if(~F.col("usable"))
+
+
+def read_mass_rows(spark: SparkSession, csv: str | None, features: str | None, fields: tuple[str, ...]) -> DataFrame:
+    """A tile's mass rows as text columns: those of its table if there is one, else its features' properties, where a point stands in for
+    a missing centroid_x and centroid_y. fields: the properties to take."""
+    if csv:
+        return spark.read.option("header", True).csv(csv)
+    if not features:
+        raise ValueError("neither a table nor features are given")
+    p = F.from_json("coordinates", "array<string>")
+    own = {c: F.col("properties")[c] for c in (*fields, "centroid_x", "centroid_y")}
+    for i, c in enumerate(("centroid_x", "centroid_y")):
+        own[c] = F.when((F.col("type") == "Point") & (F.size(p) > 1) & ~F.coalesce(F.map_contains_key("properties", c), F.lit(False)), F.get(p, i)).otherwise(own[c])
+    return read_features(spark, features).select(*(v.alias(c) for c, v in own.items()))
+
+
+def load_findings(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """Findings of a JSON array, of one object a line (.jsonl, or a folder of such), or under findings, validation_findings or issues."""
+    if path.endswith((".jsonl", ".ndjson")):
+        return spark.read.schema(schema).json(path)
+    keys = ("findings", "validation_findings", "issues")
+    holder = spark.read.schema(", ".join(f"{k} array<struct<{_nested(schema)}>>" for k in keys)).option("multiLine", True).json(path)
+    own = spark.read.schema(schema).option("multiLine", True).json(path)
+    names = own.columns
+    held = holder.where(F.coalesce(*keys).isNotNull()).select(F.explode(F.coalesce(*keys)).alias("r")).select("r.*")
+    return held.unionByName(own.where(" OR ".join(f"`{c}` IS NOT NULL" for c in names)))
+
+
+def write_table(df: DataFrame, path: str) -> None:
+    """The same rows twice: CSV with a header below path/csv (nested columns as JSON), JSON below path/json."""
+    flat = [F.to_json(c).alias(c) if t.startswith(("array", "struct", "map")) else F.col(c) for c, t in df.dtypes]
+    df.select(*flat).write.mode("overwrite").option("header", True).csv(f"{path}/csv")
+    df.write.mode("overwrite").option("ignoreNullFields", False).json(f"{path}/json")
+
+
 def write_features(df: DataFrame, path: str, ring: str = "ring") -> None:
     """One GeoJSON feature a line: the ring as a closed polygon, all other columns as properties."""
     closed = F.transform(F.concat(F.col(ring), F.slice(ring, 1, 1)), lambda p: F.array(p["x"], p["y"]))

@@ -1,9 +1,11 @@
 import json
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from cadastra.functions import geometry as G
+from cadastra.operators import records as X
 from cadastra.operators import rings as R
 from cadastra.sources import features as S
 
@@ -77,3 +79,33 @@ def test_addresses_records_inventory_and_tiles(spark, tmp_path):
     assert S.unfinished(t.unionByName(spark.createDataFrame([("c", "t3", 3)], t.schema)), done).first()["tile_id"] == "t3"
     m = S.manifest(t.drop("city_id"), {"n_tiles": F.count("*")}).first()
     assert m["n_tiles"] == 2 and m["tiles"]["t2"]["n"] == 2
+
+
+def test_layers_masses_findings_and_tables(spark, tmp_path):
+    shapes = [("Point", [3, 4]), ("LineString", [[0, 0], [2, 6]]), ("MultiPolygon", [[[[0, 0], [4, 0], [4, 4], [0, 0]]], [[[10, 10], [12, 10], [12, 13], [10, 10]]]]), ("Polygon", [])]
+    features = [{"type": "Feature", "geometry": {"type": k, "coordinates": c}, "properties": {"h": str(i)}} for i, (k, c) in enumerate(shapes)] + [{"type": "Feature", "geometry": None, "properties": {}}]
+    (tmp_path / "l.json").write_text(json.dumps({"type": "FeatureCollection", "features": features}))
+    rows, skipped = S.read_layer(spark, f"{tmp_path}/l.json")
+    assert [(r["x"], r["y"]) for r in rows.where("usable").orderBy("x").collect()] == [(1.0, 3.0), (3.0, 4.0), (6.5, 47 / 8)] and rows.agg(skipped).first()[0] == 2
+    moved, _ = S.read_layer(spark, f"{tmp_path}/l.json", lambda x, y: F.when(x < 5, F.struct((x + 1).alias("x"), y.alias("y"))))
+    assert sorted(r["x"] for r in moved.where("usable").collect()) == [2.0, 4.0]
+    m = {r["h"]: (r["centroid_x"], r["centroid_y"]) for r in S.read_mass_rows(spark, None, f"{tmp_path}/l.json", ("h",)).where("h IS NOT NULL").collect()}
+    assert m["0"] == ("3", "4") and m["1"] == (None, None)
+    for name, text in (("a.json", '[{"code": "A", "n": 1}, {"code": "B", "n": 2}]'), ("b.json", '{"issues": [{"code": "C", "n": 3}]}'), ("c.jsonl", '{"code": "D", "n": 4}\n{"code": "E", "n": null}')):
+        (tmp_path / name).write_text(text)
+    found = {k: sorted(r["code"] for r in S.load_findings(spark, f"{tmp_path}/{k}", "code string, n int").collect()) for k in ("a.json", "b.json", "c.jsonl")}
+    assert found == {"a.json": ["A", "B"], "b.json": ["C"], "c.jsonl": ["D", "E"]}
+    S.write_table(spark.createDataFrame([(1, [1, 2], None), (2, [], "x")], "id int, a array<int>, t string"), f"{tmp_path}/t")
+    assert S.read_mass_rows(spark, f"{tmp_path}/t/csv", None, ()).orderBy("id").first()["a"] == "[1,2]" and set(spark.read.json(f"{tmp_path}/t/json").columns) == {"id", "a", "t"}
+
+
+def test_export_records(spark):
+    g = spark.createDataFrame([(1, [(0.0, 0.0), (4.0, 0.0), (4.0, 2.0), (0.0, 2.0)])], f"cluster_id long, ring {R.RING}")
+    rows = spark.createDataFrame([("1", "7.256", None, "True"), ("x", "3", "good", "1"), ("1.0", "tall", "good", "1"), ("1", None, "empty", None)], "cluster_id string, estimated_height string, source_quality string, lod0_included string")
+    out = sorted(tuple(r) for r in X.export_records(rows, g, 1.0, 1.0).collect())
+    assert out == [(1, 0.0, 1.0, 0.0, "empty", False), (1, 7.26, 1.0, 0.0, "unknown", True)]
+    with pytest.raises(Exception, match="no footprint geometry"):
+        X.export_records(rows.withColumn("cluster_id", F.lit("2")), g, 0.0, 0.0).collect()
+    e = X.enrichment_records(spark.createDataFrame([(1, 500000.0, 0.0, 9.0, "shed", 2018), (2, 500000.0, 0.0, None, None, None)], "cluster_id long, cx double, cy double, county_height_m double, bld_type string, year_update int"), spark.createDataFrame([(1, 0.0, 12.34, "good"), (3, 8.0, None, None)], "cluster_id long, height_m double, footprint_area_m2 double, quality string"), "c", 16)
+    got = {r["id"]: r for r in e.collect()}
+    assert (got[1]["height_m"], got[2]["height_m"], got[3]["height_m"]) == (9.0, 6.0, 8.0) and got[3]["lat"] is None and abs(got[1]["lon"] + 87) < 1e-9
