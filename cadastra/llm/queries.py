@@ -13,6 +13,7 @@ from .secret_scan import OP3_SQL, op3_secret_scan
 from .substring_dedup import op10_substring_dedup
 from .suffix_dedup import op9_suffix_dedup
 from .url_filter import OP1_SQL, op1_url_filter
+from .whitening import op13_whitening
 
-QUERIES = {f.__name__: f for f in (op1_url_filter, op2_language_id, op3_secret_scan, op4_mixing, op5_quality_rules, op6_ngram_join, op7_quality_model, op8_decontamination, op9_suffix_dedup, op10_substring_dedup, op11_packing)}
+QUERIES = {f.__name__: f for f in (op1_url_filter, op2_language_id, op3_secret_scan, op4_mixing, op5_quality_rules, op6_ngram_join, op7_quality_model, op8_decontamination, op9_suffix_dedup, op10_substring_dedup, op11_packing, op13_whitening)}
 ORACLE_SQL = {"op1_url_filter": OP1_SQL, "op3_secret_scan": OP3_SQL, "op5_quality_rules": OP5_SQL}
