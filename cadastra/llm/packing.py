@@ -221,7 +221,7 @@ def places(plan: Plan) -> dict[str, np.ndarray]:
     return dict(zip(("key", "copies", "first", "offset"), cols, strict=True))
 
 
-def pack(pieces: DataFrame, size: int = 4096, bucket_rows: int = 200_000) -> DataFrame:
+def pack(pieces: DataFrame, size: int = 4096, bucket_rows: int = 20_000) -> DataFrame:
     """pieces(id, piece, start, length, ids_crc32, ...) with sequence_id and offset: where each lies in sequences of at most `size`.
 
     Sequences have no gaps. Equal pieces are told apart by nothing but their number, so ids may be null or repeated. No rows, no
