@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from cadastra.functions import geometry as G
 
+from . import cover as C
+from . import polygons as P
 from . import spatial_join as J
 
 
@@ -60,11 +62,18 @@ def box_ring(box: Column) -> Column:
     return G.rectangle(box["xmin"], box["ymin"], box["xmax"], box["ymax"])
 
 
-def tiles_in(tiles: DataFrame, boundary: DataFrame, key: str = "tile_id", box: str = "box") -> DataFrame:
-    """Tiles whose box shares area with the boundary; tiles without a box are left out. Boxes are compared first."""
-    ringed = tiles.where(F.col(box).isNotNull()).select(key, F.array(box_ring(F.col(box))).alias("_tile"))
-    near = J.polygon_overlay(ringed, boundary.select(F.lit(1).alias("_place"), F.col("rings").alias("_rings")), key, "_place", "_tile", "_rings", 1000.0)
-    return tiles.join(near.select(key), key, "left_semi")
+Cut = Callable[[DataFrame, str], DataFrame]
+
+
+def _kept(df: DataFrame, label: str) -> DataFrame:
+    return df
+
+
+def tiles_in(tiles: DataFrame, boundary: DataFrame, key: str = "tile_id", box: str = "box", size: float = 100.0) -> DataFrame:
+    """Tiles whose box shares area with the boundary; tiles without a box are left out. The boundary is covered by cells of `size`,
+    so tiles meet the sides near them and never the whole of it."""
+    cover = C.polygon_cover(boundary.select(F.lit(1).alias("place"), "rings"), size)
+    return tiles.join(C.boxes_in_cover(tiles.where(F.col(box).isNotNull()).select(key, box), cover, size, box).select(key), key, "left_semi")
 
 
 def study_candidates(polygons: DataFrame, key: str, ring: str, study: tuple[float, float, float, float]) -> DataFrame:
@@ -84,27 +93,53 @@ def regions_of(boxes: DataFrame, regions: dict[str, tuple[float, float, float, f
     return boxes.withColumn("regions", F.array_compact(F.array(*(F.when(hit(r), F.lit(name)) for name, r in regions.items()))))
 
 
-def clip_footprints(footprints: DataFrame, tiles: DataFrame, boundary: DataFrame | None, key: str = "source_id", ring: str = "ring", least: float = 9.0, most: float = 200_000.0, project: Callable[[Column, Column], Column] | None = None) -> DataFrame:
-    """(key, tile_id, ring, area_m2, bbox_area_m2): footprints cut to the boundary and then to each tile they meet, in other
-    coordinates if project is given, of an area between least and most.
-
-    Footprints are convex, so cutting the boundary to a footprint is the same as cutting the footprint; those wholly inside stay
-    as they are. tiles(tile_id, box); without a boundary only tiles cut."""
-    f = footprints.select(key, ring)
+def _within_boundary(f: DataFrame, boundary: DataFrame, key: str, size: float, cut: Cut) -> DataFrame:
+    """(key, rings): what footprints share with the boundary, the largest part. Those in cells without sides stay as they are; the
+    others meet the sides in the cells of their box."""
+    cover = cut(C.polygon_cover(boundary.select(F.lit(1).alias("place"), "rings"), size).drop("place"), "cover")
+    b = G.bbox(F.flatten("rings"))
+    boxed = f.withColumn("_b", b).where("_b.xmin IS NOT NULL AND _b.ymin IS NOT NULL")
+    low = {"_i": C.cell_of(F.col("_b.xmin"), size), "_j": C.cell_of(F.col("_b.ymin"), size)}
+    boxed = boxed.withColumns(low).withColumns({"_m": C.cell_of(F.col("_b.xmax"), size), "_n": C.cell_of(F.col("_b.ymax"), size)})
+    cells = boxed.select(key, "_i", "_j", "_m", "_n", F.explode(F.sequence("_i", "_m")).alias("cx")).withColumn("cy", F.explode(F.sequence("_j", "_n")))
+    corner = (F.col("cx") == F.col("_i")) & (F.col("cy") == F.col("_j"))
+    met = cells.join(cover, ["cx", "cy"]).groupBy(key, "_i", "_j", "_m", "_n").agg(
+        F.count_if((F.size("sides") == 0) & F.col("odd")).alias("_inner"), F.coalesce(F.bool_or(F.col("odd") & corner), F.lit(False)).alias("_odd"), F.array_distinct(F.flatten(F.collect_list("sides"))).alias("_sides"),
+    )
+    whole = F.col("_inner") == (F.col("_m") - F.col("_i") + 1) * (F.col("_n") - F.col("_j") + 1)
+    known = cut(f.join(met, key), "boundary")
+    part = known.where(~whole).select(key, "rings", "_sides", "_odd", C.corner_of(F.col("_i"), size).alias("_x"), C.corner_of(F.col("_j"), size).alias("_y"))
+    return known.where(whole).select(key, "rings").unionByName(_largest(P.clipped(part, "rings", "_sides", "_odd", "_x", "_y")).select(key, "rings"))
+
+
+def _largest(cut: DataFrame) -> DataFrame:
+    """The largest polygon as rings; rows without any are dropped."""
+    return cut.where(F.size("polygons") > 0).withColumn("rings", F.get("polygons", F.lit(0)))
+
+
+def clip_footprints(footprints: DataFrame, tiles: DataFrame, boundary: DataFrame | None, key: str = "source_id", ring: str = "ring", least: float = 9.0, most: float = 200_000.0, project: Callable[[Column, Column], Column] | None = None, size: float = 100.0, cut: Cut = _kept) -> DataFrame:
+    """(key, tile_id, ring, rings, area_m2, bbox_area_m2): footprints cut to the boundary and then to each tile they meet, in other
+    coordinates if project is given, of an area between least and most; ring is the outline of rings.
+
+    Any polygons will do, as rings or arrays of rings with holes and parts; of what is cut the largest part stays, its holes
+    with it. Polygons that cross themselves count where they wind an odd number of times. Keys are unique. tiles(tile_id, box);
+    without a boundary only tiles cut. The boundary is covered by cells of `size`. cut writes
+    what is read more than once (the cover, footprints with what they meet) and gives it back without its lineage."""
+    nested = dict(footprints.dtypes)[ring].startswith("array<array")
+    f = footprints.select(key, (F.col(ring) if nested else F.array(ring)).alias("rings")).where(F.size(F.flatten("rings")) > 2)
     if boundary is not None:
-        b = boundary.select(F.lit(1).alias("_place"), F.col("rings").alias("_rings"))
-        share = J.polygon_overlay(f, b, key, "_place", ring, "_rings", 1000.0).select(key, "left_fraction")
-        whole = f.join(share.where("left_fraction > 1 - 1e-9"), key).select(key, ring)
-        cut = f.join(share.where("left_fraction <= 1 - 1e-9"), key).join(F.broadcast(b.select("_rings")))  # one boundary
-        parts = F.transform("_rings", lambda r: G.clip_convex(r, F.col(ring)))
-        best = F.array_max(F.transform(parts, lambda r: F.struct(G.area(r).alias("a"), r.alias("r"))))["r"]
-        f = whole.unionByName(cut.select(key, best.alias(ring)))
-    t = tiles.select("tile_id", box_ring(F.col("box")).alias("_tile"), "box")
-    pairs = J.box_pairs(f, t, key, "tile_id", ring, "_tile", 100.0)
-    j = pairs.join(f, key).join(t.select("tile_id", "box"), "tile_id")
-    clipped = G.clip_box(F.col(ring), F.col("box.xmin"), F.col("box.ymin"), F.col("box.xmax"), F.col("box.ymax"))
-    out = j.select(key, "tile_id", clipped.alias(ring)).where(F.size(ring) > 2)
+        f = cut(_within_boundary(f, boundary, key, size, cut), "clipped")
+    t = tiles.select("tile_id", F.array(box_ring(F.col("box"))).alias("_tile"), "box")
+    pairs = J.box_pairs(f, t, key, "tile_id", "rings", "_tile", 100.0)
+    j = cut(pairs.join(f, key).join(t.select("tile_id", "box"), "tile_id").withColumn("_b", G.bbox(F.flatten("rings"))), "tiles")
+    inside = (F.col("_b.xmin") >= F.col("box.xmin")) & (F.col("_b.xmax") <= F.col("box.xmax")) & (F.col("_b.ymin") >= F.col("box.ymin")) & (F.col("_b.ymax") <= F.col("box.ymax"))
+    crossing = j.where(~inside).select(
+        key, "tile_id", "rings", P.box_sides(F.col("box")).alias("_sides"), F.lit(False).alias("_odd"),
+        (F.least("box.xmin", "_b.xmin") - 1).alias("_x"), (F.least("box.ymin", "_b.ymin") - 1).alias("_y"),
+    )
+    out = j.where(inside).select(key, "tile_id", "rings").unionByName(_largest(P.clipped(crossing, "rings", "_sides", "_odd", "_x", "_y")).select(key, "tile_id", "rings"))
     if project is not None:
-        out = out.withColumn(ring, F.transform(ring, lambda p: project(p["x"], p["y"])))
-    out = out.withColumns({"area_m2": F.round(G.area(F.col(ring)), 2), "_b": G.bbox(F.col(ring))}).where(F.col("area_m2").between(least, most))
-    return out.withColumn("bbox_area_m2", F.round((F.col("_b.xmax") - F.col("_b.xmin")) * (F.col("_b.ymax") - F.col("_b.ymin")), 2)).drop("_b")
+        out = out.withColumn("rings", F.transform("rings", lambda r: F.transform(r, lambda p: project(p["x"], p["y"]))))
+    out = out.withColumns({"ring": F.get("rings", F.lit(0)), "area_m2": F.round(P.polygon_area(F.col("rings")), 2), "_b": G.bbox(F.flatten("rings"))})
+    box_area = F.round((F.col("_b.xmax") - F.col("_b.xmin")) * (F.col("_b.ymax") - F.col("_b.ymin")), 2)
+    return out.where(F.col("area_m2").between(least, most)).select(key, "tile_id", "ring", "rings", "area_m2", box_area.alias("bbox_area_m2"))

@@ -176,15 +176,16 @@ def points_near_polygons(points: DataFrame, polygons: DataFrame, reach: float, r
     return pairs.mapInArrow(test, schema)
 
 
-def box_pairs(left: DataFrame, right: DataFrame, left_id: str, right_id: str, left_ring: str, right_ring: str, size: float = 10.0) -> DataFrame:
-    """(left_id, right_id) of the pairs whose boxes overlap by more than a side, each once: in the cell, at the level of the
-    larger box, of the boxes' common lower corner."""
+def box_pairs(left: DataFrame, right: DataFrame, left_id: str, right_id: str, left_ring: str, right_ring: str, size: float = 10.0, touching: bool = False) -> DataFrame:
+    """(left_id, right_id) of the pairs whose boxes overlap by more than a side, or with touching at all, each once: in the cell, at
+    the level of the larger box, of the boxes' common lower corner."""
     side = lambda d, i, r: _boxed(d.select(i, r), r).withColumn("_level", _level(size)).drop(r)
     a, b = side(left, left_id, left_ring), side(right, right_id, right_ring)
     levels = sorted({*_levels(a), *_levels(b)}) or [0]
     other = {c: c.replace("_", "_r", 1) for c in ("_x0", "_y0", "_x1", "_y1", "_level")}
     pairs = _box_keys(a, size, levels).join(_box_keys(b, size, levels).withColumnsRenamed(other), ["_l", "_cx", "_cy"])
-    pairs = pairs.where("_l = greatest(_level, _rlevel) AND _x0 < _rx1 AND _rx0 < _x1 AND _y0 < _ry1 AND _ry0 < _y1")
+    less = "<=" if touching else "<"
+    pairs = pairs.where(f"_l = greatest(_level, _rlevel) AND _x0 {less} _rx1 AND _rx0 {less} _x1 AND _y0 {less} _ry1 AND _ry0 {less} _y1")
     scale = F.lit(size) * F.pow(F.lit(4.0), F.col("_l"))
     return pairs.where((F.col("_cx") == F.floor(F.greatest("_x0", "_rx0") / scale)) & (F.col("_cy") == F.floor(F.greatest("_y0", "_ry0") / scale))).select(left_id, right_id)
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from cadastra.functions import geometry as G
 from cadastra.operators import boundary as B
 from cadastra.operators import cluster as C
+from cadastra.operators import polygons as P
 
 from .clusters import cut
 from .derived import footprints, points, tiles
@@ -41,10 +42,44 @@ SELECT cluster_id, tile_id, round(w * h, 2) AS area_m2 FROM d WHERE w > 1e-9 AND
 def j16_clip_footprints(spark, sf_dir):
     """Footprints cut to a boundary of two parts and then to tiles."""
     place = _place(spark, [(0, 0), (400, 0), (400, 1100), (0, 1100)], [(600, 0), (900, 0), (900, 700), (600, 700)])
-    out = B.clip_footprints(footprints(spark, sf_dir).select("cluster_id", "ring"), _boxes(spark, sf_dir), B.boundary_of(place, " the place"), "cluster_id")
+    out = B.clip_footprints(footprints(spark, sf_dir).select("cluster_id", "ring"), _boxes(spark, sf_dir), B.boundary_of(place, " the place"), "cluster_id", cut=cut)
     return out.select("cluster_id", "tile_id", "area_m2")
 
 
+@query("""WITH b AS (SELECT * FROM (VALUES (0, 0, 400, 1100), (600, 0, 900, 700)) b(bx0, by0, bx1, by1)),
+d AS (SELECT f.cluster_id, t.tile_id, greatest(cx - hw, bx0, xmin) AS x0, least(cx + hw, bx1, xmax) AS x1, greatest(cy - hh, by0, ymin) AS y0, least(cy + hh, by1, ymax) AS y1, cx, cy FROM footprints f, tiles t, b),
+e AS (SELECT cluster_id, tile_id, (x1 - x0) * (y1 - y0) - greatest(0, x1 - greatest(x0, cx)) * greatest(0, y1 - greatest(y0, cy)) AS area FROM d WHERE x1 - x0 > 1e-9 AND y1 - y0 > 1e-9)
+SELECT cluster_id, tile_id, round(area, 2) AS area_m2 FROM e WHERE round(area, 2) BETWEEN 9 AND 200000""")
+def j16_clip_concave(spark, sf_dir):
+    """The same for footprints without their upper right quarter, as polygons."""
+    place = _place(spark, [(0, 0), (400, 0), (400, 1100), (0, 1100)], [(600, 0), (900, 0), (900, 700), (600, 700)])
+    at = lambda i, j: F.struct((F.col("cx") + i * F.col("hw")).alias("x"), (F.col("cy") + j * F.col("hh")).alias("y"))
+    f = footprints(spark, sf_dir).select("cluster_id", F.array(F.array(*(at(i, j) for i, j in ((-1, -1), (1, -1), (1, 0), (0, 0), (0, 1), (-1, 1))))).alias("rings"))
+    out = B.clip_footprints(f, _boxes(spark, sf_dir), B.boundary_of(place, "The Place"), "cluster_id", "rings", cut=cut)
+    return out.select("cluster_id", "tile_id", "area_m2")
+
+
+@query("""SELECT cluster_id, CASE WHEN cluster_id % 3 = 2 THEN 2 ELSE 1 END AS n, round(CASE cluster_id % 3 WHEN 0 THEN 4 * hw * hh WHEN 1 THEN 3 * hw * hh ELSE 2 * hw * hh / 2 END, 3) AS area FROM footprints""")
+def g7_repaired(spark, sf_dir):
+    """Valid footprints, some whose ring runs back along itself, and bow ties, which fall apart; the area of the largest part."""
+    at = lambda i, j: F.struct((F.col("cx") + i * F.col("hw")).alias("x"), (F.col("cy") + j * F.col("hh")).alias("y"))
+    shapes = [((-1, -1), (1, -1), (1, 1), (-1, 1)), ((-1, -1), (1, -1), (1, 0), (0, 0), (0, 1), (0, 2), (0, 1), (-1, 1)), ((-1, -1), (1, 1), (1, -1), (-1, 1))]
+    rings = [F.array(*(at(i, j) for i, j in shape)) for shape in shapes]
+    k = F.col("cluster_id") % 3
+    f = footprints(spark, sf_dir).select("cluster_id", F.when(k == 0, rings[0]).when(k == 1, rings[1]).otherwise(rings[2]).alias("ring"))
+    out = P.repaired(f, "ring")
+    return out.select("cluster_id", F.size("polygons").alias("n"), F.round(P.polygon_area(F.get("polygons", F.lit(0))), 3).alias("area"))
+
+
+@query("SELECT cluster_id, round((2 * hw - 1) * (2 * hh - 1) - CASE WHEN cluster_id % 2 = 1 THEN 3 + 4 * sin(pi() / 16) ELSE 0 END, 3) AS area FROM footprints")
+def g19_inset(spark, sf_dir):
+    """Footprints, half of them with a courtyard of a metre, shrunk by half a metre; its corners become eight chords."""
+    yard = F.array(*(F.struct((F.col("cx") + i).alias("x"), (F.col("cy") + j).alias("y")) for i, j in ((-0.5, -0.5), (-0.5, 0.5), (0.5, 0.5), (0.5, -0.5))))
+    f = footprints(spark, sf_dir).select("cluster_id", F.when(F.col("cluster_id") % 2 == 1, F.array("ring", yard)).otherwise(F.array("ring")).alias("rings"))
+    out = P.buffered(f, -0.5)
+    return out.select("cluster_id", F.round(P.polygon_area(F.get("polygons", F.lit(0))), 3).alias("area"))
+
+
 @query("SELECT tile_id FROM tiles WHERE xmin + ymin < 900")
 def j17_tiles_in_boundary(spark, sf_dir):
     """Tiles that share area with a triangle."""
