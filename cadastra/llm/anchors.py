@@ -27,9 +27,9 @@ TEXTS, PLACES, LATER = "texts", "places", "later"
 
 
 def keyed(docs: DataFrame, id_: str, text: str) -> DataFrame:
-    """id (null: the largest), tk (a 64-bit key of the text) and text of docs; equal texts are a class from here on."""
+    """id (null: the largest, with missing), tk (a 64-bit key of the text) and text of docs; equal texts are a class from here on."""
     text = F.coalesce(F.col(text), F.lit(""))
-    return docs.select(F.coalesce(F.col(id_).cast("long"), F.lit(LAST_ID)).alias("id"), F.xxhash64(text).alias("tk"), text.alias("text"))
+    return docs.select(F.coalesce(F.col(id_).cast("long"), F.lit(LAST_ID)).alias("id"), F.xxhash64(text).alias("tk"), text.alias("text"), F.col(id_).isNull().alias("missing"))
 
 
 def parts_for(rows: DataFrame) -> int:

@@ -106,6 +106,22 @@ def slices(batch: pa.RecordBatch, column: str, max_bytes: int = (2 << 20) - 64)
         at = end
 
 
+def windowed(batch: pa.RecordBatch, column: str, length: int, max_bytes: int = (2 << 20) - 64) -> Iterator[tuple[np.ndarray, int, np.ndarray, np.ndarray]]:
+    """As slices, but a text of more than max_bytes comes in stretches, each with the first length - 1 bytes of the next, so that
+    every run of `length` bytes begins in just one. Gives the rows of the batch, where the stretch begins in its text (0 for
+    whole texts), bytes and offsets."""
+    at = 0
+    for part, data, offs in slices(batch, column, max_bytes):
+        rows = np.arange(at, at + part.num_rows)
+        at += part.num_rows
+        if len(data) <= max_bytes or len(rows) > 1:
+            yield rows, 0, data, offs
+            continue
+        for base in range(0, len(data), max_bytes):
+            piece = data[base : base + max_bytes + length - 1]
+            yield rows, base, piece, np.array([0, len(piece)])
+
+
 def prefix_hash(data: np.ndarray) -> np.ndarray:
     """Running polynomial hash: len(data) + 1 values."""
     out = np.empty(len(data) + 1, np.uint64)

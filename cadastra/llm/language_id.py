@@ -8,7 +8,6 @@ position is labelled with that context on either side, whatever the text's lengt
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,7 +21,6 @@ from .quality_model import held_out
 from .recurrent import Net, train
 
 UNKNOWN = "und"
-_LETTER = re.compile(r"[^\W\d_]")
 
 
 def pooled(net: Net, data: np.ndarray, offs: np.ndarray, window: int, context: int, rows: int = 2048) -> np.ndarray:
@@ -81,7 +79,7 @@ def identify_languages(docs: DataFrame, id_: str = "doc_id", text: str = "text",
         for batch in batches:
             for part, data, offs in slices(batch, "text"):
                 whole = data.tobytes()
-                letters = [bool(_LETTER.search(whole[a:b].decode("utf-8", "replace"))) for a, b in zip(offs[:-1].tolist(), offs[1:].tolist(), strict=True)]
+                letters = [any(map(str.isalpha, whole[a:b].decode("utf-8", "replace"))) for a, b in zip(offs[:-1].tolist(), offs[1:].tolist(), strict=True)]
                 if langs:
                     p = pooled(shared.value, data, offs, window, context)
                     names = [langs[k] if ok else UNKNOWN for k, ok in zip(p.argmax(1), letters, strict=True)]

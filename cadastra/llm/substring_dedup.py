@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .anchors import LATER, LAST_ID, PACKED, TEXTS, combined, found_in, keyed, parts_for, positions
+from .anchors import LATER, PACKED, TEXTS, combined, found_in, keyed, parts_for, positions
 from .common import Words, long_window_hashes, slices, table
 
 PERIOD = 31
@@ -117,9 +117,8 @@ def substring_dedup(docs: DataFrame, id_: str = "doc_id", text: str = "text", wi
     later = later.join(classes, F.col("owner") == F.col("tk")).select(F.col("first").alias("id"), "tk", "pos", F.lit(False).alias("copy"))
     copies = rows.select("id", "tk").join(classes.where("first < last"), "tk").where("id > first").select("id", "tk").distinct()
     gone = later.unionByName(copies.select("id", "tk", F.expr("cast(null as binary)").alias("pos"), F.lit(True).alias("copy")))
-    out = rows.join(gone.hint("shuffle_hash"), ["id", "tk"], "left").select("id", "text", "pos", F.coalesce("copy", F.lit(False)).alias("copy"))
-    out = out.mapInArrow(_remove(window), "id long, n_words long, n_removed long, kept_sha256 string")
-    return out.withColumn("id", F.when(F.col("id") < LAST_ID, F.col("id")))
+    out = rows.join(gone.hint("shuffle_hash"), ["id", "tk"], "left").select(F.when(~F.col("missing"), F.col("id")).alias("id"), "text", "pos", F.coalesce("copy", F.lit(False)).alias("copy"))
+    return out.mapInArrow(_remove(window), "id long, n_words long, n_removed long, kept_sha256 string")
 
 
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

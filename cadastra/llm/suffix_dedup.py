@@ -22,8 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .anchors import LAST_ID, PACKED, PLACES, combined, found_in, keyed, parts_for, positions
-from .common import cut, mix, prefix_hash, signed, slices, span_hash, table
+from .anchors import PACKED, PLACES, combined, found_in, keyed, parts_for, positions
+from .common import cut, mix, prefix_hash, signed, slices, span_hash, table, windowed
 from .suffix_array import equal_neighbours, suffix_order
 
 GRAM = 32
@@ -67,47 +67,84 @@ def selections(data: np.ndarray, offs: np.ndarray, length: int) -> tuple[np.ndar
 def _anchors(length: int, parts: int):
     def postings(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
-            for part, data, offs in slices(batch, "text"):
+            owners = batch.column("tk").to_numpy()
+            for rows, base, data, offs in windowed(batch, "text", length):
                 first, _, _, h = selections(data, offs, length)
                 doc = np.searchsorted(offs, first, "right") - 1
-                owner = part.column("tk").to_numpy()[doc]
-                yield h, owner, first - offs[doc], owner
+                owner = owners[rows[doc]]
+                yield h, owner, first - offs[doc] + base, owner
 
     return lambda batches: combined(postings(batches), parts, PLACES)
 
 
-ITEMS = "tk long, start int, n int, hash long, at int, segment binary, sh long"
+ITEMS = "tk long, first int, last int, runs binary, n int, hash long, at int, segment binary, sh long"
+
+
+def start_runs(start: np.ndarray) -> np.ndarray:
+    """Rising starts as (first, step, count) rows: places that follow each other at one distance are one row."""
+    step = np.diff(start)
+    new = np.ones(len(start), bool)  # where a row begins: at a step unlike the one before, after which the next may be any
+    k = 1
+    while k < len(start):
+        same = np.flatnonzero(step[k - 1 :] != step[k - 1])
+        end = k - 1 + (int(same[0]) if len(same) else len(step) - k + 1)
+        new[k : end + 1] = False
+        k = end + 2
+    at = np.flatnonzero(new)
+    count = np.diff(np.append(at, len(start)))
+    return np.stack([start[at], np.where(count > 1, start[np.minimum(at + 1, len(start) - 1)] - start[at], 1), count], 1).astype(np.int32)
+
+
+def run_starts(runs: np.ndarray) -> np.ndarray:
+    first, step, count = runs.astype(np.int64).T
+    nth = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+    return np.repeat(first, count) + np.repeat(step, count) * nth
 
 
 def _segments(length: int):
+    """Each different segment of a text, or of a stretch of a long one, once, with the runs of places where it begins: a text of one
+    byte, or of a repeated phrase, gives as many as its period has bytes."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, data, offs in slices(batch, "text"):
+            owners, found = batch.column("tk").to_numpy(), batch.column("pos")
+            long_row, marks = -1, np.zeros(0, np.int64)
+            for rows, base, data, offs in windowed(batch, "text", length):
                 first, n, pick, h = selections(data, offs, length)
                 doc = np.searchsorted(offs, first, "right") - 1
                 keep = np.zeros(len(data) + 1, bool)
-                for d, found in enumerate(part.column("pos").to_pylist()):
-                    keep[positions(found) + offs[d]] = True
+                for d, row in enumerate(rows.tolist()):
+                    if row != long_row:
+                        long_row, marks = row, positions(found[row].as_py())
+                    inside = marks[np.searchsorted(marks, base) : np.searchsorted(marks, base + int(offs[d + 1] - offs[d]))]
+                    keep[inside - base + offs[d]] = True
                 yes = keep[first]
                 first, n, pick, h, doc = first[yes], n[yes], pick[yes], h[yes], doc[yes]
                 end = first + n - 1 + length
                 sh = signed(mix(span_hash(prefix_hash(data), first, end) ^ (pick - first).astype(np.uint64)))
+                order = np.lexsort((first, sh, doc))
+                new = np.ones(len(order), bool)
+                new[1:] = (sh[order][1:] != sh[order][:-1]) | (doc[order][1:] != doc[order][:-1])
+                at = np.flatnonzero(new)
+                ends = np.append(at[1:], len(order))
+                start = (first - offs[doc] + base)[order]
+                one = order[at]
                 whole = data.tobytes()
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(part.column("tk").to_numpy()[doc]), pa.array((first - offs[doc]).astype(np.int32)), pa.array(n.astype(np.int32)), pa.array(signed(h)),
-                        pa.array((pick - first).astype(np.int32)), pa.array([whole[a:b] for a, b in zip(first.tolist(), end.tolist(), strict=True)], pa.binary()), pa.array(sh),
-                    ],
-                    names=["tk", "start", "n", "hash", "at", "segment", "sh"],
-                )
+                for i in range(0, max(len(at), 1), 8192):
+                    some = slice(i, i + 8192)
+                    k = one[some]
+                    runs = [start_runs(start[a:b]).tobytes() for a, b in zip(at[some].tolist(), ends[some].tolist(), strict=True)]
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array(owners[rows[doc[k]]]), pa.array(start[at[some]].astype(np.int32)), pa.array(start[ends[some] - 1].astype(np.int32)), pa.array(runs, pa.binary()), pa.array(n[k].astype(np.int32)), pa.array(signed(h[k])),
+                            pa.array((pick[k] - first[k]).astype(np.int32)), pa.array([whole[a:b] for a, b in zip(first[k].tolist(), end[k].tolist(), strict=True)], pa.binary()), pa.array(sh[k]),
+                        ],
+                        names=["tk", "first", "last", "runs", "n", "hash", "at", "segment", "sh"],
+                    )
 
     return run
 
 
-def _pack_marks(marks: list[np.ndarray]) -> list[bytes]:
-    return [np.flatnonzero(m).astype(np.int32).tobytes() for m in marks]
-
-
 def _sort_part(length: int):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         """The repeated windows of different segments: their numbers, from each segment's start. Segments of different buckets
@@ -188,9 +225,12 @@ def _remove(length: int):
                         continue
                     edge = np.zeros(n + length + 1, np.int32)
                     for x in found or ():
-                        p = np.arange(x["n"]) if x["marks"] is None else np.frombuffer(x["marks"], np.int32)
-                        np.add.at(edge, p + x["start"], 1)
-                        np.add.at(edge, p + x["start"] + length, -1)
+                        p = np.arange(x["n"]) if x["marks"] is None else np.frombuffer(x["marks"], np.int32).astype(np.int64)
+                        starts = run_starts(np.frombuffer(x["runs"], np.int32).reshape(-1, 3)) + x["k"]
+                        short, long_ = (p, starts) if len(p) < len(starts) else (starts, p)
+                        for y in short.tolist():  # either has each value once
+                            edge[long_ + y] += 1
+                            edge[long_ + y + length] -= 1
                     gone = np.cumsum(edge)[:n] > 0
                     text = data[a:b][~gone].tobytes() if gone.any() else whole[a:b]
                     spans = int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum()) if n else 0
@@ -219,22 +259,21 @@ def suffix_dedup(docs: DataFrame, id_: str = "doc_id", text: str = "text", lengt
     # Rows that repeat the least id of their class would give their items twice; items are made distinct by segment below.
     items = rows.join(marks.hint("shuffle_hash"), ["id", "tk"]).select("tk", "text", "pos").mapInArrow(_segments(length), ITEMS)
     items = cut(items, "suffix-items")
-    segments = items.groupBy("hash", "sh").agg(*(F.first(c).alias(c) for c in ("segment", "n", "at")), F.min(F.struct("tk", "start")).alias("lo"), F.max(F.struct("tk", "start")).alias("hi"))
-    segments = cut(segments.select("hash", "sh", "segment", "n", "at", (F.col("lo") != F.col("hi")).alias("twice")), "suffix-segments")
+    segments = items.groupBy("hash", "sh").agg(*(F.first(c).alias(c) for c in ("segment", "n", "at")), F.min(F.struct("tk", "first")).alias("lo"), F.max(F.struct("tk", "last")).alias("hi"))
+    segments = cut(segments.select("hash", "sh", "segment", "n", "at", ((F.col("lo.tk") != F.col("hi.tk")) | (F.col("lo.first") != F.col("hi.last"))).alias("twice")), "suffix-segments")
     # Of segments that occur twice all windows repeat, known without sorting.
     partial = _repeats(segments, length, most_segments).join(segments.where("not twice").select("hash", "sh"), ["hash", "sh"], "left_semi")
     found = partial.unionByName(segments.where("twice").select("hash", "sh", F.lit(0).alias("k"), "n", F.lit(None).cast("binary").alias("marks")))
-    per_text = items.select("hash", "sh", "tk", "start").join(found, ["hash", "sh"])
-    per_text = per_text.groupBy("tk").agg(F.collect_list(F.struct((F.col("start") + F.col("k")).alias("start"), "n", "marks")).alias("found"))
+    per_text = items.select("hash", "sh", "tk", "runs").join(found, ["hash", "sh"])
+    per_text = per_text.groupBy("tk").agg(F.collect_list(F.struct("runs", "k", "n", "marks")).alias("found"))
     gone = classes.join(per_text, "tk", "left").where("copies OR found IS NOT NULL").select("tk", "found", "copies", F.col("id").alias("_id"))
     # Copies go whole or, if short, not at all, so only the one row of a class without copies needs what was found.
     keys = rows.select("id", "tk").join(gone.where("copies").select("tk"), "tk").select("id", "tk").distinct()
-    info = keys.select("id", "tk", F.lit(None).cast("array<struct<start:int,n:int,marks:binary>>").alias("found"), F.lit(True).alias("copies")).unionByName(
+    info = keys.select("id", "tk", F.lit(None).cast("array<struct<runs:binary,k:int,n:int,marks:binary>>").alias("found"), F.lit(True).alias("copies")).unionByName(
         gone.where("not copies").select(F.col("_id").alias("id"), "tk", "found", "copies")
     )
-    out = rows.join(info.hint("shuffle_hash"), ["id", "tk"], "left").select("id", "text", "found", F.coalesce("copies", F.lit(False)).alias("copies"))
-    out = out.mapInArrow(_remove(length), "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
-    return out.withColumn("id", F.when(F.col("id") < LAST_ID, F.col("id")))
+    out = rows.join(info.hint("shuffle_hash"), ["id", "tk"], "left").select(F.when(~F.col("missing"), F.col("id")).alias("id"), "text", "found", F.coalesce("copies", F.lit(False)).alias("copies"))
+    return out.mapInArrow(_remove(length), "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
