@@ -165,8 +165,7 @@ def json_leaves(df: DataFrame, key: str, text: str, depth: int = 4) -> DataFrame
         nested = F.schema_of_variant("v").rlike("^(OBJECT|ARRAY)")
         done = level.where(~nested).select(key, "path", F.expr("cast(v as string)").alias("value"))
         leaves = done if leaves is None else leaves.unionByName(done)
-        level.where(nested).createOrReplaceTempView("_level")
-        level = level.sparkSession.sql(f"SELECT {key}, concat(path, '.', coalesce(x.key, cast(x.pos as string))) AS path, x.value AS v FROM _level, LATERAL variant_explode(v) x")
+        level = level.sparkSession.sql(f"SELECT {key}, concat(path, '.', coalesce(x.key, cast(x.pos as string))) AS path, x.value AS v FROM {{level}}, LATERAL variant_explode(v) x", level=level.where(nested))
     return leaves.unionByName(level.select(key, "path", F.to_json("v").alias("value")))
 
 

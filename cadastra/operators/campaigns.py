@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from cadastra.functions import scalars as S
 
+from .quantiles import least_of
+
 
 @dataclass(frozen=True)
 class City:
@@ -29,9 +31,9 @@ def rollup(files: DataFrame) -> DataFrame:
     out = named.groupBy("campaign_group").agg(
         F.count("*").alias("tile_count"), F.sum("size_bytes").alias("bytes"), F.count_if("on_disk").alias("on_disk_count"),
         F.bool_or(F.lower("filename").endswith(".laz")).alias("has_laz"), F.round(100.0 * F.count_if("has_box") / F.count("*"), 1).alias("bbox_percent"),
-        F.array_sort(F.collect_set("publication_date")).alias("dates"), F.slice(F.array_sort(F.collect_set("filename")), 1, 3).alias("samples"), F.min("title").alias("title"),
+        F.array_sort(F.collect_set("publication_date")).alias("dates"), F.min("title").alias("title"),
     )
-    return out.join(prefixes, "campaign_group")
+    return out.join(prefixes, "campaign_group").join(least_of(named, "campaign_group", "filename"), "campaign_group", "left")
 
 
 def _rules(city: City) -> list[tuple[Column, Column, Column]]:

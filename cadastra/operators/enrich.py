@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from cadastra.functions import scalars as S
 
+from .quantiles import exact_quantiles
 from .spatial_join import nearest_join, radius_join
 
 
@@ -28,10 +29,12 @@ def shifted(df: DataFrame, x: str, y: str, dx: float, dy: float) -> DataFrame:
     return df.withColumns({x: F.col(x) - dx, y: F.col(y) - dy})
 
 
-def match_report(matched: DataFrame, address: str = "address_id", dist: str = "address_dist") -> DataFrame:
-    """One row: structures, matched, percent, distance percentiles 50, 90 and 99, and the five addresses with the most structures
-    (a report)."""
-    totals = matched.agg(F.count("*").alias("n"), F.count(address).alias("n_matched"), F.percentile(dist, F.array(*map(F.lit, (0.5, 0.9, 0.99)))).alias("percentiles"))
+def match_report(matched: DataFrame, cut, address: str = "address_id", dist: str = "address_dist") -> DataFrame:
+    """One row: structures, matched, percent, distance percentiles 50, 90 and 99 (null without any), and the five addresses with the most
+    structures (a report). Percentiles are exact, by selection; cut writes what its passes read."""
+    matched = cut(matched.select(address, dist), "matched")
+    spread = exact_quantiles(matched, [], dist, (0.5, 0.9, 0.99), cut).agg(F.first("quantiles").alias("percentiles"))
+    totals = matched.agg(F.count("*").alias("n"), F.count(address).alias("n_matched")).join(F.broadcast(spread))  # one row each
     twice = matched.where(F.col(address).isNotNull()).groupBy(address).agg(F.count("*").alias("n")).where("n > 1").orderBy(F.desc("n"), address).limit(5)
     top = twice.agg(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("minus_n"), F.col(address).alias("id")))).alias("repeated"))
     return totals.join(F.broadcast(top)).withColumn("percent", F.round(100.0 * F.col("n_matched") / F.greatest(F.lit(1), F.col("n")), 4))  # one row each

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from .quantiles import exact_quantiles
+
+Cut = Callable[[DataFrame, str], DataFrame]
 NULL_LIKE = ("null", "none", "nan", "n/a", "na", "undefined")
 
 
@@ -34,13 +39,22 @@ def _examples(v: Column, n: int = 3) -> Column:
     return F.slice(F.array_distinct(F.array_compact(F.array(F.min(v), F.max(v), F.min_by(v, F.xxhash64(v))))), 1, n)
 
 
-def distributions(df: DataFrame, columns: list[str], percents=(0.01, 0.05, 0.25, 0.5, 0.75, 0.95, 0.99), approx: bool = False) -> DataFrame:
+def distributions(df: DataFrame, columns: list[str], percents=(0.01, 0.05, 0.25, 0.5, 0.75, 0.95, 0.99), approx: bool = False, cut: Cut | None = None) -> DataFrame:
     """Per numeric field: finite values' count, min, max, mean, population deviation, percentiles; zero, negative and
-    non-finite counts. approx takes approximate percentiles, for groups whose different values exceed a task's memory."""
+    non-finite counts. With cut percentiles are found by selection, exact whatever a field's size; without it a field's different values meet
+    in one task, unless approx takes approximate ones."""
     v = F.col("value")
     odd = F.isnan(v) | (F.abs(v) == float("inf"))
     good = F.when(~odd, v)
     q = F.percentile_approx(good, list(percents), 10_000) if approx else F.percentile(good, F.array(*map(F.lit, percents)))
+    if cut:
+        rows = cut(long_form(df, columns, "double"), "distributions")
+        exact = exact_quantiles(rows, ["field"], "value", percents, cut).select("field", F.col("quantiles").alias("percentiles"))
+        plain = rows.groupBy("field").agg(
+            F.count(good).alias("n"), F.min(good).alias("min"), F.max(good).alias("max"), F.avg(good).alias("mean"), F.stddev_pop(good).alias("std"),
+            F.count_if(v == 0).alias("n_zero"), F.count_if(v < 0).alias("n_negative"), F.count_if(odd).alias("n_not_finite"),
+        )
+        return plain.join(exact, "field", "left")
     return long_form(df, columns, "double").groupBy("field").agg(
         F.count(good).alias("n"), F.min(good).alias("min"), F.max(good).alias("max"), F.avg(good).alias("mean"), F.stddev_pop(good).alias("std"), q.alias("percentiles"),
         F.count_if(v == 0).alias("n_zero"), F.count_if(v < 0).alias("n_negative"), F.count_if(odd).alias("n_not_finite"),
@@ -67,11 +81,15 @@ def categories(df: DataFrame, column: str, top: int = 10, vocabulary: list[str]
     return best.select("value", "n", F.row_number().over(W.orderBy(F.desc("n"), F.col("value").asc_nulls_last())).alias("rank"), (F.col("n") == 1).alias("rare"), F.coalesce(known, F.lit(False)).alias("known"))
 
 
-def outliers(df: DataFrame, key: str, columns: list[str], factor: float = 3.0, least: int = 4) -> DataFrame:
-    """(key, field, value, low, high) of values beyond factor times the quartile range; fields need `least` values and a range."""
+def outliers(df: DataFrame, key: str, columns: list[str], factor: float = 3.0, least: int = 4, cut: Cut | None = None) -> DataFrame:
+    """(key, field, value, low, high) of values beyond factor times the quartile range; fields need `least` values and a range. With cut
+    quartiles are those of finite values, found by selection; without it a field's different values meet in one task."""
     pairs = F.array(*(F.struct(F.lit(c).alias("field"), F.col(c).cast("double").alias("value")) for c in columns))
     v = df.select(key, F.explode(pairs).alias("p")).select(key, "p.*").where(F.col("value").isNotNull() & ~F.isnan("value"))
-    q = v.groupBy("field").agg(F.percentile("value", F.array(F.lit(0.25), F.lit(0.75))).alias("q"), F.count("*").alias("n"))
+    if cut:
+        q = exact_quantiles(v, ["field"], "value", (0.25, 0.75), cut).withColumnRenamed("quantiles", "q")
+    else:
+        q = v.groupBy("field").agg(F.percentile("value", F.array(F.lit(0.25), F.lit(0.75))).alias("q"), F.count("*").alias("n"))
     q = q.select("field", "n", F.col("q")[0].alias("q1"), F.col("q")[1].alias("q3")).where((F.col("n") >= least) & (F.col("q3") > F.col("q1")))
     q = q.select("field", (F.col("q1") - factor * (F.col("q3") - F.col("q1"))).alias("low"), (F.col("q3") + factor * (F.col("q3") - F.col("q1"))).alias("high"))
     return v.join(F.broadcast(q), "field").where((F.col("value") < F.col("low")) | (F.col("value") > F.col("high"))).select(key, "field", "value", "low", "high")  # one row a field
@@ -80,10 +98,9 @@ def outliers(df: DataFrame, key: str, columns: list[str], factor: float = 3.0, l
 def summary(findings: DataFrame, dimensions: list[str]) -> DataFrame:
     """(dimension, value, n, n_buildings) for every dimension in one pass over grouping sets."""
     sets = ", ".join(f"({d})" for d in dimensions)
-    findings.createOrReplaceTempView("_findings")
     name = "CASE " + " ".join(f"WHEN grouping({d}) = 0 THEN '{d}'" for d in dimensions) + " END"
     value = f"CAST(coalesce({', '.join(f'CAST({d} AS STRING)' for d in dimensions)}) AS STRING)"
-    return findings.sparkSession.sql(f"SELECT {name} AS dimension, {value} AS value, count(*) AS n, count(DISTINCT building_id) AS n_buildings FROM _findings GROUP BY GROUPING SETS ({sets})")
+    return findings.sparkSession.sql(f"SELECT {name} AS dimension, {value} AS value, count(*) AS n, count(DISTINCT building_id) AS n_buildings FROM {{findings}} GROUP BY GROUPING SETS ({sets})", findings=findings)
 
 
 def id_comparison(left: DataFrame, right: DataFrame, id_: str) -> DataFrame:

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from cadastra.functions import scalars as S
 
+from .quantiles import least_of
+
 
 def near_city(box: Column, city: Column, margin: float = 5.0) -> Column:
     """struct<ok, reason>: whether the centre of a box is within `margin` degrees of the city's; null boxes aren't."""
@@ -142,8 +144,9 @@ def footprint_sources(footprints: DataFrame) -> DataFrame:
     tile = per.groupBy("city_id", "tile_id").agg(F.min_by("method", F.struct((-F.col("n")).alias("n"), "method")).alias("mode"), F.sum("n").alias("n"), F.sum("n_null").alias("n_null"))
     mode = tile.groupBy("city_id", "mode").agg(F.count("*").alias("t")).groupBy("city_id").agg(F.min_by("mode", F.struct((-F.col("t")).alias("t"), "mode")).alias("mode"))
     empty = F.when(F.col("n") == F.col("n_null"), F.col("tile_id"))
-    g = tile.groupBy("city_id").agg(F.count("*").alias("n_tiles"), F.sum("n").alias("n_footprints"), F.sum("n_null").alias("n_without_box"), F.slice(F.array_sort(F.collect_set(empty)), 1, 3).alias("samples"))
-    return g.join(mode, "city_id")
+    g = tile.groupBy("city_id").agg(F.count("*").alias("n_tiles"), F.sum("n").alias("n_footprints"), F.sum("n_null").alias("n_without_box"))
+    samples = least_of(tile.withColumn("_empty", empty), "city_id", "_empty")
+    return g.join(mode, "city_id").join(samples, "city_id", "left").withColumn("samples", F.coalesce("samples", F.array().cast("array<string>")))
 
 
 def city_audit(raw: DataFrame, expected: DataFrame, structures: DataFrame, addresses: DataFrame) -> DataFrame:

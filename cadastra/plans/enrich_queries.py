@@ -36,7 +36,7 @@ def j5_addressed_locally(spark, sf_dir):
 SELECT (SELECT count(*) FROM b) AS n, count(*) AS n_matched, round(100.0 * count(*) / (SELECT count(*) FROM b), 4) AS percent, round(quantile_cont(d, 0.9), 6) AS p90, (SELECT string_agg(CAST(address_id AS VARCHAR), ',' ORDER BY n DESC, address_id) FROM t) AS repeated FROM m""")
 def a38_match_report(spark, sf_dir):
     """Coverage, distances and addresses used more than once (a top-5 report)."""
-    r = E.match_report(_addressed(spark, sf_dir))
+    r = E.match_report(_addressed(spark, sf_dir), cut)
     return r.select("n", "n_matched", "percent", F.round(F.col("percentiles")[1], 6).alias("p90"), F.nullif(F.array_join(F.transform("repeated", lambda x: x["id"].cast("string")), ","), F.lit("")).alias("repeated"))
 
 

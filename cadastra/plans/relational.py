@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from cadastra.operators import profile as P
 
+from .clusters import cut
 from .derived import addresses, footprints, points, read, tiles
 from .registry import query
 
@@ -87,7 +88,7 @@ def a21_completeness(spark, sf_dir):
 @query(" UNION ALL ".join(f"SELECT '{c}' AS field, count({c}) AS n, CAST(min({c}) AS DOUBLE) AS min, CAST(max({c}) AS DOUBLE) AS max, round(avg({c}), 4) AS mean, round(stddev_pop({c}), 4) AS std, round(quantile_cont({c}, 0.25), 4) AS q25, round(quantile_cont({c}, 0.99), 4) AS q99, CAST(count_if({c} < 0) AS BIGINT) AS n_negative FROM customer" for c in ("c_acctbal", "c_nationkey")))
 def a22_distributions(spark, sf_dir):
     """A22, A28, A39."""
-    d = P.distributions(read(spark, sf_dir, "customer"), ["c_acctbal", "c_nationkey"])
+    d = P.distributions(read(spark, sf_dir, "customer"), ["c_acctbal", "c_nationkey"], cut=cut)
     return d.select("field", "n", "min", "max", F.round("mean", 4).alias("mean"), F.round("std", 4).alias("std"), F.round(F.col("percentiles")[2], 4).alias("q25"), F.round(F.col("percentiles")[6], 4).alias("q99"), "n_negative")
 
 
@@ -112,7 +113,7 @@ def a25_findings_summary(spark, sf_dir):
 @query("""WITH q AS (SELECT quantile_cont(o_totalprice, 0.25) AS q1, quantile_cont(o_totalprice, 0.75) AS q3 FROM orders)
 SELECT o_orderkey, 'o_totalprice' AS field, o_totalprice AS value FROM orders, q WHERE o_totalprice < q1 - 0.3 * (q3 - q1) OR o_totalprice > q3 + 0.3 * (q3 - q1)""")
 def w8_outliers(spark, sf_dir):
-    return P.outliers(read(spark, sf_dir, "orders"), "o_orderkey", ["o_totalprice"], 0.3).select("o_orderkey", "field", "value")
+    return P.outliers(read(spark, sf_dir, "orders"), "o_orderkey", ["o_totalprice"], 0.3, cut=cut).select("o_orderkey", "field", "value")
 
 
 @query("""WITH a AS (SELECT o_orderkey AS k FROM orders), b AS (SELECT l_orderkey AS k, count(*) AS c FROM lineitem GROUP BY 1)
