@@ -29,6 +29,7 @@ ALIASES = {
     },
     "glazing": {"curtain wall": "curtain_wall", "glass curtain wall": "curtain_wall", "mostly glass": "high", "minimal": "low", "medium": "moderate"},
 }
+#: Observations that name a material, finishes, homes, and standings, the weakest first.
 DIRECT = {
     "envelope": ("material", "material_class", "envelope_material", "facade_material", "exterior_material"), "roof": ("material", "material_class", "roof_material", "roof_cover"),
     "glazing": ("material", "material_class", "glazing_character"),
@@ -134,7 +135,8 @@ def _from_context(clues: DataFrame, buildings: DataFrame) -> DataFrame:
     flat = (geometry == "flat") & high & F.col("sheet").isNotNull()
     support = 0.42 * F.least(F.coalesce("shape.c", sure), sure, F.col("sheet"))
     seen = F.transform(F.filter("shapes", lambda s: s["v"] == F.col("shape.v")), lambda s: s["i"])
-    refs = F.concat(F.when(F.col("shape").isNotNull(), seen).otherwise(F.array(F.lit("building_metadata:roof_geometry_class"))), F.col("sheet_refs"))
+    tall = F.array_compact(F.array(F.when(F.col("height_m").isNotNull(), "building_metadata:height_m"), F.when(F.col("floors_est").isNotNull(), "building_metadata:floors_est")))
+    refs = F.concat(F.when(F.col("shape").isNotNull(), seen).otherwise(F.array(F.lit("building_metadata:roof_geometry_class"))), tall, F.col("sheet_refs"))
     row = lambda surface, material, score, holds, r: F.when(holds, F.struct(F.lit(surface).alias("surface_type"), _part(material, score, "inferred", None, r).alias("p")))
     own = F.array(F.lit("building_metadata:building_use"), F.lit("building_metadata:floors_est"))
     each = F.array(row("envelope", "stucco", 0.16 * sure, home, own), *(row("roof", m, support * k, flat, refs) for m, k in (("membrane", 1.0), ("gravel", 0.5), ("concrete", 0.4))))

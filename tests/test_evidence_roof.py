@@ -1,3 +1,6 @@
+import hashlib
+import json
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -6,21 +9,60 @@ from cadastra.operators import evidence as E
 from cadastra.operators import materials as M
 from cadastra.operators import roof as R
 
-EVIDENCE = "evidence_id string, building_id string, surface_type string, observation_type string, value string, source_type string, confidence double, provenance_status string"
+RECORD = "evidence_id string, building_id string, building_id_namespace string, source_type string, observed_at string, confidence double, provenance_status string, evidence string"
+
+
+def token(value):
+    return hashlib.sha256(json.dumps(value, sort_keys=True, separators=(",", ":")).encode()).hexdigest()[:16]
+
+
+def record(key, building, source, evidence, confidence=1.0, status="observed", namespace="city:parcels", at="2024-05-01T10:00:00Z"):
+    return (key, building, namespace, source, at, confidence, status, evidence if isinstance(evidence, str) else json.dumps(evidence))
+
 
+RECORDS = [
+    record("1", "b1", "osm_tags", {"tags": {"building:material": " Brick_Veneer ", "roof:material": "metal", "building:levels": "3", "building": "", "facade:material": "jelly"}}),
+    record("2", "b1", "municipal_record", {"documented_roof_material": "Built-Up", "construction_year": 1925, "zoning_class": "R\u00e9-1"}, 0.95),
+    record("3", "b2", "historic_inventory", {"documented_facade_material": "concrete", "construction_era": "deco"}, 0.5, "inferred"),
+    record("4", "b2", "licensed_imagery", {"glazing_ratio": 0.8, "material_probabilities": [{"surface_type": "roof", "material": "gravel", "probability": 0.6}, {"surface_type": "glazing", "material": "lots", "probability": 0.9}], "model_metadata": {"model_name": "m", "model_version": "2"}}, 0.9),
+    record("5", "zz", "generic", {"generic_clues": [{"observation_type": "surface_finish", "surface_type": "envelope", "value": "smooth", "clue_source_type": "lidar", "confidence": 0.7, "provenance_status": "observed"}, {"observation_type": "roof_cover", "surface_type": "roof", "value": 7, "unit": "pct", "clue_source_type": "field_visit", "confidence": 0.99, "provenance_status": "observed", "quality_flags": ["x"]}]}),
+    record("6", "b3", "municipal_record", {"documented_roof_material": "tile"}, 0.9, "unknown"),
+]
 
-def test_profiles(spark):
-    rows = [
-        ("1", "b1", "facade", "material", " Brickwork ", "municipal", 0.99, "authoritative"), ("2", "b1", "facade", "material", "glass", "imagery", 0.3, "observed"),
-        ("3", "b2", "facade", "glazing_ratio", "0.8", "street_view", 0.9, None), ("4", "zz", "roof", "material", "tar", "permit", None, "observed"), ("5", "b3", "roof", "material", "", "permit", 0.5, "observed"),
+
+def test_five_kinds_of_records(spark):
+    found = {r["clue_id"]: r for r in E.clues(spark.createDataFrame(RECORDS, RECORD)).collect()}
+    of = lambda key, suffix, value: found[f"{key}:{suffix}:{token(value)}"]
+    want = [
+        (("1", "building_material", "brick"), "envelope_material", "brick", "building_inventory", 0.65, "record_derived"), (("1", "roof_material", "standing_seam_metal"), "roof_material", "standing_seam_metal", "building_inventory", 0.65, "record_derived"),
+        (("1", "facade_material", "jelly"), "unmapped_facade_material", "jelly", "building_inventory", 0.0, "unknown"), (("1", "building_levels", "3"), "building_levels", "3", "building_inventory", 0.65, "record_derived"),
+        (("2", "documented_roof_material", "membrane"), "roof_material", "membrane", "municipal_record", 0.9, "record_derived"), (("2", "construction_year", 1925), "construction_year", "1925", "municipal_record", 0.9, "record_derived"),
+        (("2", "zoning_class", "Ré-1"), "zoning_class", "Ré-1", "zoning", 0.9, "record_derived"), (("3", "documented_facade_material", "generic_masonry"), "envelope_material", "generic_masonry", "building_inventory", 0.5, "inferred"),
+        (("3", "construction_era", "deco"), "construction_era", "deco", "building_inventory", 0.5, "inferred"), (("4", "glazing_ratio", 0.8), "glazing_ratio", "0.8", "aerial_imagery", 0.75, "inferred"),
+        (("4", f"material_probability_roof_{token('gravel')}", "gravel"), "roof_material", "gravel", "aerial_imagery", 0.6, "inferred"), (("4", f"material_probability_glazing_{token('lots')}", "lots"), "unmapped_material_probability", "lots", "aerial_imagery", 0.0, "unknown"),
+        (("5", "generic_surface_finish", "smooth"), "surface_finish", "smooth", "lidar", 0.7, "inferred"), (("5", "generic_roof_cover", 7), "roof_cover", "7", "field_visit", 0.9, "observed"),
+        (("6", "documented_roof_material", "tile"), "roof_material", "tile", "municipal_record", 0.0, "unknown"),
     ]
-    buildings = spark.createDataFrame([("b1", "residential", 8.0), ("b2", "office", 60.0), ("b3", None, None)], "building_id string, building_use string, height_m double")
-    clues = E.clues(spark.createDataFrame(rows, EVIDENCE))
-    found = {r["clue_id"]: r for r in clues.collect()}
-    assert found["municipal:1"]["value"] == "brick" and found["municipal:1"]["confidence"] == 0.95 and found["imagery:2"]["provenance_status"] == "observed"
-    assert "permit:5" not in found and found["street_view:3"]["provenance_status"] == "unknown"
-    assert [(r["clue_id"], r["error"]) for r in E.clue_errors(clues, buildings).collect()] == [("permit:4", "orphan")]
-    assert E.clue_errors(clues.unionByName(clues), buildings).where("error = 'duplicate'").count() == 4
+    assert [tuple(of(*key)[c] for c in ("observation_type", "value", "source_type", "confidence", "provenance_status")) for key, *_ in want] == [tuple(rest) for _, *rest in want] and len(found) == len(want)
+    assert of("3", "documented_facade_material", "generic_masonry")["quality_flags"] == ["generalized_concrete_to_masonry", "normalized_from:documented_facade_material"]
+    assert of("4", "glazing_ratio", 0.8)["quality_flags"] == ["model_name:m", "model_version:2"] and of("5", "generic_roof_cover", 7)["unit"] == "pct"
+
+
+def test_records_to_candidates(spark):
+    """M1 to M3 in a chain: what a record names weighs as its source allows."""
+    clues = E.clues(spark.createDataFrame(RECORDS, RECORD))
+    buildings = spark.createDataFrame([("b1", "residential", 8.0, 2, None, None, None, None), ("b2", "office", 60.0, 15, None, None, None, None), ("b3", *[None] * 7)], BUILDING)
+    best = {(r["building_id"], r["surface_type"]): (r["material"], r["confidence"], r["status"]) for r in M.candidates(M.contributions(clues, buildings)).where("rank = 1").collect()}
+    assert best["b1", "envelope"] == ("brick", round(0.95 * 0.65, 4), "record_derived") and best["b1", "roof"] == ("membrane", round(0.95 * 0.9, 4), "record_derived")
+    assert best["b2", "envelope"] == ("generic_masonry", 0.325, "inferred") and best["b2", "roof"] == ("gravel", round(0.65 * 0.6, 4), "inferred") and best["b2", "glazing"][0] == "curtain_wall" and ("b3", "roof") not in best
+    assert [(r["building_id"], r["error"]) for r in E.clue_errors(clues, buildings).join(clues, "clue_id").distinct().collect()] == [("zz", "orphan")] * 2
+    assert E.clue_errors(clues.unionByName(clues), buildings).where("error = 'duplicate'").count() == clues.count()
+
+
+def test_record_errors(spark):
+    bad = [record("7", "b", "rumour", {}), record("8", "b", "osm_tags", {"tags": {}}), record("9", "b", "osm_tags", "{no json", namespace="parcels"), record("10", "b", "generic", {"generic_clues": []}, namespace="CID:x", at="yesterday"), RECORDS[0]]
+    got = sorted(tuple(r) for r in E.record_errors(spark.createDataFrame([*RECORDS, *bad], RECORD)).collect())
+    assert got == sorted([("7", "unsupported_source"), ("8", "no_clue"), ("9", "no_clue"), ("9", "unqualified_namespace"), ("10", "no_clue"), ("10", "prohibited_authority"), ("10", "bad_timestamp"), ("1", "duplicate")])
 
 
 CLUE = "clue_id string, building_id string, surface_type string, observation_type string, value string, unit string, source_type string, confidence double, provenance_status string"
@@ -33,8 +75,8 @@ def ranked(spark, clues, *buildings):
 
 
 def test_materials_by_rule(spark):
-    record = ("municipal_record", "observed", 0.9)
-    known = ("b1", "residential", 40.0, 3, None, None, None, record)
+    source = ("municipal_record", "observed", 0.9)
+    known = ("b1", "residential", 40.0, 3, None, None, None, source)
     out = ranked(spark, [("c1", "b1", "envelope", "material", "Brick", None, "municipal_record", 0.95, "observed")], known)
     assert out["b1", "envelope"][0] == ("brick", 0.9025, "record_derived") and out["b1", "envelope"][1][0] == "generic_masonry"
     flat = [("r1", "b1", "roof", "roof_geometry", "flat", None, "lidar", 0.9, "inferred"), ("r2", "b1", "roof", "roof_surface_character", "continuous", None, "aerial_imagery", 0.7, "inferred")]
@@ -47,7 +89,7 @@ def test_materials_by_rule(spark):
     glass = ranked(spark, [("g1", "b1", "glazing", "glazing_ratio", "80", "percent", "street_view", 1.0, "observed"), ("g2", "b1", "glazing", "glazing_ratio", "180", "percent", "street_view", 1.0, "observed")], known)
     assert glass["b1", "glazing"] == [("curtain_wall", 0.72, "inferred"), ("high", 0.216, "inferred")]
     assert ranked(spark, [("u", "b1", "roof", "roof_cover", "built up", None, "permit", 0.9, "unknown")], known) == {}
-    assert ranked(spark, [], ("b2", None, None, None, None, "CMU", "clay tile", record)) == {("b2", "envelope"): [("generic_masonry", 0.855, "record_derived")], ("b2", "roof"): [("tile", 0.855, "record_derived")]}
+    assert ranked(spark, [], ("b2", None, None, None, None, "CMU", "clay tile", source)) == {("b2", "envelope"): [("generic_masonry", 0.855, "record_derived")], ("b2", "roof"): [("tile", 0.855, "record_derived")]}
 
 
 def test_openings(spark):
