@@ -30,7 +30,7 @@ class Encoder:
     end too, so their ids joined are the ids of the text. Words met lately are remembered, short ones only, in two generations of
     about `most`: when the younger is full it becomes the older, and words that are met again move up."""
 
-    def __init__(self, json: str, most: int = 500_000):
+    def __init__(self, json: str, most: int = 800_000):
         from tokenizers import Tokenizer
 
         self.tokenizer, self.most, self.known, self.older = Tokenizer.from_str(json), most, {}, {}
