@@ -8,6 +8,7 @@ from cadastra.functions import overlay as O
 from cadastra.operators import boundary as B
 from cadastra.operators import cover as C
 from cadastra.operators import polygons as P
+from cadastra.plans.clusters import cut
 
 RINGS = "array<array<struct<x:double,y:double>>>"
 L = [(0.0, 0.0), (10.0, 0.0), (10.0, 5.0), (5.0, 5.0), (5.0, 10.0), (0.0, 10.0)]
@@ -169,3 +170,13 @@ def test_dissolve(spark):
 def test_buffered_column(spark):
     rows = P.buffered(frame(spark, [(1, [[(0, 0), (8, 0), (8, 4), (0, 4)]]), (2, [[(0, 0), (0.5, 0), (0.5, 9), (0, 9)]]), (3, None)]), -0.5)
     assert {r["id"]: r["a"] for r in rows.select("id", F.when(F.size("polygons") > 0, P.polygon_area(F.col("polygons")[0])).alias("a")).collect()} == {1: 21.0, 2: None, 3: None}
+
+
+def test_blocks(spark):
+    """Three neighbours, one apart, one without a polygon, one that stands in another's yard; areas by hand (arcs are chords)."""
+    square = lambda x, y, w: [[(x, y), (x + w, y), (x + w, y + w), (x, y + w)]]
+    rows = [(1, 10.0, square(0, 0, 4)), (2, 20.0, square(6, 0, 4)), (3, 30.0, square(12, 0, 4)), (4, 7.0, square(100, 100, 4)), (5, 1.0, None), (6, 5.0, square(300, 0, 40)), (7, 9.0, square(320, 20, 1))]
+    df = spark.createDataFrame([(k, h, [[(float(x), float(y)) for x, y in r] for r in rings] if rings else None) for k, h, rings in rows], f"id int, h double, rings {RINGS}")
+    got = {r["block_id"]: r for r in P.building_blocks(df, "id", "h", 2.0, cut).collect()}
+    assert {k: (r["n"], r["height_max"], r["height_p90"], r["height_median"]) for k, r in got.items()} == {1: (3, 30.0, 28.0, 20.0), 4: (1, 7.0, 7.0, 7.0), 6: (2, 9.0, 8.6, 7.0)}
+    assert abs(got[4]["area_m2"] - (32 + np.pi)) < 0.1 and abs(got[6]["area_m2"] - (1760 + np.pi)) < 0.1 and 18 * 6 - 4 < got[1]["area_m2"] < 18 * 6
