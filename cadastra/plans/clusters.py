@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -15,9 +17,12 @@ def cut(df, label: str):
     """checkpoint() in the session's shared folder, which is set here only where none is named."""
     sc = df.sparkSession.sparkContext
     if not sc.getCheckpointDir():
-        import tempfile
-
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="spark-", dir="/tmp"))
+        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not folder:
+            if not sc.master.startswith("local"):
+                raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
+            folder = "file://" + tempfile.mkdtemp(prefix="spark-", dir="/tmp")
+        sc.setCheckpointDir(folder)
     return df.checkpoint()
 
 
