@@ -7,7 +7,8 @@ secret_scan        secrets in texts become <secret>; n_chars follows
 mixing             documents that the mix takes, with the words and copies it takes of each
 
 Rows without an id stay in ngram_join and decontamination, and are mixed like others. Of near copies that share the least id
-one row stays. Null texts are rejected by the first stage. Extra columns are carried along, except where they have the names of columns that a stage adds.
+one row stays. Null texts are rejected by the first stage. Extra columns are carried along, except where they have the names of columns that a stage adds
+or works with (_row is overwritten by row numbers, _blob is lost).
 """
 
 from __future__ import annotations
