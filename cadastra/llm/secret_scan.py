@@ -110,7 +110,7 @@ def findings(docs: DataFrame, ledger: str, rules=RULES, text: str = "text") -> D
     """docs with n_<kind> for each rule, and spans: an array of (start, order of the rule, end, kind), by start and rule.
 
     Rows with equal texts get equal findings; null and empty texts have none. Columns of docs with these names are
-    replaced."""
+    replaced, and one named _blob is lost."""
     names = [f"n_{r.kind}" for r in rules] + ["spans"]
     current = read_ledger(docs.sparkSession, ledger).where(F.size("spans") > 0).where(
         F.concat_ws(":", "rule", "version").isin([f"{r.kind}:{r.version}" for r in rules])

@@ -38,7 +38,7 @@ def canonical(url: F.Column) -> tuple[F.Column, F.Column]:
 
 
 def url_filter(pages: DataFrame, rules: DataFrame, url: str = "url", max_blocks: int = MOST_BLOCKS) -> DataFrame:
-    """Rows of pages with host, path, rule and verdict; other columns of those names are replaced.
+    """Rows of pages with host, path, rule and verdict; other columns of those names are replaced, and one named _apart is lost.
 
     rules: host, path, action. Null or malformed URLs have empty host and path, no rule and verdict allow, as have all
     URLs that no rule fits. Repeated rows stay; empty inputs give empty results; no rules, all allow."""
