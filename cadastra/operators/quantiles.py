@@ -15,9 +15,10 @@ from pyspark.sql import functions as F
 _OCTAVES = 1100
 
 
-def exact_quantiles(df: DataFrame, keys: list[str], value: str, percents: list[float] | tuple[float, ...], cut: Callable[[DataFrame, str], DataFrame], bins: int = 4096) -> DataFrame:
+def exact_quantiles(df: DataFrame, keys: list[str], value: str, percents: list[float] | tuple[float, ...], cut: Callable[[DataFrame, str], DataFrame], bins: int = 4096, few: int = 1000) -> DataFrame:
     """(keys, n, quantiles) with the quantiles of each group's finite values in the order of percents, interpolated between the two
-    nearest ranks, as percentile() gives them. Groups without finite values have no row; keys may be null. cut writes a
+    nearest ranks, as percentile() gives them. Groups without finite values have no row; keys may be null. Ranges of `few` values
+    are read out in order. cut writes a
     DataFrame and gives it back without its lineage."""
     key = F.struct(*keys) if keys else F.struct(F.lit(0).alias("_all"))
     v = df.select(F.to_json(key, {"ignoreNullFields": "false"}).alias("_k"), key.alias("_key"), F.col(value).cast("double").alias("_v"))
@@ -25,25 +26,28 @@ def exact_quantiles(df: DataFrame, keys: list[str], value: str, percents: list[f
     groups = cut(v.groupBy("_k").agg(F.first("_key").alias("_key"), F.count("*").alias("n"), F.min("_v").alias("lo"), F.max("_v").alias("hi")), "quantile-groups")
     at = lambda p: (F.col("n") - 1) * F.lit(float(p))
     ranks = F.array_distinct(F.flatten(F.array(*(F.array(F.floor(at(p)), F.ceil(at(p))) for p in percents))))
-    open_ = groups.select("_k", F.explode(ranks).alias("rank"), F.lit(0).cast("long").alias("before"), "lo", "hi")
+    open_ = groups.select("_k", F.explode(ranks).alias("rank"), F.lit(0).cast("long").alias("before"), "lo", "hi", F.col("n").alias("m"))
     values = v.select("_k", "_v")
     done = []
     while True:
         open_ = cut(open_, "quantile-ranges")
         done.append(open_.where("lo = hi").select("_k", "rank", F.col("lo").alias("value")))
-        wide = open_.where("lo < hi")
+        small = open_.where(f"lo < hi AND m <= {few}")
+        held = values.join(small.select("_k", "lo", "hi").distinct(), "_k").where("_v BETWEEN lo AND hi").groupBy("_k", "lo", "hi").agg(F.sort_array(F.collect_list("_v")).alias("all"))
+        done.append(small.join(held, ["_k", "lo", "hi"]).select("_k", "rank", F.element_at("all", (F.col("rank") - F.col("before") + 1).cast("int")).alias("value")))
+        wide = open_.where(f"lo < hi AND m > {few}").drop("m")
         if wide.isEmpty():
             break
         ranges = wide.select("_k", "lo", "hi", "before").distinct()
         share = (F.col("_v") / 2 - F.col("lo") / 2) / (F.col("hi") / 2 - F.col("lo") / 2)  # halves don't overflow
-        if len(done) % 2 == 0:  # every other pass by magnitude, for values of very different sizes; logarithms keep the order too
+        if len(done) % 4 == 0:  # every other pass by magnitude, for values of very different sizes; logarithms keep the order too
             share = F.when(share > 0, F.greatest(F.lit(0.0), 1 + F.log2(share) / _OCTAVES)).otherwise(0.0)
         held = values.join(ranges, "_k").where("_v BETWEEN lo AND hi").groupBy("_k", "lo", "hi", "before", F.least(F.lit(bins - 1), F.floor(share * bins)).alias("bin"))
         counts = held.agg(F.count("*").alias("m"), F.min("_v").alias("least"), F.max("_v").alias("most"))
         first = F.col("before") + F.sum("m").over(W.partitionBy("_k", "lo", "hi").orderBy("bin")) - F.col("m")
         counts = counts.withColumn("first", first)
         found = wide.join(counts.drop("before"), ["_k", "lo", "hi"]).where("rank >= first AND rank < first + m")
-        open_ = found.select("_k", "rank", F.col("first").alias("before"), F.col("least").alias("lo"), F.col("most").alias("hi"))
+        open_ = found.select("_k", "rank", F.col("first").alias("before"), F.col("least").alias("lo"), F.col("most").alias("hi"), "m")
     known = done[0]
     for part in done[1:]:
         known = known.unionByName(part)
