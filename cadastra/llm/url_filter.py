@@ -23,7 +23,7 @@ from .common import table
 RULES = [
     ("com", "/en/", "block"),
     ("example.com", "/en/7", "allow"),
-    ("net", "/de/", "block"),
+    ("net", "/de/", "allow"),
     ("example.net", "/de/8", "block"),
     ("org", "/es/", "block"),
 ]

@@ -348,6 +348,14 @@ def test_url_filter(spark):
     assert url_filter(pages.limit(0), rules).count() == 0
 
 
+def test_url_rules_as_dealt(spark):
+    """Each rule of the contract by itself, with its own word."""
+    rules = spark.createDataFrame(RULES, "host string, path string, action string")
+    dealt = {"com/en/": "block", "example.com/en/7": "allow", "net/de/": "allow", "example.net/de/8": "block", "org/es/": "block"}
+    out = url_filter(spark.createDataFrame([("http://" + r,) for r in dealt], "url string"), rules).collect()
+    assert {r["rule"]: r["verdict"] for r in out} == dealt == {h + p: a for h, p, a in RULES}
+
+
 def test_models_on_held_out_rows(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     odd = spark.createDataFrame([(900_000 + i, t) for i, t in enumerate([*ODD, "123 456", "東京"])], "doc_id long, text string")
