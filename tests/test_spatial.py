@@ -37,6 +37,14 @@ def test_nearest_join_with_ties(data):
         assert r["rid"] == (near[1] if near[0] <= 6 else None)
 
 
+def test_order_of_distances_is_that_of_sql(spark):
+    """sqrt(dx * dx + dy * dy), by which SQL orders, puts the first before the second; hypot has them the other way round."""
+    one = spark.createDataFrame([(0, 1.45, 5.57)], "id long, x double, y double")
+    two = spark.createDataFrame([(7, 6.9, 10.27), (3, 6.15, 11.02)], "rid long, rx double, ry double")
+    assert [r["rid"] for r in J.nearest_join(one, two, 40.0, "id", "rid").collect()] == [7]
+    assert [r["rid"] for r in J.knn_join(one, two, 1, 40.0, "id", "rid", cut).collect()] == [7]
+
+
 @pytest.mark.parametrize("size", [3.0, 30.0])
 def test_knn_join_in_sparse_and_dense_places(data, size):
     p, q, dp, dq = data
