@@ -11,6 +11,7 @@ from cadastra.operators import cluster as C
 from cadastra.operators import spatial_join as J
 from cadastra.operators.graph import connected_components
 from cadastra.plans.clusters import cut
+from cadastra.plans.derived import points
 
 
 @pytest.fixture(scope="module")
@@ -169,3 +170,30 @@ def test_overlay_of_any_polygons(spark):
             plain = sum(within(p, x, y) and within(q, x, y) for x, y in grid) * step * step
             assert abs(out[a, b]["shared"] - plain) < 0.1 if plain else (a, b) not in out
     assert out[2, 8]["shared"] == pytest.approx(6.0) and out[2, 8]["left_fraction"] == pytest.approx(6 / 48)
+
+
+def test_ids_of_points_beyond_a_long(spark, tmp_path):
+    rows = [(o, 3, 19_999 * 60, 999, 4.0, "A") for o in (7, 5_000_000, 5_999_999, 8_999_999)]
+    spark.createDataFrame(rows, "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_quantity double, l_returnflag string").write.parquet(f"{tmp_path}/lineitem.parquet")
+    want = [((o * 8 + n) * 2_000_000 + p) * 100_000 + s for o, n, p, s, *_ in rows]
+    assert sorted(r["point_id"] for r in points(spark, str(tmp_path)).collect()) == sorted(v if v < 2**63 else v - 2**64 for v in want)
+
+
+def test_crowded_rows_meet_few_candidates(spark):
+    """A thousand rows on a square metre: reaches of 20 m must not make a million pairs."""
+    rng = random.Random(5)
+    p = spark.createDataFrame([(i, rng.random(), rng.random()) for i in range(1000)], "id long, x double, y double")
+    q = p.selectExpr("id AS rid", "x AS rx", "y AS ry")
+    met = []
+    assert J.knn_join(p, q, 3, 20.0, "id", "rid", lambda d, label: met.append(1) or cut(d, label)).count() == 3000
+    assert J._reach(q, "rx", "ry", 6.0, 20.0) < 0.1 and len(met) > 2
+    assert {(r["id"], r["rid"]) for r in J.nearest_join(p, q, 20.0, "id", "rid").collect()} == {(i, i) for i in range(1000)}
+    far = spark.createDataFrame([(-1, 9.0, 0.5)], p.schema)
+    r = J.nearest_join(far, q, 20.0, "id", "rid").first()
+    assert r["rid"] == min(((9 - a["rx"]) ** 2 + (0.5 - a["ry"]) ** 2, a["rid"]) for a in q.collect())[1]
+
+
+def test_cells_are_never_broadcast(data):
+    p, q, dp, dq = data
+    plan = J.radius_join(dp, dq, 7.0)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
