@@ -23,11 +23,16 @@ class Heights:
     none_quality: str = "fallback"
 
 
+def _counted(pairs: DataFrame):
+    """pairs grouped by cluster_id, with z and n, how often it comes: equal heights are counted before percentiles gather them."""
+    return pairs.groupBy("cluster_id", "z").agg(F.count("*").alias("n")).groupBy("cluster_id")
+
+
 def inside_statistics(points: DataFrame, footprints: DataFrame, h: Heights) -> DataFrame:
     inside = points_in_polygons(points.select("x", "y", "z"), footprints.select("cluster_id", "ring"))
-    return inside.groupBy("cluster_id").agg(
-        F.count("*").alias("n_inside"), F.min("z").alias("min_z_inside"), F.max("z").alias("height_max"),
-        *(F.percentile("z", F.lit(p)).alias(f"p{round(100 * p)}") for p in h.percentiles),
+    return _counted(inside).agg(
+        F.sum("n").alias("n_inside"), F.min("z").alias("min_z_inside"), F.max("z").alias("height_max"),
+        *(F.percentile("z", F.lit(p), F.col("n")).alias(f"p{round(100 * p)}") for p in h.percentiles),
     )
 
 
@@ -38,14 +43,14 @@ def ground_in_circle(points: DataFrame, footprints: DataFrame, ring: float) -> D
     ground = points.where("classification = 2").select("x", "y", "z")
     circles = footprints.select("cluster_id", F.col("cx").alias("rx"), F.col("cy").alias("ry"), (F.hypot("hw", "hh") + 2 * ring).alias("r"))
     near = points_in_circles(ground, circles, 2 * ring)
-    return near.groupBy("cluster_id").agg(F.percentile("z", F.lit(0.5)).alias("ground_z"), F.count("*").alias("n_ground"))
+    return _counted(near).agg(F.percentile("z", F.lit(0.5), F.col("n")).alias("ground_z"), F.sum("n").alias("n_ground"))
 
 
 def ground_in_ring(points: DataFrame, footprints: DataFrame, ring: float) -> DataFrame:
     """cluster_id, ground_z: median ground height outside the footprint within `ring` of its sides."""
     ground = points.where("classification = 2").select("x", "y", "z")
     near = points_near_polygons(ground, footprints.select("cluster_id", "ring"), ring)
-    return near.groupBy("cluster_id").agg(F.percentile("z", F.lit(0.5)).alias("ground_z"), F.count("*").alias("n_ground"))
+    return _counted(near).agg(F.percentile("z", F.lit(0.5), F.col("n")).alias("ground_z"), F.sum("n").alias("n_ground"))
 
 
 def zonal_heights(points: DataFrame, footprints: DataFrame, h: Heights = Heights(), ground: DataFrame | None = None) -> DataFrame:

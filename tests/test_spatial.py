@@ -197,3 +197,17 @@ def test_cells_are_never_broadcast(data):
     p, q, dp, dq = data
     plan = J.radius_join(dp, dq, 7.0)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
+
+
+def test_rectangles_by_their_boxes_alone(spark):
+    """Points on sides and corners, and common areas: rectangles by boxes give what any ring gives by the test of its sides."""
+    f = spark.range(30).select(F.col("id").alias("k"), G.rectangle(F.col("id") * 0.5, F.lit(1.0), F.col("id") * 0.5 + 2, F.col("id") * 0.25 + 2).alias("ring"))
+    closed = f.withColumn("ring", F.concat("ring", F.slice("ring", 1, 1)))
+    p = spark.range(1600).select("id", ((F.col("id") % 40) * 0.5).alias("x"), (F.floor(F.col("id") / 40) * 0.25).alias("y"))
+    rows = lambda d: sorted((r["id"], r["k"]) for r in J.points_in_polygons(p, d).select("id", "k").collect())
+    mixed = f.where("k % 2 = 0").unionByName(closed.where("k % 2 = 1"))
+    assert rows(f) == rows(closed) == rows(mixed) and len(rows(f)) > 500
+    assert "MapInArrow" not in J.points_in_polygons(p, f)._jdf.queryExecution().executedPlan().toString()
+    other = lambda d: d.select(F.col("k").alias("m"), F.col("ring").alias("theirs"))
+    shared = lambda a, b: sorted((r["k"], r["m"], round(r["shared"], 9), round(r["left_fraction"], 9)) for r in J.polygon_overlay(a, other(b), "k", "m", "ring", "theirs").collect())
+    assert shared(f, f) == shared(closed, closed) == shared(mixed, f) and len(shared(f, f)) > 100
