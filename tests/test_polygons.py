@@ -180,3 +180,32 @@ def test_blocks(spark):
     got = {r["block_id"]: r for r in P.building_blocks(df, "id", "h", 2.0, cut).collect()}
     assert {k: (r["n"], r["height_max"], r["height_p90"], r["height_median"]) for k, r in got.items()} == {1: (3, 30.0, 28.0, 20.0), 4: (1, 7.0, 7.0, 7.0), 6: (2, 9.0, 8.6, 7.0)}
     assert abs(got[4]["area_m2"] - (32 + np.pi)) < 0.1 and abs(got[6]["area_m2"] - (1760 + np.pi)) < 0.1 and 18 * 6 - 4 < got[1]["area_m2"] < 18 * 6
+
+
+def test_many_overlays_equal_one_by_one():
+    rng = np.random.default_rng(5)
+    sides = [O.edges_of([rng.integers(0, 9, (rng.integers(3, 8), 2)).astype(float) + 100 * k]) if k % 7 else O.NONE for k in range(60)]
+    other = [np.concatenate([sides[k], sides[k] + 2.5]) for k in range(60)]
+    for rule in O.RULES:
+        for many, a, b in zip(O.overlays(sides, other, rule), sides, other, strict=True):
+            one = O.overlay(a, b, rule)
+            assert [[r.tolist() for r in p] for p in many] == [[r.tolist() for r in p] for p in one]
+    whole = O.overlays(sides)
+    for many, polygons in zip(O.offsets(whole, 0.5), whole, strict=True):
+        one = [O.offset_edges(p, 0.5) for p in polygons]
+        assert np.allclose(many, np.concatenate(one) if one else O.NONE)
+
+
+def test_polygons_of_one_task_are_dealt_over_all(spark):
+    ring = F.array(*(F.struct(F.lit(x).alias("x"), F.lit(y).alias("y")) for x, y in ((0.0, 0.0), (4.0, 0.0), (4.0, 4.0), (0.0, 4.0))))
+    df = spark.range(64).coalesce(1).select("id", ring.alias("ring"))
+    for out in (P.repaired(df, "ring"), P.buffered(df, 0.5, "ring"), P.pair_measures(df.withColumn("other", ring), "ring", "other")):
+        assert out.select("id", F.spark_partition_id().alias("p")).distinct().select("p").distinct().count() > 1
+
+
+def test_pair_measures(spark):
+    ring = lambda *points: F.array(*(F.struct(F.lit(float(x)).alias("x"), F.lit(float(y)).alias("y")) for x, y in points))
+    square = ring((0, 0), (4, 0), (4, 4), (0, 4))
+    df = spark.range(1).select(F.explode(F.array(ring((1, 0), (7, 0), (7, 4), (1, 4), (1, 0)), ring((6, 0), (8, 0), (7, 1)), F.array().cast("array<struct<x:double,y:double>>"))).alias("other"), square.alias("ring"))
+    out = sorted(((r["shared"], r["hausdorff"]) for r in P.pair_measures(df, "ring", "other").collect()), key=str)
+    assert out == [(0.0, 52**0.5), (12.0, 3.0), (None, None)]  # from (0, 4) to (6, 0); from (7, 0) to (4, 0)
