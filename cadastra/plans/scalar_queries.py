@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from cadastra.functions import geometry as G
 from cadastra.functions import scalars as S
 from cadastra.operators import spatial_join as J
+from cadastra.operators.polygons import pair_measures
 
 from .derived import addresses, footprints, points, read, tiles
 from .registry import query
@@ -154,9 +155,8 @@ def g12_g15_pair_metrics(spark, sf_dir):
     """Each footprint against a copy shifted by (1, 0.5)."""
     f = footprints(spark, sf_dir)
     other = F.transform("ring", lambda p: F.struct((p["x"] + 1).alias("x"), (p["y"] + 0.5).alias("y")))
-    v = f.select("cluster_id", "ring", "area_m2", other.alias("other"))
-    shared = G.area(G.clip_convex(F.col("ring"), F.col("other")))
-    m = v.select("cluster_id", "area_m2", shared.alias("s"), G.hausdorff(F.col("ring"), F.col("other")).alias("h"), G.centroid(F.col("ring")).alias("a"), G.centroid(F.col("other")).alias("b"))
+    v = pair_measures(f.select("cluster_id", "ring", "area_m2", other.alias("other")), "ring", "other")
+    m = v.select("cluster_id", "area_m2", F.col("shared").alias("s"), F.col("hausdorff").alias("h"), G.centroid(F.col("ring")).alias("a"), G.centroid(F.col("other")).alias("b"))
     return m.select("cluster_id", F.round("s", 4).alias("intersection"), F.round(F.col("s") / (2 * F.col("area_m2") - F.col("s")), 6).alias("iou"), F.round("h", 6).alias("hausdorff"), F.round(F.hypot(F.col("a.x") - F.col("b.x"), F.col("a.y") - F.col("b.y")), 6).alias("centroid_distance"))
 
 
