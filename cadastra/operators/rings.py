@@ -12,56 +12,140 @@ from pyspark.sql import functions as F
 
 from cadastra.functions import geometry as G
 
+from . import spatial_join as J
+
 RING = f"array<{G.POINT}>"
 
 
 def convex_hull(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     """Counter-clockwise hull of points as rows (x, y), by the monotone chain; fewer than three rows if it is flat."""
-    p = np.unique(np.stack([x, y], 1), axis=0)
+    p = sorted(set(zip(x.tolist(), y.tolist(), strict=True)))
     if len(p) < 3:
-        return p
+        return np.array(p, float).reshape(-1, 2)
 
-    def half(points) -> list:
+    def half(points: list) -> list:
         out: list = []
-        for q in points:
-            while len(out) > 1 and (out[-1][0] - out[-2][0]) * (q[1] - out[-2][1]) - (out[-1][1] - out[-2][1]) * (q[0] - out[-2][0]) <= 0:
+        for u, v in points:
+            while len(out) > 1:
+                (a, b), (c, d) = out[-2:]
+                if (c - a) * (v - b) - (d - b) * (u - a) > 0:
+                    break
                 out.pop()
-            out.append(q)
+            out.append((u, v))
         return out
 
     return np.array(half(p)[:-1] + half(p[::-1])[:-1])
 
 
-def _as_ring(p: np.ndarray) -> list[dict]:
-    return [{"x": float(a), "y": float(b)} for a, b in p]
+def _outer(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """The hull of points; those well inside the octagon of their extremes in eight directions are left out first."""
+    if len(x) > 16:
+        at = [v.argmax() for v in (x, x + y, y, y - x, -x, -x - y, -y, x - y)]
+        cx, cy = x[at], y[at]
+        inner = np.ones(len(x), bool)
+        for i, j in zip(range(8), (*range(1, 8), 0), strict=True):
+            if at[i] != at[j]:
+                dx, dy = cx[j] - cx[i], cy[j] - cy[i]
+                inner &= dx * (y - cy[i]) - dy * (x - cx[i]) > 1e-9 * (abs(dx) + abs(dy)) ** 2
+        inner[at] = False
+        x, y = x[~inner], y[~inner]
+    return convex_hull(x, y)
 
 
-def cluster_hulls(points: DataFrame, key: str, least_area: float = 9.0) -> DataFrame:
-    """(key, ring, area_m2, n_points) of the hulls with the least area or more.
+def _parts(key: str, kind: str) -> str:
+    return f"{key} {kind}, xs array<double>, ys array<double>, n long"
 
-    First each task reduces its own points of a key to their hull, then the hulls' corners meet: what a key brings together is
-    its tasks' corners, not its points."""
-    kind = dict(points.dtypes)[key]
+
+def _part_rows(key: str, found: list) -> pd.DataFrame:
+    return pd.DataFrame({key: [k for k, _, _ in found], "xs": [h[:, 0] for _, h, _ in found], "ys": [h[:, 1] for _, h, _ in found], "n": [n for _, _, n in found]})
+
+
+def _point_parts(points: DataFrame, key: str) -> DataFrame:
+    """Hulls of each task's points of a key."""
 
     def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            out = []
-            for k, g in pdf.groupby(key, sort=False):
-                h = convex_hull(g["x"].to_numpy(float), g["y"].to_numpy(float))
-                out.append(pd.DataFrame({key: k, "x": h[:, 0], "y": h[:, 1], "n": [len(g)] + [0] * (len(h) - 1)}))
-            if out:
-                yield pd.concat(out)
-
-    def merge(pdf: pd.DataFrame) -> pd.DataFrame:
-        h = convex_hull(pdf["x"].to_numpy(), pdf["y"].to_numpy())
-        return pd.DataFrame({key: [pdf[key].iloc[0]], "ring": [_as_ring(h)], "n_points": [int(pdf["n"].sum())]})
+            x, y = pdf["x"].to_numpy(float), pdf["y"].to_numpy(float)
+            yield _part_rows(key, [(k, _outer(x[at], y[at]), len(at)) for k, at in pdf.groupby(key, sort=False).indices.items()])
 
     good = points.where(F.col(key).isNotNull() & F.col("x").isNotNull() & F.col("y").isNotNull())
-    corners = good.select(key, "x", "y").mapInPandas(partial, f"{key} {kind}, x double, y double, n long")
-    hulls = corners.groupBy(key).applyInPandas(merge, f"{key} {kind}, ring {RING}, n_points long")
+    return good.select(key, "x", "y").mapInPandas(partial, _parts(key, dict(points.dtypes)[key]))
+
+
+def _tasks(df: DataFrame) -> int:
+    """Parts for all cores: what a task does here is more than its bytes tell."""
+    session = df.sparkSession
+    return max(int(session.conf.get("spark.sql.shuffle.partitions")), 3 * session.sparkContext.defaultParallelism)
+
+
+def _box_parts(points: DataFrame, boxes: DataFrame, key: str, most: int = 100_000) -> DataFrame:
+    """Hulls of the points in each box (its upper sides left out), tile by tile: points and boxes of a tile meet once and no pair of them is
+    a row. Tiles hold some 4,000 points, but are twice as wide as boxes are in the mean; those with more than `most` points are dealt over parts."""
+    p = points.select("x", "y").where("x IS NOT NULL AND y IS NOT NULL")
+    s = p.agg(F.count("*").alias("n"), *(f(c).alias(f"{f.__name__}_{c}") for f in (F.min, F.max) for c in "xy")).first()
+    wide = boxes.agg(F.avg(F.greatest(F.col("_x1") - F.col("_x0"), F.col("_y1") - F.col("_y0")))).first()[0]
+    kind = dict(boxes.dtypes)[key]
+    if not s["n"] or wide is None:
+        return boxes.limit(0).select(key, *(F.array().cast("array<double>").alias(c) for c in ("xs", "ys")), F.lit(0).cast("long").alias("n"))
+    area = (s["max_x"] - s["min_x"]) * (s["max_y"] - s["min_y"])
+    side = max((4000.0 * area / s["n"]) ** 0.5, 2 * wide) or 1.0
+    tiled = p.withColumns({"_cx": J.cell(F.col("x"), side), "_cy": J.cell(F.col("y"), side)})
+    parts = tiled.groupBy("_cx", "_cy").agg(F.ceil(F.count("*") / most).cast("int").alias("parts"))
+    tiled = tiled.join(parts.hint("merge"), ["_cx", "_cy"]).withColumn("_part", F.pmod(F.xxhash64("x", "y"), F.col("parts")).cast("int")).drop("parts")
+    span = lambda c: F.sequence(J.cell(F.greatest(F.col(f"_{c}0"), F.lit(s[f"min_{c}"])), side), J.cell(F.least(F.col(f"_{c}1"), F.lit(s[f"max_{c}"])), side))
+    near = boxes.where(F.col(key).isNotNull() & (F.col("_x0") <= s["max_x"]) & (F.col("_x1") >= s["min_x"]) & (F.col("_y0") <= s["max_y"]) & (F.col("_y1") >= s["min_y"]))
+    near = near.select(key, "_x0", "_y0", "_x1", "_y1", F.explode(span("x")).alias("_cx"), span("y").alias("_ys")).withColumn("_cy", F.explode("_ys")).drop("_ys")
+    near = near.join(parts.hint("merge"), ["_cx", "_cy"]).withColumn("_part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
+
+    def meet(p: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        p = p.sort_values("x")
+        x, y, found = p["x"].to_numpy(), p["y"].to_numpy(), []
+        lows, highs = np.searchsorted(x, b["_x0"].to_numpy()), np.searchsorted(x, b["_x1"].to_numpy())
+        for k, y0, y1, i, j in zip(b[key].tolist(), b["_y0"].tolist(), b["_y1"].tolist(), lows, highs, strict=True):
+            at = y[i:j]
+            at = np.flatnonzero((at >= y0) & (at < y1)) + i
+            if len(at):
+                found.append((k, _outer(x[at], y[at]), len(at)))
+        return _part_rows(key, found)
+
+    at, n = ["_cx", "_cy", "_part"], _tasks(points)
+    return tiled.repartition(n, *at).groupBy(*at).cogroup(near.repartition(n, *at).groupBy(*at)).applyInPandas(meet, _parts(key, kind))
+
+
+def _merged_hulls(parts: DataFrame, key: str, least_area: float) -> DataFrame:
+    kind = dict(parts.dtypes)[key]
+    met = parts.groupBy(key).agg(F.flatten(F.collect_list("xs")).alias("xs"), F.flatten(F.collect_list("ys")).alias("ys"), F.sum("n").alias("n_points"))
+
+    def merge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rings = [_outer(x, y) for x, y in zip(pdf["xs"], pdf["ys"], strict=True)]
+            yield pd.DataFrame({key: pdf[key], "xs": [r[:, 0] for r in rings], "ys": [r[:, 1] for r in rings], "n_points": pdf["n_points"]})
+
+    hulls = met.repartition(_tasks(parts), key).mapInPandas(merge, f"{key} {kind}, xs array<double>, ys array<double>, n_points long")
+    ring = F.zip_with("xs", "ys", lambda x, y: F.struct(x.alias("x"), y.alias("y")))
+    hulls = hulls.select(key, ring.alias("ring"), "n_points")
     return hulls.where(F.size("ring") >= 3).withColumn("area_m2", G.area(F.col("ring"))).where(F.col("area_m2") >= least_area).select(key, "ring", "area_m2", "n_points")
 
 
+def cluster_hulls(points: DataFrame, key: str, least_area: float = 9.0) -> DataFrame:
+    """(key, ring, area_m2, n_points) of the hulls with the least area or more.
+
+    First each task reduces its own points of a key to their hull, then the hulls' corners meet: what a key brings together is
+    its tasks' corners, not its points."""
+    return _merged_hulls(_point_parts(points, key), key, least_area)
+
+
+def hulls_in_polygons(points: DataFrame, polygons: DataFrame, key: str, ring: str = "ring", least_area: float = 9.0) -> DataFrame:
+    """cluster_hulls() of the points in each polygon. Points meet rectangles along the axes tile by tile; pairs are made for other polygons only."""
+    boxed = J._boxed(polygons.select(key, ring), ring).withColumn("_plain", J._rectangle(polygons, ring))
+    kinds = {r[0] for r in boxed.select("_plain").distinct().collect()}  # two at most
+    parts = _box_parts(points, boxed.where("_plain"), key)
+    if False in kinds:
+        other = J.points_in_polygons(points.select("x", "y"), boxed.where("NOT _plain").select(key, ring), ring)
+        parts = parts.unionByName(_point_parts(other, key))
+    return _merged_hulls(parts, key, least_area)
+
+
 def chain_edges(ax: np.ndarray, ay: np.ndarray, bx: np.ndarray, by: np.ndarray) -> list[list[tuple[int, int]]]:
     """Closed rings from directed unit edges; at a corner that four edges share the ring turns left."""
     after: dict[tuple[int, int], list[tuple[int, int]]] = {}

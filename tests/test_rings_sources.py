@@ -20,6 +20,27 @@ def test_hulls_in_two_steps(spark):
     assert all(abs(out[k]["area_m2"] - one[k]["area_m2"]) < 1e-9 for k in out)
 
 
+def test_hulls_in_polygons_make_no_pairs(spark, monkeypatch):
+    from cadastra.operators import spatial_join as J
+
+    rng = np.random.default_rng(5)
+    xy = np.concatenate([rng.uniform(0, 100, (4000, 2)).round(2), rng.uniform(40, 41, (3000, 2)).round(2)])  # and a crowd
+    points = spark.createDataFrame([(float(x), float(y)) for x, y in xy] + [(None, 1.0)], "x double, y double")
+    boxes = [(10, 10, 30, 25), (35, 35, 45, 45), (40, 40, 40.5, 40.5), (-50, -50, 500, 500), (99, 99, 99.01, 99.01), (12.5, 60, 90, 62)]
+    corners = [[(a, b), (c, b), (c, d), (a, d)] for a, b, c, d in boxes] + [[(0, 0), (60, 10), (20, 50)]]
+    polygons = spark.createDataFrame([(k, [(float(x), float(y)) for x, y in r]) for k, r in enumerate(corners)], "key long, ring array<struct<x:double,y:double>>")
+    want = R.cluster_hulls(J.points_in_polygons(points, polygons).select("key", "x", "y"), "key", 0.0).collect()
+    box_parts = R._box_parts
+    monkeypatch.setattr(R, "_box_parts", lambda p, b, k: box_parts(p, b, k, 500))  # the crowd's tile in parts
+    got = R.hulls_in_polygons(points, polygons, "key", least_area=0.0).collect()
+    assert {r["key"]: (r["n_points"], {tuple(p) for p in r["ring"]}) for r in got} == {r["key"]: (r["n_points"], {tuple(p) for p in r["ring"]}) for r in want}
+    assert {r["key"] for r in got} == {0, 1, 2, 3, 5, 6}
+    for r in got:
+        brute = [p for p in xy if r["key"] < 6 and boxes[r["key"]][0] <= p[0] < boxes[r["key"]][2] and boxes[r["key"]][1] <= p[1] < boxes[r["key"]][3]]
+        assert r["key"] == 6 or r["n_points"] == len(brute)
+    assert R.hulls_in_polygons(points.where("x > 1000"), polygons, "key").count() == 0
+
+
 def test_cell_outlines_with_hole(spark):
     cells = [("a", r, c) for r in range(3) for c in range(3) if (r, c) != (1, 1)]
     out = R.cell_rings(spark.createDataFrame(cells, "key string, row long, col long"), 2.0).first()["rings"]
