@@ -3,6 +3,7 @@
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -211,3 +212,21 @@ def test_rectangles_by_their_boxes_alone(spark):
     other = lambda d: d.select(F.col("k").alias("m"), F.col("ring").alias("theirs"))
     shared = lambda a, b: sorted((r["k"], r["m"], round(r["shared"], 9), round(r["left_fraction"], 9)) for r in J.polygon_overlay(a, other(b), "k", "m", "ring", "theirs").collect())
     assert shared(f, f) == shared(closed, closed) == shared(mixed, f) and len(shared(f, f)) > 100
+
+
+def test_nearest_never_searches_the_whole_radius_where_it_can_do_with_less(spark, monkeypatch):
+    rng = np.random.default_rng(11)
+    q = np.concatenate([rng.uniform(0, 20, (3000, 2)), rng.uniform(0, 100, (40, 2)), [[500.0, 500.0]]]).round(2)  # a crowd, a few others, one far away
+    p = np.concatenate([rng.uniform(0, 110, (300, 2)), q[:50], [[480.0, 490.0], [900.0, 0.0]]]).round(2)
+    left = spark.createDataFrame([(i, float(x), float(y)) for i, (x, y) in enumerate(p)] + [(9000, None, 1.0)], "id long, x double, y double")
+    right = spark.createDataFrame([(i, float(x), float(y)) for i, (x, y) in enumerate(q)], "rid long, rx double, ry double")
+    searched = []
+    found = J._least_reach_pairs
+    monkeypatch.setattr(J, "_least_reach_pairs", lambda *a: searched.append(found(*a)) or searched[0])
+    got = {r["id"]: (r["rid"], r["dist"]) for r in J.nearest_join(left, right, 300.0, "id", "rid").collect()}
+    for i, (x, y) in enumerate(p):
+        dx, dy = x - q[:, 0], y - q[:, 1]
+        d = np.sqrt(dx * dx + dy * dy)
+        assert got[i] == ((int(d.argmin()), float(d.min())) if d.min() <= 300 else (None, None))
+    assert got[9000] == (None, None) and len(got) == len(p) + 1
+    assert searched[0].count() < len(p) * len(q) // 2  # the whole radius of 300 holds nearly all right rows for nearly all of them
