@@ -83,7 +83,7 @@ def points_in_cover(points: DataFrame, cover: DataFrame, size: float, x: str = "
     return keyed.join(c, ["_cx", "_cy"]).where(test).select(*points.columns, "place")
 
 
-def _passes(side: Column, box: Column) -> Column:
+def passes(side: Column, box: Column) -> Column:
     """Whether a side runs through the inside of a box: some of it is left when it's cut to the box, and not along its edge."""
     dx, dy = side["bx"] - side["ax"], side["by"] - side["ay"]
     cut = lambda d, a, low, high: (
@@ -104,5 +104,5 @@ def boxes_in_cover(boxes: DataFrame, cover: DataFrame, size: float, box: str = "
     mx, my = (b["xmin"] + b["xmax"]) / 2, (b["ymin"] + b["ymax"]) / 2
     here = (F.col("_cx") == cell_of(mx, size)) & (F.col("_cy") == cell_of(my, size))
     middle = here & inside_cell(F.col("_odd"), F.col("_sides"), F.col("_cx"), F.col("_cy"), mx, my, size)
-    hit = keyed.join(c, ["_cx", "_cy"]).where(middle | F.exists("_sides", lambda e: _passes(e, b)))
+    hit = keyed.join(c, ["_cx", "_cy"]).where(middle | F.exists("_sides", lambda e: passes(e, b)))
     return hit.select(*boxes.columns, "place").distinct()
