@@ -7,7 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .spatial_join import nearest_join, points_in_circles, points_in_polygons, points_near_polygons
+from . import crowds as X
+from .spatial_join import nearest_join
 
 
 @dataclass(frozen=True)
@@ -23,34 +24,30 @@ class Heights:
     none_quality: str = "fallback"
 
 
-def _counted(pairs: DataFrame):
-    """pairs grouped by cluster_id, with z and n, how often it comes: equal heights are counted before percentiles gather them."""
-    return pairs.groupBy("cluster_id", "z").agg(F.count("*").alias("n")).groupBy("cluster_id")
-
-
 def inside_statistics(points: DataFrame, footprints: DataFrame, h: Heights) -> DataFrame:
-    inside = points_in_polygons(points.select("x", "y", "z"), footprints.select("cluster_id", "ring"))
-    return _counted(inside).agg(
+    inside = X.counts_inside(points.select("x", "y", "z"), footprints.select("cluster_id", "ring"), "cluster_id")
+    return inside.groupBy("cluster_id").agg(
         F.sum("n").alias("n_inside"), F.min("z").alias("min_z_inside"), F.max("z").alias("height_max"),
         *(F.percentile("z", F.lit(p), F.col("n")).alias(f"p{round(100 * p)}") for p in h.percentiles),
     )
 
 
-def ground_in_circle(points: DataFrame, footprints: DataFrame, ring: float) -> DataFrame:
-    """cluster_id, ground_z: median ground height within half the box diagonal plus twice the ring of the centre.
+def _median(counts: DataFrame) -> DataFrame:
+    """Percentiles are those of counted heights."""
+    return counts.groupBy("cluster_id").agg(F.percentile("z", F.lit(0.5), F.col("n")).alias("ground_z"), F.sum("n").alias("n_ground"))
 
-    Circles join by cells of the size of their own class (spatial_join), so one wide footprint costs the others nothing."""
+
+def ground_in_circle(points: DataFrame, footprints: DataFrame, ring: float) -> DataFrame:
+    """cluster_id, ground_z: median ground height within half the box diagonal plus twice the ring of the centre."""
     ground = points.where("classification = 2").select("x", "y", "z")
     circles = footprints.select("cluster_id", F.col("cx").alias("rx"), F.col("cy").alias("ry"), (F.hypot("hw", "hh") + 2 * ring).alias("r"))
-    near = points_in_circles(ground, circles, 2 * ring)
-    return _counted(near).agg(F.percentile("z", F.lit(0.5), F.col("n")).alias("ground_z"), F.sum("n").alias("n_ground"))
+    return _median(X.counts_in_circles(ground, circles, "cluster_id"))
 
 
 def ground_in_ring(points: DataFrame, footprints: DataFrame, ring: float) -> DataFrame:
     """cluster_id, ground_z: median ground height outside the footprint within `ring` of its sides."""
     ground = points.where("classification = 2").select("x", "y", "z")
-    near = points_near_polygons(ground, footprints.select("cluster_id", "ring"), ring)
-    return _counted(near).agg(F.percentile("z", F.lit(0.5), F.col("n")).alias("ground_z"), F.sum("n").alias("n_ground"))
+    return _median(X.counts_around(ground, footprints.select("cluster_id", "ring"), "cluster_id", ring))
 
 
 def zonal_heights(points: DataFrame, footprints: DataFrame, h: Heights = Heights(), ground: DataFrame | None = None) -> DataFrame:
