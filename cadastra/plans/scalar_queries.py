@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from cadastra.functions import geometry as G
 from cadastra.functions import scalars as S
-from cadastra.operators import spatial_join as J
+from cadastra.operators.enrich import nearest_of_layers
 from cadastra.operators.polygons import pair_measures
 
 from .derived import addresses, footprints, points, read, tiles
@@ -183,7 +183,6 @@ SELECT cluster_id, source AS layer_id, address_id, round(d, 6) AS dist FROM b"""
 def j6_layer_enrichment(spark, sf_dir):
     """Nearest feature of each layer within the layer's own radius."""
     radius = F.when(F.col("source") == "BUILDING", 60.0).when(F.col("source") == "MACHINERY", 30.0).otherwise(45.0)
-    a = addresses(spark, sf_dir).withColumn("r", radius)
-    pairs = J.radius_join(footprints(spark, sf_dir).select("cluster_id", "cx", "cy"), a, 60.0, "cx", "cy").where("dist <= r")
-    best = pairs.groupBy("cluster_id", "source").agg(F.min(F.struct("dist", "address_id")).alias("b"))
-    return best.select("cluster_id", F.col("source").alias("layer_id"), "b.address_id", F.round("b.dist", 6).alias("dist"))
+    a = addresses(spark, sf_dir).select(F.col("source").alias("layer_id"), F.col("address_id").alias("feature_id"), "rx", "ry", radius.alias("radius"))
+    best = nearest_of_layers(footprints(spark, sf_dir).select("cluster_id", "cx", "cy"), a, 60.0)
+    return best.select("cluster_id", "layer_id", F.col("feature_id").alias("address_id"), F.round("dist", 6).alias("dist"))

@@ -64,3 +64,30 @@ def test_heights_make_no_pairs(spark, monkeypatch):
     rows = Z.zonal_heights(points, f).collect()
     z = np.array([(i % 10) for i in range(4000) if 15 <= i % 63 + 0.5 < 25 and 16 <= i // 63 + 0.5 < 24], float)
     assert len(rows) == 50 and {(r["n_inside"], r["p90"]) for r in rows} == {(80, np.percentile(z, 90))}
+
+
+def test_nearest_of_each_layer_makes_no_pairs(spark, monkeypatch):
+    """Nearest features of layers with their own radius, ties to the least id, across tiles and in parts."""
+    from cadastra.operators import enrich as E
+
+    monkeypatch.setattr(E, "radius_join", lambda *_: pytest.fail("pairs are made"))
+    monkeypatch.setattr(X, "TILE", 30)
+    monkeypatch.setattr(X, "GROUP", 2000)
+    rng = np.random.default_rng(5)
+    b = [(k, float(x), float(y)) for k, (x, y) in enumerate(rng.integers(0, 60, (200, 2)))] + [(900, None, 1.0), (901, float("nan"), 2.0)]
+    f = [(("a", "b", None)[k % 3], 1000 - k, float(x), float(y), (3.0, 9.0, 5.0)[k % 3]) for k, (x, y) in enumerate(rng.integers(0, 60, (240, 2)))]
+    buildings = spark.createDataFrame(b, "cluster_id long, cx double, cy double")
+    features = spark.createDataFrame(f, "layer_id string, feature_id long, rx double, ry double, radius double")
+    got = {(r["cluster_id"], r["layer_id"]): (r["dist"], r["feature_id"]) for r in E.nearest_of_layers(buildings, features, 9.0).collect()}
+    want = {}
+    for k, x, y in b[:200]:
+        for layer, i, rx, ry, radius in f:
+            d = ((x - rx) ** 2 + (y - ry) ** 2) ** 0.5
+            if d <= radius:
+                want[k, layer] = min(want.get((k, layer), (99.0, 0)), (d, i))
+    assert got == want and len({k[1] for k in got}) == 3
+    monkeypatch.undo()
+    right = features.select("feature_id", "rx", "ry")
+    near = X.nearest_of_layers(buildings, right, 9.0, "feature_id", "cx", "cy")
+    one = {r["cluster_id"]: r["feature_id"] for r in near.collect()}
+    assert one == {k: min(((((x - v[2]) ** 2 + (y - v[3]) ** 2) ** 0.5, v[1]) for v in f), default=None)[1] if x is not None and x == x else None for k, x, y in b}
