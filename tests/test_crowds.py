@@ -91,3 +91,16 @@ def test_nearest_of_each_layer_makes_no_pairs(spark, monkeypatch):
     near = X.nearest_of_layers(buildings, right, 9.0, "feature_id", "cx", "cy")
     one = {r["cluster_id"]: r["feature_id"] for r in near.collect()}
     assert one == {k: min(((((x - v[2]) ** 2 + (y - v[3]) ** 2) ** 0.5, v[1]) for v in f), default=None)[1] if x is not None and x == x else None for k, x, y in b}
+
+
+def test_nearest_of_many_rows_makes_no_pairs(spark, monkeypatch):
+    """Rows meet tile by tile, rows without coordinates stay, and ties go to the least id; arrays don't travel."""
+    joined = J.nearest_join
+    monkeypatch.setattr(J, "nearest_join", lambda *_: pytest.fail("pairs are made"))
+    left = spark.range(300).selectExpr("id", "IF(id = 7, NULL, id % 20 + 0.5D) AS x", "id DIV 20 + 0.5D AS y", "array(id) AS other")
+    right = spark.range(900).selectExpr("1000 - id AS rid", "id % 30 * 1D AS rx", "id DIV 30 * 1D AS ry")
+    want = {i: (None, None) if i == 7 else (1000 - ((i // 20 + 1) * 30 + i % 20 + 1), 0.5**0.5) for i in range(300)}
+    rows = lambda d: {r["id"]: (r["rid"], r["dist"]) for r in d.collect()}
+    assert rows(X.nearest(left.drop("other"), right, 10.0, "id", "rid")) == want
+    monkeypatch.setattr(J, "nearest_join", joined)
+    assert rows(X.nearest(left, right, 10.0, "id", "rid")) == want
