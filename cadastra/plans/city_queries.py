@@ -8,8 +8,10 @@ from cadastra.functions import scalars as S
 from cadastra.operators import audit as A
 from cadastra.operators import campaigns as C
 from cadastra.operators import checks as K
+from cadastra.operators import crowds as X
 from cadastra.operators import spatial_join as J
 
+from .clusters import cut
 from .derived import footprints, read
 from .registry import query
 
@@ -126,6 +128,10 @@ def a30_association_summary(spark, sf_dir):
     f = footprints(spark, sf_dir)
     a = f.where("cluster_id % 2 = 1").select(F.col("cluster_id").alias("objectid"), F.col("ring").alias("left_ring"))
     b = f.where("cluster_id % 2 = 0").select("cluster_id", F.col("ring").alias("right_ring"))
-    o = J.polygon_overlay(a, b, "objectid", "cluster_id", "left_ring", "right_ring").where("shared > 1e-6").select("objectid", "cluster_id", F.round("shared", 6).alias("area"))
-    s = A.association_summary(K.primary_assignments(o), b, a)
+    best = X.primary_overlaps(a, b, "objectid", "cluster_id", "left_ring", "right_ring")
+    if best is None:
+        o = J.polygon_overlay(a, b, "objectid", "cluster_id", "left_ring", "right_ring").where("shared > 1e-6").select("objectid", "cluster_id", F.round("shared", 6).alias("area"))
+        s = A.association_summary(K.primary_assignments(o), b, a)
+    else:
+        s = A.association_summary_of_objects(cut(best, "associations"), b, a)
     return s.select("n_rows", "n_primary", "n_secondary", "n_ambiguous", "n_unassigned", F.size("problems").alias("n_problems"))

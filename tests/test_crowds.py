@@ -104,3 +104,25 @@ def test_nearest_of_many_rows_makes_no_pairs(spark, monkeypatch):
     assert rows(X.nearest(left.drop("other"), right, 10.0, "id", "rid")) == want
     monkeypatch.setattr(J, "nearest_join", joined)
     assert rows(X.nearest(left, right, 10.0, "id", "rid")) == want
+
+
+def test_primary_overlaps_are_those_of_every_pair(spark, monkeypatch):
+    """Counts, largest shares, ties to the least id, across tiles and in parts; other polygons are left to pairs."""
+    from cadastra.operators import audit as A
+    from cadastra.operators import checks as K
+
+    monkeypatch.setattr(X, "TILE", 100)
+    rng = np.random.default_rng(9)
+    box = lambda x, y, w, h: [(x, y), (x + w, y), (x + w, y + h), (x, y + h)]
+    rows = [(k, box(*map(float, v))) for k, v in enumerate(np.column_stack([rng.integers(0, 90, (300, 2)), rng.integers(1, 9, (300, 2))]))]
+    df = spark.createDataFrame(rows, "id long, ring array<struct<x:double,y:double>>")
+    a, b = df.where("id % 2 = 1").selectExpr("id AS objectid", "ring AS left_ring"), df.where("id % 2 = 0").selectExpr("id AS cluster_id", "ring AS right_ring")
+    names = ("objectid", "cluster_id", "left_ring", "right_ring")
+    o = J.polygon_overlay(a, b, *names).where("shared > 1e-6").select("objectid", "cluster_id", F.round("shared", 6).alias("area"))
+    every = K.primary_assignments(o).cache()
+    columns = ("objectid", "candidates", "area", "cluster_id", "tie")
+    want = sorted(tuple(r) for r in every.where("rank = 1").select(*columns).collect())
+    best = X.primary_overlaps(a, b, *names)
+    assert sorted(tuple(r) for r in best.select(*columns).collect()) == want and any(r[4] for r in want) and max(r[1] for r in want) > 2
+    assert A.association_summary_of_objects(best, b, a).first().asDict() == A.association_summary(every, b, a).first().asDict()
+    assert X.primary_overlaps(a.withColumn("left_ring", F.slice("left_ring", 1, 3)), b, *names) is None
